@@ -18,6 +18,7 @@ SETTINGS = JobSettings(
     models=ModelSettings(max_iter=5, num_trees=3, max_depth=3),
 )
 SENSORS = ["accel", "gyro"]
+TIE_BREAK = 1e-8
 LABELS = ["A", "B", "C", "D", "E", "F"]
 
 

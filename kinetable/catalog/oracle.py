@@ -7,7 +7,7 @@ front of its final select.
 from __future__ import annotations
 
 from ..operators.windows import FEATURE_NAMES
-from .fixtures import LABELS, SENSORS, SETTINGS
+from .fixtures import LABELS, SENSORS, SETTINGS, TIE_BREAK
 
 _WINDOW_NS = SETTINGS.window_seconds * 1_000_000_000
 _TRAIN = f"cast({SETTINGS.train_fraction!r} as double)"
@@ -15,7 +15,7 @@ _VALIDATION = f"cast({SETTINGS.train_fraction + SETTINGS.validation_fraction!r}
 
 
 def _round(expression: str) -> str:
-    return f"round({expression}, 6) + 0.0"
+    return f"round({expression} + cast({TIE_BREAK!r} as double), 6) + 0.0"
 
 
 def _round_feature(name: str) -> str:

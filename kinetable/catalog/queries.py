@@ -14,21 +14,24 @@ from ..sources import artifacts
 from ..sources.staging import StageArea
 from ..sources.text import read_lines
 from . import fixtures
-from .fixtures import LABELS, SENSORS, SETTINGS
+from .fixtures import LABELS, SENSORS, SETTINGS, TIE_BREAK
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def rounded(frame: DataFrame, *, exact: tuple[str, ...] = ("_min", "_max")) -> DataFrame:
-    """Double columns rounded to 6 places for comparison, without negative zero.
+    """Double columns rounded to 6 places for comparison.
 
-    Minima and maxima are input values and stay exact, unless ``exact`` says otherwise.
+    Means of a few short decimals can lie exactly between two rounded values, where the
+    last bit decides.  The small addend moves them off that point, here and in the SQL,
+    and also rules out negative zero.  Minima and maxima are input values and stay
+    exact, unless ``exact`` says otherwise.
     """
 
     def shown(name: str, kind: str):
         if kind != "double" or name.endswith(exact):
             return F.col(name)
-        return (F.round(name, 6) + F.lit(0.0)).alias(name)
+        return (F.round(F.col(name) + F.lit(TIE_BREAK), 6) + F.lit(0.0)).alias(name)
 
     return frame.select(*(shown(name, kind) for name, kind in frame.dtypes))
 

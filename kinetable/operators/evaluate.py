@@ -38,10 +38,13 @@ def dense_confusion(cells: DataFrame, labels: list[str]) -> DataFrame:
     names = _label_array(labels)
     grid = cells.sparkSession.range(1).select(F.explode(names).alias("actual"))
     grid = grid.select("actual", F.explode(names).alias("predicted"))
-    zeros = grid.withColumn("count", F.lit(0).cast("bigint"))
-    known = cells.where(F.col("actual").isin(*labels) & F.col("predicted").isin(*labels))
-    counted = zeros.unionByName(known.select("actual", "predicted", "count"))
-    return counted.groupBy("actual", "predicted").agg(F.sum("count").alias("count"))
+    zeros = grid.select("*", F.lit(0).cast("bigint").alias("count"), F.lit(1).alias("listed"))
+    counted = cells.select("actual", "predicted", "count", F.lit(0).alias("listed"))
+    # The condition on an aggregate stays here; one on the labels would be pushed down
+    # and tested on every prediction.
+    summed = zeros.union(counted).groupBy("actual", "predicted")
+    summed = summed.agg(F.sum("count").alias("count"), F.max("listed").alias("listed"))
+    return summed.where(F.col("listed") == 1).drop("listed")
 
 
 def normalized_confusion(cells: DataFrame, labels: list[str]) -> DataFrame:

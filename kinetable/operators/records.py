@@ -37,20 +37,24 @@ def parse_records(lines: DataFrame) -> DataFrame:
     the flag is false.
     """
     located = evaluate_once(
-        lines.select("value", "source_file", F.lower("source_file").alias("path")),
-        ["value", "source_file"],
+        lines.select(
+            F.col("value").alias("raw_line"),
+            "source_file",
+            F.trim("value").alias("trimmed"),
+            F.lower("source_file").alias("path"),
+        ),
+        ["raw_line", "source_file", "trimmed"],
         [
             _named_in_path(F.col("path"), DEVICES).alias("device"),
             _named_in_path(F.col("path"), SENSORS).alias("sensor"),
         ],
     )
-    text = F.regexp_replace(F.trim("value"), r";\s*$", "")
+    # Nearly every line ends in the terminator itself; the pattern is for the others.
+    text = F.when(
+        F.endswith("trimmed", F.lit(";")), F.expr("left(trimmed, length(trimmed) - 1)")
+    ).otherwise(F.regexp_replace("trimmed", r";\s*$", ""))
     fields = located.select(
-        F.col("value").alias("raw_line"),
-        "source_file",
-        "device",
-        "sensor",
-        F.split(text, ",").alias("fields"),
+        "raw_line", "source_file", "device", "sensor", F.split(text, ",").alias("fields")
     )
 
     def field(position: int) -> Column:

@@ -36,7 +36,9 @@ def subject_splits(
 
     in_range = Window.partitionBy("digest_range").orderBy("digest")
     ranked = digested.withColumn("position", F.row_number().over(in_range) - 1)
-    ranked = ranked.join(F.broadcast(ranges), "digest_range")
+    # Every range has its row.  An inner join would have Spark derive a not-null filter
+    # on the digest and push the hashing down to every single reading.
+    ranked = ranked.join(F.broadcast(ranges), "digest_range", "left")
     rank = F.col("members_before") + F.col("position")
 
     # Fractions stay doubles and the products are cut off, not rounded.
