@@ -11,27 +11,36 @@ from ..functions.expressions import split_digest
 # ranges are even whatever the subjects are, and 16**3 ranges fit in one small table.
 _RANGE_DIGITS = 3
 
+# Some 30 bytes each as a hash table, so at most about 60 MB on every executor.
+BROADCAST_SUBJECTS = 2_000_000
+HOT_SHARE = 1_000
 
-def subject_splits(
+
+def ranked_subjects(
     features: DataFrame, *, seed: int, train_fraction: float, validation_fraction: float
 ) -> DataFrame:
-    """``(subject_id, subject_rank, split)`` for every subject of the frame.
+    """``(subject_id, subject_rank, split, is_hot)`` for every subject of the frame.
 
-    Rank is the position in digest order over all subjects.  It is the position
+    Hot subjects hold more than 1/HOT_SHARE of all rows, so there are fewer than
+    HOT_SHARE of them.  Rank is the position in digest order over all subjects.  It is the position
     inside the subject's digest range plus the number of subjects in the ranges
     before, so no task ever sorts all subjects.
     """
-    digested = features.select("subject_id").distinct()
+    digested = features.groupBy("subject_id").agg(F.count("*").alias("windows"))
     digested = digested.withColumn("digest", split_digest("subject_id", seed))
     digested = digested.withColumn("digest_range", F.substring("digest", 1, _RANGE_DIGITS))
 
     # At most 4,096 rows, whatever the input: fit for one task and for a broadcast.
     in_order = Window.orderBy("digest_range")
-    ranges = digested.groupBy("digest_range").agg(F.count("*").alias("members"))
+    ranges = digested.groupBy("digest_range").agg(
+        F.count("*").alias("members"), F.sum("windows").alias("windows_in_range")
+    )
+    everywhere = Window.partitionBy()
     ranges = ranges.select(
         "digest_range",
         (F.sum("members").over(in_order) - F.col("members")).alias("members_before"),
-        F.sum("members").over(Window.partitionBy()).alias("subjects"),
+        F.sum("members").over(everywhere).alias("subjects"),
+        F.sum("windows_in_range").over(everywhere).alias("all_windows"),
     )
 
     in_range = Window.partitionBy("digest_range").orderBy("digest")
@@ -51,17 +60,47 @@ def subject_splits(
         .when(rank < validation_end, F.lit("validation"))
         .otherwise(F.lit("test"))
     )
-    return ranked.select("subject_id", rank.cast("int").alias("subject_rank"), split.alias("split"))
+    is_hot = F.col("windows") * F.lit(HOT_SHARE) > F.col("all_windows")
+    return ranked.select(
+        "subject_id",
+        rank.cast("int").alias("subject_rank"),
+        split.alias("split"),
+        is_hot.alias("is_hot"),
+    )
 
 
-def attach_splits(features: DataFrame, splits: DataFrame) -> DataFrame:
+def subject_splits(
+    features: DataFrame, *, seed: int, train_fraction: float, validation_fraction: float
+) -> DataFrame:
+    """``(subject_id, subject_rank, split)`` for every subject of the frame."""
+    ranked = ranked_subjects(
+        features,
+        seed=seed,
+        train_fraction=train_fraction,
+        validation_fraction=validation_fraction,
+    )
+    return ranked.drop("is_hot")
+
+
+def attach_splits(
+    features: DataFrame, ranked: DataFrame, *, broadcast_rows: int = BROADCAST_SUBJECTS
+) -> DataFrame:
     """Features with the rank and split of their subject.
 
-    No hint: Spark broadcasts the subject table while its measured size is under the
-    session's limit.  Above it the join is a sort-merge join, whose hot subjects
-    adaptive execution splits.
+    ``ranked`` is a stored result of ``ranked_subjects`` for the same features; its
+    rows are counted here.  Up to ``broadcast_rows`` subjects the table is broadcast
+    and the features stay where they are.  Beyond that only the hot subjects are, and
+    all others meet in a shuffled join, in which none of them is large.
     """
-    return features.join(splits.select("subject_id", "subject_rank", "split"), "subject_id")
+    columns = ["subject_id", "subject_rank", "split"]
+    if ranked.count() <= broadcast_rows:
+        return features.join(F.broadcast(ranked.select(columns)), "subject_id")
+
+    hot = F.broadcast(ranked.where("is_hot").select(columns))
+    of_hot = features.join(hot, "subject_id")
+    others = features.join(hot.select("subject_id"), "subject_id", "left_anti")
+    of_others = others.join(ranked.where("not is_hot").select(columns).hint("merge"), "subject_id")
+    return of_hot.unionByName(of_others)
 
 
 def split_counts(features: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from ..operators.evaluate import confusion_record
 from ..operators.fusion import fuse_sensors, model_columns
 from ..operators.learn import MODELS, checked_split_counts, evaluate_model, fit_models
 from ..operators.records import parse_records
-from ..operators.splits import attach_splits, dataset_summary, subject_splits
+from ..operators.splits import attach_splits, dataset_summary, ranked_subjects
 from ..operators.windows import accepted_windows, tallied_quality, tallied_windows
 from ..sources.artifacts import (
     comparison_record,
@@ -39,16 +39,15 @@ class Prepared:
 def with_subject_splits(features: DataFrame, settings: JobSettings, stage: StageArea) -> DataFrame:
     """Features with rank and split; reads ``features`` twice, so give it a stored frame.
 
-    The subject table is stored first.  That gives Spark its true size, from which it
-    decides between a broadcast and a shuffled join.
+    The subject table is stored as well, so that its size is known before the join.
     """
-    splits = subject_splits(
+    ranked = ranked_subjects(
         features,
         seed=settings.seed,
         train_fraction=settings.train_fraction,
         validation_fraction=settings.validation_fraction,
     )
-    return attach_splits(features, stage.table(splits, "subject_splits"))
+    return attach_splits(features, stage.table(ranked, "ranked_subjects"))
 
 
 def prepare_features(lines: DataFrame, settings: JobSettings, stage: StageArea) -> Prepared:
