@@ -18,6 +18,9 @@ from .fusion import model_columns
 SPLITS = ("train", "validation", "test")
 MODELS = ("logistic_regression", "random_forest")
 
+_LARGE_TRAIN_ROWS = 1_000_000
+_ROWS_WORTH_A_TASK = 400
+
 
 @dataclass(frozen=True)
 class ModelSettings:
@@ -102,17 +105,29 @@ def checked_split_counts(features: DataFrame) -> dict[str, int]:
     return counts
 
 
+def small_train_partitions(rows: int, cores: int) -> int | None:
+    """Partitions for a train set so small that its few files would leave cores idle.
+
+    None for a larger one: its file splits are parallel enough, and moving it costs.
+    """
+    if rows >= _LARGE_TRAIN_ROWS:
+        return None
+    return max(1, min(cores, rows // _ROWS_WORTH_A_TASK))
+
+
 def fit_models(
     features: DataFrame,
     names: tuple[str, ...] = MODELS,
     *,
     settings: ModelSettings | None = None,
     seed: int,
+    partitions: int | None = None,
 ) -> list[Fitted]:
     """Fit the named classifiers on the train rows.
 
     Index, vector and scaling are the same for all of them, so they are fitted once
     and every returned pipeline carries them.  A model's seconds include that share.
+    ``partitions`` spreads the rows anew; see ``small_train_partitions``.
     """
     settings = settings or ModelSettings()
     estimators = [(name, classifier(name, settings, seed)) for name in names]
@@ -122,6 +137,8 @@ def fit_models(
     started = time.perf_counter()
     prepared = preparation(columns).fit(train)
     examples = prepared.transform(train).select("label", "features")
+    if partitions:
+        examples = examples.repartition(partitions)
     preparation_seconds = time.perf_counter() - started
 
     fitted = []

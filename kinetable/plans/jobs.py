@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.evaluate import confusion_record
 from ..operators.fusion import fuse_sensors, model_columns
-from ..operators.learn import MODELS, checked_split_counts, evaluate_model, fit_models
+from ..operators.learn import (
+    MODELS,
+    checked_split_counts,
+    evaluate_model,
+    fit_models,
+    small_train_partitions,
+)
 from ..operators.records import parse_records
 from ..operators.splits import attach_splits, dataset_summary, ranked_subjects
 from ..operators.windows import accepted_windows, tallied_quality, tallied_windows
@@ -122,10 +128,17 @@ def compare_models(
     """
     spark = features.sparkSession
     counts = checked_split_counts(features)
+    cores = spark.sparkContext.defaultParallelism
     stage = StageArea(spark)
     paths = {}
     try:
-        for fitted in fit_models(features, names, settings=settings.models, seed=settings.seed):
+        for fitted in fit_models(
+            features,
+            names,
+            settings=settings.models,
+            seed=settings.seed,
+            partitions=small_train_partitions(counts["train"], cores),
+        ):
             folder = f"{output}/{fitted.name}"
             cells, record = evaluate_model(
                 fitted, features, split_counts=counts, stage=stage.table

@@ -52,6 +52,13 @@ def test_shared_preparation_equals_one_pipeline(features, name):
     assert sum(row["label"] == row["prediction"] for row in ours) > 90
 
 
+def test_small_train_sets_are_spread():
+    assert learn.small_train_partitions(100, 8) == 1
+    assert learn.small_train_partitions(2000, 8) == 5
+    assert learn.small_train_partitions(50_000, 8) == 8
+    assert learn.small_train_partitions(5_000_000, 8) is None
+
+
 def test_labels_are_alphabetical_and_from_train(features):
     (fitted,) = learn.fit_models(
         features, ("logistic_regression",), settings=SETTINGS, seed=42
