@@ -40,8 +40,13 @@ class JobSettings:
             raise ValueError(f"a sensor is named twice: {self.sensors}")
 
 
-def session_options(app_name: str, *, shuffle_partitions: int | None = None) -> dict[str, str]:
-    """Options for ``SparkSession.builder``; the launcher chooses master and memory.
+def session_options(
+    app_name: str,
+    *,
+    shuffle_partitions: int | None = None,
+    driver_memory: str | None = None,
+) -> dict[str, str]:
+    """Options for ``SparkSession.builder``; the launcher chooses the master.
 
     Without a number, the count of shuffle partitions is a ceiling that adaptive
     execution lowers to fit the data.  Large input splits let the first aggregation
@@ -58,4 +63,6 @@ def session_options(app_name: str, *, shuffle_partitions: int | None = None) ->
         options["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = "4000"
     else:
         options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:
+        options["spark.driver.memory"] = driver_memory
     return options
