@@ -219,6 +219,13 @@ _PARSE_VIEWS = {
 _FEATURE_VIEWS = {"fused": _FUSED, "splits": _SPLITS, "features": _FEATURES}
 _SAMPLE_VIEWS = {"samples": _SAMPLES, "windows": _windows("samples"), **_FEATURE_VIEWS}
 _PREPARED_VIEWS = {**_PARSE_VIEWS, "windows": _windows("valid"), **_FEATURE_VIEWS}
+_LABEL_VIEWS = {
+    **_SAMPLE_VIEWS,
+    "label_index": """
+        select activity, cast(dense_rank() over (order by activity) - 1 as double) as label
+        from (select distinct activity from features where split = 'train') seen
+    """,
+}
 _METRIC_VIEWS = {"predictions": _PREDICTIONS, "labels": _LABELS, **_evaluation("predictions")}
 
 
@@ -355,11 +362,14 @@ ORACLE: dict[str, str] = {
         """,
     ),
     "experiment_summary": _experiments(),
-    "label_index": _sql(
-        _SAMPLE_VIEWS,
+    "label_index": _sql(_LABEL_VIEWS, "select * from label_index"),
+    "model_roundtrip": _sql(
+        _LABEL_VIEWS,
         """
-        select activity, cast(dense_rank() over (order by activity) - 1 as double) as label
-        from (select distinct activity from features where split = 'train') seen
+        select subject_id, device, window_id, activity, label,
+               true as same_label, true as same_prediction
+        from features join label_index using (activity)
+        where split = 'test'
         """,
     ),
     "scaled_features": _scaled(),

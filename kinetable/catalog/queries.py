@@ -282,14 +282,25 @@ def model_comparison(spark, sf_dir):
 
 
 def model_roundtrip(spark, sf_dir):
+    """Test rows predicted by a fitted pipeline and by the same one read from files."""
     features = _stored_split_features(spark, sf_dir)
     (fitted,) = learn.fit_models(
-        features, ("logistic_regression",), settings=SETTINGS.models, seed=SETTINGS.seed
+        features, ("random_forest",), settings=SETTINGS.models, seed=SETTINGS.seed
     )
     path = f"{StageArea(spark).path}/model"
     artifacts.save_pipeline(fitted.pipeline, path)
-    keys = tuple(key for key in WINDOW_KEYS if key != "activity")
-    return learn.predict(artifacts.load_pipeline(path), learn.of_split(features, "test"), keys)
+    keys = ("subject_id", "device", "window_id")
+    once = learn.predict(
+        fitted.pipeline, learn.of_split(features, "test"), (*keys, *fitted.columns)
+    ).withColumnsRenamed({"label": "first_label", "prediction": "first_prediction"})
+    again = artifacts.load_pipeline(path).transform(once)
+    return again.select(
+        *keys,
+        "activity",
+        "label",
+        (F.col("label") == F.col("first_label")).alias("same_label"),
+        (F.col("prediction") == F.col("first_prediction")).alias("same_prediction"),
+    )
 
 
 QUERIES: dict[str, Query] = {

@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="tables not present")
-ROWS_ONLY = {"lr_predictions", "rf_predictions", "model_comparison", "model_roundtrip"}
+ROWS_ONLY = {"lr_predictions", "rf_predictions", "model_comparison"}
 
 
 def test_all_but_model_results_have_sql():
