@@ -19,6 +19,17 @@ def _named_in_path(path: Column, names: tuple[str, ...]) -> Column:
     return F.coalesce(*found, F.lit("unknown"))
 
 
+def _without_terminator(text: Column) -> Column:
+    """Text without one closing semicolon and the blanks after it.
+
+    The terminator holds no comma, so it is stripped from the last field instead of the
+    whole line.  Nearly always it is the final character; the pattern is for the rest.
+    """
+    plain = F.left(text, F.length(text) - 1)
+    rare = F.regexp_replace(text, r";\s*$", "")
+    return F.when(F.endswith(text, F.lit(";")), plain).otherwise(rare)
+
+
 def _is_valid() -> Column:
     activity = F.col("activity").rlike("^[A-S]$") & (F.col("activity") != "N")
     numbers = [F.col(name).isNotNull() for name in ("subject_id", "timestamp_ns", *AXES)]
@@ -49,16 +60,14 @@ def parse_records(lines: DataFrame) -> DataFrame:
             _named_in_path(F.col("path"), SENSORS).alias("sensor"),
         ],
     )
-    # Nearly every line ends in the terminator itself; the pattern is for the others.
-    text = F.when(
-        F.endswith("trimmed", F.lit(";")), F.expr("left(trimmed, length(trimmed) - 1)")
-    ).otherwise(F.regexp_replace("trimmed", r";\s*$", ""))
     fields = located.select(
-        "raw_line", "source_file", "device", "sensor", F.split(text, ",").alias("fields")
+        "raw_line", "source_file", "device", "sensor", F.split("trimmed", ",").alias("fields")
     )
 
     def field(position: int) -> Column:
-        return F.get("fields", F.lit(position))
+        text = F.get("fields", F.lit(position))
+        is_last = F.size("fields") == position + 1
+        return F.when(is_last, _without_terminator(text)).otherwise(text)
 
     typed = evaluate_once(
         fields,
