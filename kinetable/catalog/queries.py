@@ -90,8 +90,8 @@ def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = StageArea(spark)
-    fused = stage.table(_fused(spark, sf_dir), "fused")
-    return jobs.with_subject_splits(fused, SETTINGS, stage)
+    stored = stage.table(_windows(spark, sf_dir), "windows")
+    return jobs.with_subject_splits(fuse_sensors(stored, SENSORS), SETTINGS, stage)
 
 
 def _stored_split_features(spark: SparkSession, sf_dir: str) -> DataFrame:

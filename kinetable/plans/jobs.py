@@ -43,9 +43,10 @@ class Prepared:
 
 
 def with_subject_splits(features: DataFrame, settings: JobSettings, stage: StageArea) -> DataFrame:
-    """Features with rank and split; reads ``features`` twice, so give it a stored frame.
+    """Features with rank and split; give it a frame that is stored, or cheap over one.
 
-    The subject table is stored as well, so that its size is known before the join.
+    Ranking reads the subjects of the features first, without their other columns.  The
+    subject table is stored, so that its size is known before the join.
     """
     ranked = ranked_subjects(
         features,
@@ -59,8 +60,8 @@ def with_subject_splits(features: DataFrame, settings: JobSettings, stage: Stage
 def prepare_features(lines: DataFrame, settings: JobSettings, stage: StageArea) -> Prepared:
     """Raw lines to split features with a single pass over the lines.
 
-    The pass ends in a stored window table, a few hundred times smaller than the
-    lines.  Quality counts, fusion, subject ranking and the split all read that.
+    The pass ends in a stored window table, far smaller than the lines.  Quality counts,
+    subject ranking and fusion read that, each only the columns it needs.
     """
     tallied = tallied_windows(
         parse_records(lines),
@@ -71,8 +72,6 @@ def prepare_features(lines: DataFrame, settings: JobSettings, stage: StageArea)
     tallied = stage.table(tallied, "windows")
     windows = accepted_windows(tallied, minimum_samples=settings.minimum_samples)
     fused = fuse_sensors(windows, list(settings.sensors))
-    if len(settings.sensors) > 1:
-        fused = stage.table(fused, "fused")
     return Prepared(with_subject_splits(fused, settings, stage), tallied_quality(tallied))
 
 
