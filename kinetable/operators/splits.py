@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import split_digest
@@ -115,23 +115,23 @@ def dataset_summary(features: DataFrame) -> DataFrame:
     the distinct counts work on that small table and not on the windows.
     """
     folded = features.groupBy("split", "subject_id", "activity").agg(F.count("*").alias("windows"))
-    totals = folded.rollup("split").agg(
-        F.sum("windows").alias("windows"),
-        F.count_distinct("subject_id").alias("subjects"),
+    subjects = F.count_distinct("subject_id").alias("subjects")
+    overall = folded.agg(
+        F.coalesce(F.sum("windows"), F.lit(0)).alias("windows"),
+        subjects,
         F.count_distinct("activity").alias("activities"),
-        F.grouping("split").alias("is_total"),
     )
-
-    def entry(metric: str, key, value: str):
-        return F.struct(F.lit(metric).alias("metric"), key.alias("key"), F.col(value).alias("value"))
-
-    overall = F.array(
-        entry("feature_windows", F.lit("all"), "windows"),
-        entry("subjects", F.lit("all"), "subjects"),
-        entry("activities", F.lit("all"), "activities"),
-    )
-    per_split = F.array(
-        entry("split_windows", F.col("split"), "windows"),
-        entry("split_subjects", F.col("split"), "subjects"),
+    per_split = folded.groupBy("split").agg(F.sum("windows").alias("windows"), subjects)
+
+    def entries(totals: DataFrame, key: Column, names: dict[str, str]) -> DataFrame:
+        listed = [
+            F.struct(F.lit(metric).alias("metric"), key.alias("key"), F.col(name).alias("value"))
+            for metric, name in names.items()
+        ]
+        return totals.select(F.inline(F.array(*listed)))
+
+    of_all = {"feature_windows": "windows", "subjects": "subjects", "activities": "activities"}
+    of_split = {"split_windows": "windows", "split_subjects": "subjects"}
+    return entries(overall, F.lit("all"), of_all).union(
+        entries(per_split, F.col("split"), of_split)
     )
-    return totals.select(F.inline(F.when(F.col("is_total") == 1, overall).otherwise(per_split)))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.evaluate import confusion_record
 from ..operators.fusion import fuse_sensors, model_columns
@@ -75,21 +76,35 @@ def prepare_features(lines: DataFrame, settings: JobSettings, stage: StageArea)
     return Prepared(with_subject_splits(fused, settings, stage), tallied_quality(tallied))
 
 
-def _as_map(frame: DataFrame, key: str, value: str) -> dict:
-    """A frame of a few rows (flags, splits, totals) as a dictionary."""
-    return {str(row[key]).lower(): row[value] for row in frame.collect()}
+def _literal(value) -> Column:
+    """A setting or a count, or a list or dictionary of a few, as a column."""
+    if isinstance(value, dict):
+        parts = [F.lit(part) for pair in sorted(value.items()) for part in pair]
+        return F.create_map(*parts).cast("map<string,bigint>")
+    if isinstance(value, list | tuple):
+        return F.array(*map(F.lit, value)).cast("array<string>")
+    return F.lit(value)
 
 
 def summary_record(features: DataFrame, details: dict) -> DataFrame:
-    """The data summary as one row; ``details`` are further scalars, lists and maps."""
-    totals: dict[str, dict] = {}
-    for row in dataset_summary(features).collect():
-        totals.setdefault(row["metric"], {})[row["key"]] = row["value"]
-    values = {
-        name: found["all"] if set(found) == {"all"} else dict(sorted(found.items()))
-        for name, found in totals.items()
-    }
-    return features.sparkSession.createDataFrame([values | details])
+    """The data summary as one row; ``details`` are further values for it."""
+
+    def of_metric(metric: str, value: Column) -> Column:
+        return F.when(F.col("metric") == metric, value)
+
+    def total(metric: str) -> Column:
+        return F.max(of_metric(metric, F.col("value"))).alias(metric)
+
+    def by_split(metric: str) -> Column:
+        # One entry per split.
+        entries = F.collect_list(of_metric(metric, F.struct("key", "value")))
+        return F.map_from_entries(F.array_sort(entries)).alias(metric)
+
+    record = dataset_summary(features).agg(
+        *map(total, ("feature_windows", "subjects", "activities")),
+        *map(by_split, ("split_windows", "split_subjects")),
+    )
+    return record.withColumns({name: _literal(value) for name, value in details.items()})
 
 
 def prepare(spark: SparkSession, raw: str, output: str, settings: JobSettings) -> DataFrame:
@@ -100,7 +115,7 @@ def prepare(spark: SparkSession, raw: str, output: str, settings: JobSettings) -
         prepared = prepare_features(read_lines(spark, raw), settings, stage)
         write_features(prepared.features, f"{output}/features")
         seconds = time.perf_counter() - started
-        quality = _as_map(prepared.quality, "_parse_ok", "count")
+        quality = {str(row["_parse_ok"]).lower(): row["count"] for row in prepared.quality.collect()}
     finally:
         stage.remove()
     features = read_features(spark, f"{output}/features")

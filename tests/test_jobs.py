@@ -153,6 +153,16 @@ def test_single_sensor_features(spark, raw, tmp_path):
     assert features.count() == 240
 
 
+def test_no_window_with_enough_samples(spark, raw, tmp_path):
+    settings = JobSettings(window_seconds=5, minimum_samples=1000)
+    features = jobs.prepare(spark, f"{raw}/*/*/*.txt", f"{tmp_path}/none", settings)
+    summary = record(tmp_path / "none" / "data_summary_json")
+    assert (summary["feature_windows"], summary["subjects"]) == (0, 0)
+    assert summary["split_windows"] == {}
+    with pytest.raises(ValueError, match="no rows in split train"):
+        jobs.compare_models(features, settings, f"{tmp_path}/none")
+
+
 def test_lines_are_read_once(spark, raw):
     """The stored window table is all that later steps read."""
     from kinetable.sources.text import read_lines

@@ -99,7 +99,7 @@ def test_special_readings_survive(spark):
         ("/raw/watch/phone/gyro/accel/a", "phone", "accel"),
         ("/raw/tablet/accel/a", "unknown", "accel"),
         ("/raw/phone/light/a", "phone", "unknown"),
-        ("watch_accel_sample.txt", "unknown", "unknown"),
+        ("readings.txt", "unknown", "unknown"),
     ],
 )
 def test_device_and_sensor_come_from_the_folders(spark, path, device, sensor):

@@ -117,3 +117,13 @@ def test_summary(spark):
         ("split_subjects", "train"): 2,
         ("split_subjects", "test"): 1,
     }
+
+
+def test_summary_of_nothing_counts_zero(spark):
+    frame = spark.createDataFrame([], "subject_id int, activity string, split string")
+    found = {(row["metric"], row["key"]): row["value"] for row in splits.dataset_summary(frame).collect()}
+    assert found == {
+        ("feature_windows", "all"): 0,
+        ("subjects", "all"): 0,
+        ("activities", "all"): 0,
+    }
