@@ -11,8 +11,8 @@ from ..functions.expressions import split_digest
 # ranges are even whatever the subjects are, and 16**3 ranges fit in one small table.
 _RANGE_DIGITS = 3
 
-# Some 30 bytes each as a hash table, so at most about 60 MB on every executor.
-BROADCAST_SUBJECTS = 2_000_000
+# Less than 100 bytes each as a hash table, so at most 100 MB on every executor.
+BROADCAST_SUBJECTS = 1_000_000
 HOT_SHARE = 1_000
 
 
@@ -21,10 +21,10 @@ def ranked_subjects(
 ) -> DataFrame:
     """``(subject_id, subject_rank, split, is_hot)`` for every subject of the frame.
 
-    Hot subjects hold more than 1/HOT_SHARE of all rows, so there are fewer than
-    HOT_SHARE of them.  Rank is the position in digest order over all subjects.  It is the position
+    Rank is the position in digest order over all subjects.  It is the position
     inside the subject's digest range plus the number of subjects in the ranges
-    before, so no task ever sorts all subjects.
+    before, so no task ever sorts all subjects.  Hot subjects hold more than
+    1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE of them.
     """
     digested = features.groupBy("subject_id").agg(F.count("*").alias("windows"))
     digested = digested.withColumn("digest", split_digest("subject_id", seed))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from ..sources.artifacts import (
     write_features,
     write_record,
 )
+from ..sources.folders import refuse_existing
 from ..sources.staging import StageArea
 from ..sources.text import read_lines
 from .settings import JobSettings
@@ -109,6 +111,7 @@ def summary_record(features: DataFrame, details: dict) -> DataFrame:
 
 def prepare(spark: SparkSession, raw: str, output: str, settings: JobSettings) -> DataFrame:
     """Parse, window, fuse and split; write ``features`` and ``data_summary_json``."""
+    refuse_existing(spark, f"{output}/features", f"{output}/data_summary_json")
     started = time.perf_counter()
     stage = StageArea(spark)
     try:
@@ -141,6 +144,7 @@ def compare_models(
     The validation rows are counted but choose nothing: the comparison is fixed.
     """
     spark = features.sparkSession
+    refuse_existing(spark, *(f"{output}/{name}" for name in (*names, "comparison_json")))
     counts = checked_split_counts(features)
     cores = spark.sparkContext.defaultParallelism
     stage = StageArea(spark)
@@ -181,6 +185,7 @@ def train(
 
 def run(spark: SparkSession, raw: str, output: str, settings: JobSettings) -> DataFrame:
     """Prepare and compare in one job; the models read the written features."""
+    refuse_existing(spark, *(f"{output}/{name}" for name in MODELS))
     return compare_models(prepare(spark, raw, output, settings), settings, output)
 
 
@@ -191,10 +196,12 @@ def experiment_table(
 
     ``runs`` maps a condition name to the metrics paths of its run.
     """
+    if not runs:
+        raise ValueError("no run to tabulate")
+    if output:
+        refuse_existing(spark, output)
     tables = [experiment_rows(read_metrics(spark, paths), name) for name, paths in runs.items()]
-    table = tables[0]
-    for more in tables[1:]:
-        table = table.unionByName(more)
+    table = reduce(DataFrame.unionByName, tables)
     if output:
         write_csv(table, output)
     return table

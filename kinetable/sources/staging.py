@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .folders import remove_folder
+
 
 class StageArea:
     """A new folder for intermediate tables, on storage all executors share.
@@ -33,6 +35,4 @@ class StageArea:
 
     def remove(self) -> None:
         """Delete the folder, once nothing reads from it any more."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(configuration).delete(folder, True)
+        remove_folder(self.spark, self.path)

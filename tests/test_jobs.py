@@ -127,10 +127,22 @@ def test_summary_of_a_run(finished):
     assert summary["preprocessing_seconds"] > 0
 
 
-def test_an_existing_run_is_refused(spark, raw, finished):
+def test_an_existing_run_is_refused_before_any_work(spark, raw, finished, monkeypatch):
     output, _ = finished
-    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+
+    def never(*_):
+        raise AssertionError("work was started")
+
+    monkeypatch.setattr(jobs, "StageArea", never)
+    features = spark.read.parquet(f"{output}/features")
+    with pytest.raises(FileExistsError, match="random_forest|logistic_regression"):
         jobs.run(spark, f"{raw}/*/*/*.txt", str(output), SETTINGS)
+    with pytest.raises(FileExistsError, match="features"):
+        jobs.prepare(spark, f"{raw}/*/*/*.txt", str(output), SETTINGS)
+    with pytest.raises(FileExistsError, match="logistic_regression"):
+        jobs.compare_models(features, SETTINGS, str(output))
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        jobs.train(spark, f"{output}/features", str(output), SETTINGS)
 
 
 def test_train_from_stored_features(spark, finished, tmp_path):
