@@ -121,7 +121,7 @@ def prepare(spark: SparkSession, raw: str, output: str, settings: JobSettings) -
         quality = {str(row["_parse_ok"]).lower(): row["count"] for row in prepared.quality.collect()}
     finally:
         stage.remove()
-    features = read_features(spark, f"{output}/features")
+    features = read_features(spark, f"{output}/features", prepared.features.schema)
     details = {
         "raw_path": raw,
         "device": settings.device,

@@ -10,6 +10,7 @@ from datetime import UTC, datetime
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SUMMARY_COLUMNS = (
     "condition",
@@ -38,11 +39,22 @@ def new_run_id() -> str:
 
 
 def write_features(features: DataFrame, path: str) -> None:
-    features.write.mode("errorifexists").parquet(path)
-
-
-def read_features(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Features as Parquet, in a folder per split if they have one.
+
+    Training and evaluation then list and read the files of their split only.
+    """
+    writer = features.write.mode("errorifexists")
+    if "split" in features.columns:
+        writer = writer.partitionBy("split")
+    writer.parquet(path)
+
+
+def read_features(
+    spark: SparkSession, path: str, schema: StructType | None = None
+) -> DataFrame:
+    """Stored features; the schema is only needed where there may be no rows at all."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def sorted_struct(frame: DataFrame) -> Column:

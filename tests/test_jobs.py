@@ -114,6 +114,19 @@ def test_run_writes_the_whole_layout(finished):
         assert len(row["feature_columns"]) == 36
 
 
+def test_a_split_reads_its_own_files(spark, finished):
+    output, _ = finished
+    features = spark.read.parquet(f"{output}/features")
+    assert features.columns[-2:] == ["subject_rank", "split"]
+    plan = features.where("split = 'test'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
+    assert {row["split"] for row in features.select("split").distinct().collect()} == {
+        "train",
+        "validation",
+        "test",
+    }
+
+
 def test_summary_of_a_run(finished):
     output, _ = finished
     summary = record(output / "data_summary_json")

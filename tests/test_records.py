@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import math
+import random
+import re
 
 import pytest
 
@@ -108,6 +110,59 @@ def test_device_and_sensor_come_from_the_folders(spark, path, device, sensor):
     assert row["_parse_ok"] is ("unknown" not in (device, sensor))
 
 
+def as_integer(text, bits):
+    text = text.strip(" \t")
+    if not re.fullmatch(r"[+-]?[0-9]+", text) or not -(2 ** (bits - 1)) <= int(text) < 2 ** (bits - 1):
+        return None
+    return int(text)
+
+
+def as_double(text):
+    try:
+        return float(text.strip(" \t"))
+    except ValueError:
+        return None
+
+
+def read_plainly(line):
+    fields = re.sub(r";[ \t]*$", "", line.strip(" ")).split(",")
+    get = dict(enumerate(fields)).get
+    row = {
+        "field_count": len(fields),
+        "subject_id": as_integer(get(0, ""), 32),
+        "activity": get(1).strip(" ") if len(fields) > 1 else None,
+        "timestamp_ns": as_integer(get(2, ""), 64),
+    } | {axis: as_double(get(3 + i, "")) for i, axis in enumerate("xyz")}
+    row["_parse_ok"] = (
+        len(fields) == 6
+        and row["activity"] in set("ABCDEFGHIJKLMOPQRS")
+        and None not in row.values()
+        and row["timestamp_ns"] >= 0
+    )
+    return row
+
+
+def test_random_lines_against_plain_python(spark):
+    rng = random.Random(11)
+    fields = ["1600", "A", "S", "N", "5", "90426708196641", "1.5", "-2.99E-4", "", " ", "x", "B;"]
+    fields += ["99999999999", "-7", "+3", "\t4", ".5", "1.", "-", "A "]
+    lines = []
+    for _ in range(4000):
+        if rng.random() < 0.5:
+            parts = ["1600", rng.choice("ABN"), str(rng.randrange(10**14)), "0.5", "-1", "2"]
+            for _ in range(rng.randrange(3)):
+                parts[rng.randrange(6)] = rng.choice(fields)
+        else:
+            parts = [rng.choice(fields) for _ in range(rng.randrange(9))]
+        lines.append(" " * rng.randrange(2) + ",".join(parts) + rng.choice(["", ";", "; ", ";;", ";\t", "; ;"]))
+    rows = {row["raw_line"]: row.asDict() for row in parsed(spark, *set(lines))}
+    assert len(rows) == len(set(lines))
+    assert 100 < sum(row["_parse_ok"] for row in rows.values()) < len(rows) - 100
+    for line, row in rows.items():
+        expected = read_plainly(line)
+        assert {name: row[name] for name in expected} == expected, line
+
+
 def test_results_do_not_depend_on_ansi_mode(spark):
     lines = [GOOD, "", "x,A,5,1,2,3;", "1600,A,5"]
     strict = parsed(spark, *lines)
