@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
@@ -112,3 +113,46 @@ def test_a_fitted_pipeline_survives_saving(features, tmp_path):
     assert sorted(learn.predict(loaded, test, ("window_id",)).collect()) == sorted(
         learn.predict(fitted.pipeline, test, ("window_id",)).collect()
     )
+
+
+def test_logistic_regression_is_at_the_optimum(features):
+    """The regularised likelihood has no slope left, computed without MLlib."""
+    settings = learn.ModelSettings(max_iter=200, reg_param=0.05)
+    (fitted,) = learn.fit_models(
+        features, ("logistic_regression",), settings=settings, seed=42
+    )
+    train = learn.of_split(features, "train").toPandas()
+    columns = ["x_mean", "y_mean", "z_mean"]
+    values = train[columns].to_numpy()
+    spread = values.std(axis=0, ddof=1)
+    scaled = (values - values.mean(axis=0)) / np.where(spread > 0, spread, 1.0)
+    truth = np.eye(3)[train["activity"].map({"A": 0, "B": 1, "C": 2})]
+
+    model = fitted.pipeline.stages[-1]
+    weights = model.coefficientMatrix.toArray()
+    scores = scaled @ weights.T + model.interceptVector.toArray()
+    chances = np.exp(scores - scores.max(axis=1, keepdims=True))
+    chances /= chances.sum(axis=1, keepdims=True)
+    slope = (chances - truth).T @ scaled / len(train) + settings.reg_param * weights
+    assert np.abs(slope).max() < 1e-4
+    assert np.abs((chances - truth).mean(axis=0)).max() < 1e-4
+
+    test = learn.of_split(features, "test")
+    found = learn.predict(fitted.pipeline, test, tuple(columns)).toPandas()
+    rows = (found[columns].to_numpy() - values.mean(axis=0)) / np.where(spread > 0, spread, 1.0)
+    expected = (rows @ weights.T + model.interceptVector.toArray()).argmax(axis=1)
+    assert (found["prediction"] == expected).all()
+
+
+def test_random_forest_takes_the_vote_of_its_trees(features):
+    (fitted,) = learn.fit_models(features, ("random_forest",), settings=SETTINGS, seed=42)
+    forest = fitted.pipeline.stages[-1]
+    assert forest.getNumTrees == 5
+    assert max(tree.depth for tree in forest.trees) <= 4
+    rows = fitted.pipeline.transform(learn.of_split(features, "test")).collect()
+    for row in rows[:30]:
+        votes = sum(
+            tree.predictRaw(row["features"]).toArray() / tree.predictRaw(row["features"]).toArray().sum()
+            for tree in forest.trees
+        )
+        assert row["prediction"] == votes.argmax()
