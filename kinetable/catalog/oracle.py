@@ -236,6 +236,15 @@ def _sql(views: dict[str, str], select: str) -> str:
 
 _SPLIT_FEATURES = f"select {_FUSED_KEYS}, {_FUSED_ROUNDED}, subject_rank, split from features"
 
+_SUMMARY = """
+    select 'feature_windows' as metric, 'all' as key, count(*) as value from features
+    union all select 'subjects', 'all', count(distinct subject_id) from features
+    union all select 'activities', 'all', count(distinct activity) from features
+    union all select 'split_windows', split, count(*) from features group by split
+    union all select 'split_subjects', split, count(distinct subject_id)
+              from features group by split
+"""
+
 _ACTIVITY_NAMES_USED = """
     case activity when 'A' then 'Walking' when 'B' then 'Jogging' when 'C' then 'Stairs'
                   when 'D' then 'Sitting' when 'E' then 'Standing' when 'F' then 'Typing'
@@ -304,16 +313,11 @@ ORACLE: dict[str, str] = {
     "split_counts": _sql(
         _SAMPLE_VIEWS, "select split, count(*) as windows from features group by split"
     ),
-    "dataset_summary": _sql(
-        _SAMPLE_VIEWS,
-        """
-        select 'feature_windows' as metric, 'all' as key, count(*) as value from features
-        union all select 'subjects', 'all', count(distinct subject_id) from features
-        union all select 'activities', 'all', count(distinct activity) from features
-        union all select 'split_windows', split, count(*) from features group by split
-        union all select 'split_subjects', split, count(distinct subject_id)
-                  from features group by split
-        """,
+    "dataset_summary": _sql(_SAMPLE_VIEWS, _SUMMARY),
+    "prepare_job_summary": _sql(
+        _PREPARED_VIEWS,
+        f"{_SUMMARY} union all select 'parse_counts', cast(_parse_ok as varchar), count(*)"
+        " from parsed group by _parse_ok",
     ),
     "prepared_features": _sql(_PREPARED_VIEWS, _SPLIT_FEATURES),
     "confusion": _sql(_METRIC_VIEWS, "select actual, predicted, n as count from cells"),
@@ -376,5 +380,6 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["fused_features_join"] = ORACLE["fused_features"]
 ORACLE["feature_roundtrip"] = ORACLE["split_features"]
+ORACLE["prepare_job"] = ORACLE["prepared_features"]
 ORACLE["prepared_quality"] = ORACLE["parse_quality"]
 ORACLE["confusion_json_roundtrip"] = ORACLE["confusion_dense"]

@@ -94,11 +94,15 @@ def _split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.with_subject_splits(fuse_sensors(stored, SENSORS), SETTINGS, stage)
 
 
-def _stored_split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Split features as the training jobs get them: from files."""
+def _feature_files(spark: SparkSession, sf_dir: str) -> str:
     path = f"{StageArea(spark).path}/features"
     artifacts.write_features(_split_features(spark, sf_dir), path)
-    return artifacts.read_features(spark, path)
+    return path
+
+
+def _stored_split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split features as the training jobs get them: from files."""
+    return artifacts.read_features(spark, _feature_files(spark, sf_dir))
 
 
 def window_features(spark, sf_dir):
@@ -150,6 +154,38 @@ def prepared_quality(spark, sf_dir):
     return windows.tallied_quality(tallied)
 
 
+def _prepared_run(spark: SparkSession, sf_dir: str) -> str:
+    """The output folder of the whole job over text files."""
+    output = f"{StageArea(spark).path}/run"
+    jobs.prepare(spark, _line_folders(spark, sf_dir), output, SETTINGS)
+    return output
+
+
+def prepare_job(spark, sf_dir):
+    output = _prepared_run(spark, sf_dir)
+    return rounded(artifacts.read_features(spark, f"{output}/features"))
+
+
+def prepare_job_summary(spark, sf_dir):
+    """The counts in the stored data summary as ``(metric, key, value)``."""
+    output = _prepared_run(spark, sf_dir)
+    summary = artifacts.read_summary(spark, f"{output}/data_summary_json")
+    entry = "struct<metric: string, key: string, value: bigint>"
+
+    def of_map(metric: str):
+        return F.transform(
+            F.map_entries(metric),
+            lambda pair: F.struct(F.lit(metric), pair["key"], pair["value"]).cast(entry),
+        )
+
+    maps = [of_map(name) for name in ("parse_counts", "split_windows", "split_subjects")]
+    totals = [
+        F.struct(F.lit(name), F.lit("all"), F.col(name)).cast(entry)
+        for name in ("feature_windows", "subjects", "activities")
+    ]
+    return summary.select(F.inline(F.concat(F.array(*totals), *maps)))
+
+
 def feature_roundtrip(spark, sf_dir):
     return rounded(_stored_split_features(spark, sf_dir))
 
@@ -268,8 +304,8 @@ def rf_predictions(spark, sf_dir):
 
 
 def model_comparison(spark, sf_dir):
-    features = _stored_split_features(spark, sf_dir)
-    metrics = jobs.compare_models(features, SETTINGS, f"{StageArea(spark).path}/run")
+    files = _feature_files(spark, sf_dir)
+    metrics = jobs.train(spark, files, f"{StageArea(spark).path}/run", SETTINGS)
     return metrics.select(
         "model",
         "accuracy",
@@ -319,6 +355,8 @@ QUERIES: dict[str, Query] = {
         dataset_summary,
         prepared_features,
         prepared_quality,
+        prepare_job,
+        prepare_job_summary,
         feature_roundtrip,
         confusion,
         confusion_dense,

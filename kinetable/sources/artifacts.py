@@ -32,6 +32,14 @@ METRICS_SCHEMA = """
                            recall: double, support: bigint>>
 """
 
+SUMMARY_SCHEMA = """
+    feature_windows bigint, subjects bigint, activities bigint,
+    split_windows map<string,bigint>, split_subjects map<string,bigint>,
+    parse_counts map<string,bigint>, raw_path string, prepared_feature_path string,
+    device string, sensors array<string>, window_seconds bigint, minimum_samples bigint,
+    feature_columns array<string>, preprocessing_seconds double
+"""
+
 
 def new_run_id() -> str:
     """UTC second of the call, as the name of a run folder."""
@@ -83,6 +91,11 @@ def read_metrics(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema(METRICS_SCHEMA).option("multiLine", True).json(path)
 
 
+def read_summary(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Data summaries, one per file, on one line or pretty-printed."""
+    return spark.read.schema(SUMMARY_SCHEMA).option("multiLine", True).json(path)
+
+
 def read_confusion(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Confusion cells: a file with an array or lines of cells, or one with ``rows``."""
     cell = "actual string, predicted string, count bigint"
