@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,17 +12,14 @@ from .folders import remove_folder
 class StageArea:
     """A new folder for intermediate tables, on storage all executors share.
 
-    The base is ``spark.checkpoint.dir`` of the session.  Written tables survive the
-    loss of any executor, unlike cached blocks, and are read back with column pruning.
-    Only a local session without that setting gets a temporary folder.
+    The base is ``spark.checkpoint.dir`` of the session, or its warehouse folder where
+    that is unset.  Written tables survive the loss of any executor, unlike cached
+    blocks, and are read back with column pruning.
     """
 
     def __init__(self, spark: SparkSession):
         base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            if not spark.conf.get("spark.master", "").startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder the cluster shares")
-            base = tempfile.mkdtemp(prefix="kinetable-")
+        base = base or spark.conf.get("spark.sql.warehouse.dir")
         self.spark = spark
         self.path = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
 
