@@ -120,6 +120,29 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def replace_texts(frame: DataFrame, make: Callable[[], Callable[[str | None], str | None]]):
+    """The rows with new texts, and ``n_chars`` after them where it is a long column."""
+    ship(frame.sparkSession)
+    names = frame.columns
+    place = names.index("text")
+    chars = names.index("n_chars") if dict(frame.dtypes).get("n_chars") == "bigint" else None
+
+    def run(batches):
+        new = make()
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_PER_PIECE):
+                piece = batch.slice(start, ROWS_PER_PIECE)
+                texts = [new(text) for text in piece.column(place).to_pylist()]
+                columns = list(piece.columns)
+                columns[place] = pa.array(texts, columns[place].type)
+                if chars is not None:
+                    sizes = [None if text is None else len(text) for text in texts]
+                    columns[chars] = pa.array(sizes, pa.int64())
+                yield pa.RecordBatch.from_arrays(columns, schema=piece.schema)
+
+    return frame.mapInArrow(run, frame.schema)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, target: str, limit: int
 ) -> DataFrame:
