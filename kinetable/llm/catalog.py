@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, compression, mixing, pii, sketches
+from . import bpe, compression, mixing, neighbours, pii, sketches, toxicity
 from .common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -26,6 +26,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(docs, VOCABULARY, public_tokenizers.PATTERN)
 
 
+def op7_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -37,14 +41,20 @@ def op9_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_compression_bands,
         op5_personal_data,
         op6_byte_bpe,
+        op7_clause_grammar,
         op8_entropy_mix,
         op9_bottom_k,
+        op10_neighbour_vote,
     )
 }
 
