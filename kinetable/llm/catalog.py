@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, compression, mixing, neighbours, pii, sketches, toxicity
+from . import bpe, compression, mixing, neighbours, pii, sketches, suffixes, toxicity
 from .common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -17,6 +17,10 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_rules(read(spark, sf_dir, "documents"))
 
 
+def op4_sorted_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal_digests(read(spark, sf_dir, "documents"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_compression_bands,
+        op4_sorted_suffixes,
         op5_personal_data,
         op6_byte_bpe,
         op7_clause_grammar,
