@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, compression, mixing, neighbours, pii, sketches, suffixes, toxicity
+from . import bpe, compression, covertree, licences, mixing, neighbours, pii, sketches, suffixes, toxicity
 from .common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -17,6 +17,14 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_rules(read(spark, sf_dir, "documents"))
 
 
+def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.close_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op3_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_paragraphs(read(spark, sf_dir, "documents"))
+
+
 def op4_sorted_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removal_digests(read(spark, sf_dir, "documents"))
 
@@ -53,6 +61,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_compression_bands,
+        op2_cover_tree,
+        op3_licence_classifier,
         op4_sorted_suffixes,
         op5_personal_data,
         op6_byte_bpe,
