@@ -29,6 +29,10 @@ class StageArea:
         frame.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def drop(self, name: str) -> None:
+        """Delete one table, once nothing reads from it any more."""
+        remove_folder(self.spark, f"{self.path}/{name}")
+
     def remove(self) -> None:
         """Delete the folder, once nothing reads from it any more."""
         remove_folder(self.spark, self.path)
