@@ -2,15 +2,17 @@
 
 A document's set is its distinct word shingles, as 64-bit hashes.  Its sketch is the k
 smallest of them.  Inverted lists of retained values bring documents together, an estimate
-on the union of two sketches filters the pairs, and the full sets decide.
+on the union of two sketches filters the pairs, and the full sets decide.  Between the last
+two stands a bound that loses nothing: each set has a bit for every residue of its hashes
+that an odd number of them has, and two sets differ in at least as many shingles as bits.
 
 What makes it work on large input:
 
 - Equal sets are one node, so exact copies cost one row each, however many there are.
 - A list belongs to three values that follow each other in a sketch.  Documents that share
   a frequent word pair or line rarely share such a run by chance.  If two sets have
-  similarity 0.8, their union's 64 smallest values hold no run of three shared ones with a
-  probability of 1e-10; sets that fit into a sketch always share one (below six values,
+  similarity 0.8, their union's 40 smallest values hold no run of three shared ones with a
+  probability of about 1e-6; sets that fit into that always share one (below six values,
   runs of two count as well, and below three the whole set).
 - First the documents of a list are compared with its least document only, then each with
   the likeliest partner in its longest list.  What is left are pairs of documents that no
@@ -49,13 +51,20 @@ class Settings:
 
     words: int = 5
     percent: int = 80
-    kept: int = 128
+    kept: int = 64
     # Of those, the smallest that make lists.
-    listed: int = 64
-    block: int = 512
+    listed: int = 40
+    block: int = 2048
+    # Residues of the parity bits, and texts to confirm that may be looked up by broadcast.
+    residues: int = 4096
+    broadcast: int = 200_000
     # Word hashes a task remembers.
     remembered: int = 500_000
 
+    def most_apart(self, sizes):
+        """Shingles that are in one of two linked sets only, at most; ``sizes`` is their sum."""
+        return sizes * (100 - self.percent) / (100 + self.percent) + 1e-6
+
     def least_shared(self, union, sizes, root):
         """Shared values that links have in a sample of their union, less five deviations.
 
@@ -104,8 +113,14 @@ def _signed(values: np.ndarray) -> list[int]:
     return (values ^ np.uint64(1 << 63)).view(np.int64).tolist()
 
 
+def _parities(values: np.ndarray, residues: int) -> list[int]:
+    """A bit for each residue that an odd number of values has, in longs."""
+    counts = np.bincount((values % np.uint64(residues)).astype(np.int64), minlength=residues)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64).tolist()
+
+
 def sketch_documents(docs: DataFrame, settings: Settings) -> DataFrame:
-    """``doc_id, text_key, n_shingles, set_key, sketch``; the keys are 128-bit digests."""
+    """``doc_id, text_key, n_shingles, set_key, sketch, bits``; keys are 128-bit digests."""
 
     def make():
         shingler = Shingler(settings)
@@ -114,11 +129,13 @@ def sketch_documents(docs: DataFrame, settings: Settings) -> DataFrame:
             found = shingler(text)
             text_key = hashlib.md5((text or "").encode("utf-8", "surrogatepass")).digest()
             set_key = hashlib.md5(found.tobytes()).digest()
-            return doc_id, text_key, len(found), set_key, _signed(found[: settings.kept])
+            sketch, bits = _signed(found[: settings.kept]), _parities(found, settings.residues)
+            return doc_id, text_key, len(found), set_key, sketch, bits
 
         return each
 
-    ddl = "doc_id long, text_key binary, n_shingles long, set_key binary, sketch array<long>"
+    ddl = "doc_id long, text_key binary, n_shingles long, set_key binary, "
+    ddl += "sketch array<long>, bits array<long>"
     return map_each(docs.select("doc_id", "text"), ddl, make)
 
 
@@ -148,12 +165,17 @@ def _postings(sets: DataFrame, settings: Settings) -> DataFrame:
 def _estimated(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """The pairs whose sketches allow a link: sizes, then the union's shared values."""
     one = sets.select(
-        F.col("set_key").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a")
+        F.col("set_key").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"),
+        F.col("bits").alias("bits_a"),
     )
     two = sets.select(
-        F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b")
+        F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"),
+        F.col("bits").alias("bits_b"),
     )
     joined = pairs.join(one, "a").join(two, "b")
+    odd = F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    odd = F.aggregate(odd, F.lit(0), lambda total, x: total + x)
+    joined = joined.where(odd <= settings.most_apart(F.col("n_a") + F.col("n_b")))
 
     def reach(n: str, sketch: str) -> Column:
         # A sketch that is its whole set knows all values.
@@ -199,7 +221,8 @@ def _block_pairs(settings: Settings, likeliest: bool):
 
     class Side:
         def __init__(self, members: pa.StructArray):
-            self.keys, self.roots, sizes, sketches = members.flatten()
+            self.keys, self.roots, sizes, sketches, bits = members.flatten()
+            self.bits = bits.flatten().to_numpy().view(np.uint64).reshape(len(members), -1)
             self.sizes = sizes.to_numpy()
             lengths = pc.list_value_length(sketches).to_numpy()
             self.sketches = np.split(sketches.flatten().to_numpy(), np.cumsum(lengths)[:-1])
@@ -231,9 +254,14 @@ def _block_pairs(settings: Settings, likeliest: bool):
             passed &= best
         elif not two:
             passed = np.triu(passed)
-        for i, j in zip(*np.nonzero(passed), strict=True):
-            a, b = one.keys[i].as_py(), other.keys[j].as_py()
-            yield min(a, b), max(a, b)
+        places = np.argwhere(passed)
+        for start in range(0, len(places), 8192):
+            i, j = places[start : start + 8192].T
+            apart = np.bitwise_count(one.bits[i] ^ other.bits[j]).sum(1)
+            near = apart <= settings.most_apart(sizes[i, j])
+            for x, y in zip(i[near].tolist(), j[near].tolist(), strict=True):
+                a, b = one.keys[x].as_py(), other.keys[y].as_py()
+                yield min(a, b), max(a, b)
 
     def each(batches):
         for batch in batches:
@@ -249,6 +277,10 @@ def _confirmed(pairs: DataFrame, chosen: DataFrame, docs: DataFrame, settings, s
         pairs.select(F.col("b").alias("set_key"))
     )
     keys = chosen.join(needed.distinct(), "set_key").select("text_key", "set_key")
+    keys = stage.table(keys, f"{name}-keys")
+    if keys.count() <= settings.broadcast:
+        # Counted: these digests take a few megabytes, and no text is shuffled for them.
+        keys = F.broadcast(keys)
     texts = docs.select(text_key().alias("text_key"), "text")
     texts = texts.join(keys, "text_key", "left_semi").groupBy("text_key").agg(
         F.first("text").alias("text")
@@ -296,12 +328,14 @@ def _blocks(lists: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     dealt = lists.join(open_lists, "list").withColumn(
         "part", F.pmod(F.xxhash64("set_key"), F.col("parts"))
     )
+    dealt = dealt.join(sets.select("set_key", "n", "sketch", "bits"), "set_key")
+    member = F.struct("set_key", "root", "n", "sketch", "bits")
+    whole = dealt.where("parts = 1").groupBy("list").agg(F.collect_list(member).alias("left"))
+    whole = whole.select("left", F.array().cast(whole.schema["left"].dataType).alias("right"))
     # A part stands on the left against parts after it, on the right against those before.
-    dealt = dealt.join(sets.select("set_key", "n", "sketch"), "set_key")
-    spread = dealt.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
-    member = F.struct("set_key", "root", "n", "sketch")
+    spread = dealt.where("parts > 1").withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
     on_left = F.col("part") <= F.col("other")
-    return (
+    split = (
         spread.withColumn("low", F.least("part", "other"))
         .withColumn("high", F.greatest("part", "other"))
         .groupBy("list", "low", "high")
@@ -312,21 +346,25 @@ def _blocks(lists: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
         .where((F.size("left") > 0) & ((F.col("low") == F.col("high")) | (F.size("right") > 0)))
         .select("left", "right")
     )
+    return whole.union(split)
 
 
 def _classes(docs: DataFrame, settings: Settings, stage: StageArea) -> tuple[DataFrame, DataFrame]:
-    """Sketches of all documents, and ``(node, root)`` of the sets that have links."""
-    sketches = stage.table(sketch_documents(docs, settings), "sketches")
+    """Keys of all documents, and ``(node, root)`` of the sets that have links."""
+    full = stage.table(sketch_documents(docs, settings), "sketches")
+    sketches = stage.table(full.drop("sketch", "bits"), "documents")
     sets = (
-        sketches.where(F.col("n_shingles") > 0)
+        full.where(F.col("n_shingles") > 0)
         .groupBy("set_key")
         .agg(
             F.first("n_shingles").alias("n"),
             F.first("sketch").alias("sketch"),
+            F.first("bits").alias("bits"),
             F.min("text_key").alias("text_key"),
         )
     )
     sets = stage.table(sets, "sets")
+    stage.drop("sketches")
     postings = _postings(sets, settings)
     shared = postings.groupBy("list").agg(
         F.count("*").alias("members"), F.min(F.struct("set_key", "n")).alias("pivot")
