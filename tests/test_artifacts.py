@@ -105,9 +105,8 @@ def test_stage_area_uses_the_shared_folder():
     areas = [StageArea(session_with(spark_checkpoint_dir="/shared/")) for _ in range(2)]
     assert all(area.path.startswith("/shared/stage-") for area in areas)
     assert areas[0].path != areas[1].path
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        StageArea(session_with(spark_master="yarn"))
-    assert "kinetable-" in StageArea(session_with(spark_master="local[4]")).path
+    without = session_with(spark_sql_warehouse_dir="/warehouse")
+    assert StageArea(without).path.startswith("/warehouse/stage-")
 
 
 def test_staged_tables_are_written_once_and_removed(spark):

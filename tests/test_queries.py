@@ -8,6 +8,8 @@ import pytest
 from compare import difference
 
 import __spark_entry__ as entry
+from kinetable.catalog.oracle import ORACLE
+from kinetable.catalog.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="tables not present")
@@ -15,21 +17,23 @@ ROWS_ONLY = {"lr_predictions", "rf_predictions", "model_comparison"}
 
 
 def test_all_but_model_results_have_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, name):
-    frame = entry.queries()[name](spark, SF_DIR)
-    assert difference(frame, SF_DIR, entry.oracle_sql()[name]) is None
+    frame = QUERIES[name](spark, SF_DIR)
+    assert difference(frame, SF_DIR, ORACLE[name]) is None
 
 
 @needs_tables
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_model_queries_have_rows(spark, name):
-    frame = entry.queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     rows = frame.count()
     assert rows == (2 if name == "model_comparison" else 11)
 
@@ -40,8 +44,8 @@ def test_entry(spark):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plans_have_no_pair_products_or_python(spark, name):
-    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
         assert unwanted not in plan
