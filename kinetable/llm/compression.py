@@ -34,14 +34,14 @@ class Bands:
     level: int = 3
     whole: tuple[tuple[float, float, float], ...] = (
         (256, 0.20, 1.20),
-        (1024, 0.20, 0.95),
-        (4096, 0.20, 0.85),
-        (16384, 0.18, 0.80),
-        (float("inf"), 0.12, 0.80),
+        (1024, 0.20, 0.85),
+        (4096, 0.20, 0.75),
+        (16384, 0.18, 0.70),
+        (float("inf"), 0.12, 0.68),
     )
     chunk_bytes: int = 2048
     chunk_low: float = 0.20
-    chunk_high: float = 0.85
+    chunk_high: float = 0.78
     bad_chunks: float = 0.5
     least_words: int = 50
     most_repeated_percent: int = 50

@@ -454,12 +454,12 @@ def keep_one_of_each(docs: DataFrame, settings: Settings | None = None) -> DataF
     ).select("_text_key", "_doc_id", "_rows", F.lit(True).alias("_stays"))
     best = stage.table(best, "best")
     empty = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) == ""
-    marked = docs.withColumn("_key", text_key()).withColumn("_empty", empty)
+    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("_row")
+    marked = docs.select(row, "doc_id", text_key().alias("_key"), empty.alias("_empty"))
     matches = (F.col("_key") == F.col("_text_key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
     kept = marked.join(best, matches, "left")
-    names = docs.columns
-    single = kept.where("_empty or (_stays and _rows = 1)").select(names)
+    single = kept.where("_empty or (_stays and _rows = 1)").select("_row.*")
     if best.where("_rows > 1").isEmpty():
         return single
-    repeated = kept.where("not _empty and _stays and _rows > 1").dropDuplicates(["_key"])
-    return single.union(repeated.select(names))
+    repeated = kept.where("not _empty and _stays and _rows > 1").dropDuplicates(["_key", "doc_id"])
+    return single.union(repeated.select("_row.*"))
