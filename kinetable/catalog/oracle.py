@@ -77,11 +77,13 @@ _TYPED = """
            case when path like '%/accel/%' then 'accel'
                 when path like '%/gyro/%' then 'gyro' else 'unknown' end as sensor,
            cast(len(f) as integer) as field_count,
-           case when regexp_full_match(trim(f[1]), '[+-]?[0-9]+')
-                then try_cast(f[1] as integer) end as subject_id,
+           case when regexp_full_match(trim(f[1]), '[+-]?[0-9]+([.][0-9]*)?')
+                then try_cast(regexp_extract(trim(f[1]), '^[+-]?[0-9]+') as integer)
+                when regexp_full_match(trim(f[1]), '[+-]?[.][0-9]*') then 0 end as subject_id,
            trim(f[2]) as activity,
-           case when regexp_full_match(trim(f[3]), '[+-]?[0-9]+')
-                then try_cast(f[3] as bigint) end as timestamp_ns,
+           case when regexp_full_match(trim(f[3]), '[+-]?[0-9]+([.][0-9]*)?')
+                then try_cast(regexp_extract(trim(f[3]), '^[+-]?[0-9]+') as bigint)
+                when regexp_full_match(trim(f[3]), '[+-]?[.][0-9]*') then 0 end as timestamp_ns,
            try_cast(f[4] as double) as x, try_cast(f[5] as double) as y,
            try_cast(f[6] as double) as z
     from fields

@@ -23,10 +23,10 @@ def _fused_names(features: DataFrame) -> list[str]:
 def fuse_sensors(features: DataFrame, sensors: list[str]) -> DataFrame:
     """One row per window that every sensor has, columns prefixed with the sensor name.
 
-    Expects at most one row per window and sensor, as ``window_features`` gives.  Then
-    the inner join is a grouping: the readings are scanned and aggregated once, and
-    only finished windows are shuffled again, for any number of sensors.  Fewer than
-    two sensors return the frame unchanged.
+    With one row per window and sensor, as ``window_features`` gives, the inner join is a
+    grouping: the readings are scanned and aggregated once, and only finished windows are
+    shuffled again, for any number of sensors.  A second row for a window and sensor is an
+    error.  Fewer than two sensors return the frame unchanged.
     """
     if len(sensors) < 2:
         return features
@@ -38,17 +38,20 @@ def fuse_sensors(features: DataFrame, sensors: list[str]) -> DataFrame:
 
     wanted = features.where(F.col("sensor").isin(*sensors))
     fused = wanted.groupBy(*WINDOW_KEYS).agg(
-        *(of_sensor(sensor, name) for sensor in sensors for name in names)
+        *(of_sensor(sensor, name) for sensor in sensors for name in names),
+        *(F.count_if(F.col("sensor") == sensor).alias(f"_{sensor}_rows") for sensor in sensors),
     )
-    complete = [F.col(f"{sensor}_sample_count").isNotNull() for sensor in sensors]
-    return fused.where(reduce(Column.__and__, complete))
+    rows = [F.col(f"_{sensor}_rows") for sensor in sensors]
+    repeated = F.raise_error(F.lit("a window has more than one row of a sensor"))
+    complete = F.when(F.greatest(*rows) > 1, repeated.cast("boolean")).otherwise(F.least(*rows) > 0)
+    return fused.where(complete).drop(*(f"_{sensor}_rows" for sensor in sensors))
 
 
 def fuse_sensors_by_join(features: DataFrame, sensors: list[str]) -> DataFrame:
     """The same fusion as an inner join per sensor.
 
     For stored features, where reading one slice per sensor is cheap.  It also pairs
-    up repeated windows, which ``fuse_sensors`` does not expect.
+    up repeated windows, which ``fuse_sensors`` refuses.
     """
     if len(sensors) < 2:
         return features

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,14 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .evaluate import metrics_record, named_predictions
-from .fusion import model_columns
+from .fusion import WINDOW_KEYS, model_columns
 
 SPLITS = ("train", "validation", "test")
 MODELS = ("logistic_regression", "random_forest")
 
-_LARGE_TRAIN_ROWS = 1_000_000
-_ROWS_WORTH_A_TASK = 400
-
 
 @dataclass(frozen=True)
 class ModelSettings:
@@ -32,9 +30,11 @@ class ModelSettings:
     num_trees: int = 80
     max_depth: int = 12
     feature_subset_strategy: str = "sqrt"
-    # Node statistics held per task and pass; more memory means fewer passes over the
-    # train rows and the same trees.
-    max_memory_mb: int = 512
+    # Node statistics held per task and pass, as MLlib has it.  Once it binds, nodes are
+    # split in other groups, which can change the trees.
+    max_memory_mb: int = 256
+    # Bagging is seeded per partition, so their number is part of a model's settings.
+    train_partitions: int = 32
 
 
 @dataclass(frozen=True)
@@ -105,14 +105,11 @@ def checked_split_counts(features: DataFrame) -> dict[str, int]:
     return counts
 
 
-def small_train_partitions(rows: int, cores: int) -> int | None:
-    """Partitions for a train set so small that its few files would leave cores idle.
-
-    None for a larger one: its file splits are parallel enough, and moving it costs.
-    """
-    if rows >= _LARGE_TRAIN_ROWS:
-        return None
-    return max(1, min(cores, rows // _ROWS_WORTH_A_TASK))
+def dealt(examples: DataFrame, keys: list[str], partitions: int) -> DataFrame:
+    """``label, features`` in partitions and an order that follow from the rows alone."""
+    values = vector_to_array("features")
+    rows = examples.repartition(partitions, *keys or [values])
+    return rows.sortWithinPartitions(*keys, "label", values).select("label", "features")
 
 
 def fit_models(
@@ -121,34 +118,38 @@ def fit_models(
     *,
     settings: ModelSettings | None = None,
     seed: int,
-    partitions: int | None = None,
-) -> list[Fitted]:
-    """Fit the named classifiers on the train rows.
+    stage=None,
+) -> Iterator[Fitted]:
+    """Fit the named classifiers on the train rows, each as it is asked for.
 
     Index, vector and scaling are the same for all of them, so they are fitted once
     and every returned pipeline carries them.  A model's seconds include that share.
-    ``partitions`` spreads the rows anew; see ``small_train_partitions``.
+    ``stage(frame, name)`` stores the examples, so that fits do not prepare them again.
+
+    Examples are dealt by their keys into ``train_partitions`` and sorted there, so a
+    model depends on the rows and the settings, not on files, their order or cores.
     """
     settings = settings or ModelSettings()
     estimators = [(name, classifier(name, settings, seed)) for name in names]
     columns = model_columns(features)
-    train = of_split(features, "train").select("activity", *columns)
+    keys = [name for name in (*WINDOW_KEYS, "sensor") if name in features.columns]
+    train = of_split(features, "train").select("*")
 
     started = time.perf_counter()
     prepared = preparation(columns).fit(train)
-    examples = prepared.transform(train).select("label", "features")
-    if partitions:
-        examples = examples.repartition(partitions)
+    examples = prepared.transform(train).select(*keys, "label", "features")
+    if stage:
+        examples = stage(examples, "examples")
+    examples = dealt(examples, keys, settings.train_partitions)
     preparation_seconds = time.perf_counter() - started
 
-    fitted = []
-    for name, estimator in estimators:
+    def fit(name: str, estimator) -> Fitted:
         started = time.perf_counter()
         model = estimator.fit(examples)
         seconds = preparation_seconds + time.perf_counter() - started
-        pipeline = PipelineModel(stages=[*prepared.stages, model])
-        fitted.append(Fitted(name, pipeline, seconds, columns))
-    return fitted
+        return Fitted(name, PipelineModel(stages=[*prepared.stages, model]), seconds, columns)
+
+    return (fit(name, estimator) for name, estimator in estimators)
 
 
 def predict(pipeline: PipelineModel, rows: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

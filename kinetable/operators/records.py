@@ -30,6 +30,13 @@ def _without_terminator(text: Column) -> Column:
     return F.when(F.endswith(text, F.lit(";")), plain).otherwise(rare)
 
 
+def _whole(text: Column, kind: str) -> Column:
+    """Text as an integer; digits after a point are cut off, as a plain cast does."""
+    before = F.regexp_extract(text, r"^\s*([+-]?[0-9]*)[.][0-9]*\s*$", 1)
+    cut = F.when(text.rlike(r"^\s*[+-]?[.][0-9]*\s*$"), "0").otherwise(before)
+    return F.coalesce(text.try_cast(kind), cut.try_cast(kind))
+
+
 def _is_valid() -> Column:
     activity = F.col("activity").rlike("^[A-S]$") & (F.col("activity") != "N")
     numbers = [F.col(name).isNotNull() for name in ("subject_id", "timestamp_ns", *AXES)]
@@ -74,9 +81,9 @@ def parse_records(lines: DataFrame) -> DataFrame:
         ["raw_line", "source_file", "device", "sensor"],
         [
             F.size("fields").alias("field_count"),
-            field(0).try_cast("int").alias("subject_id"),
+            _whole(field(0), "int").alias("subject_id"),
             F.trim(field(1)).alias("activity"),
-            field(2).try_cast("bigint").alias("timestamp_ns"),
+            _whole(field(2), "bigint").alias("timestamp_ns"),
             *(field(3 + i).try_cast("double").alias(axis) for i, axis in enumerate(AXES)),
         ],
     )

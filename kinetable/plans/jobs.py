@@ -16,7 +16,6 @@ from ..operators.learn import (
     checked_split_counts,
     evaluate_model,
     fit_models,
-    small_train_partitions,
 )
 from ..operators.records import parse_records
 from ..operators.splits import attach_splits, dataset_summary, ranked_subjects
@@ -111,7 +110,7 @@ def summary_record(features: DataFrame, details: dict) -> DataFrame:
 
 def prepare(spark: SparkSession, raw: str, output: str, settings: JobSettings) -> DataFrame:
     """Parse, window, fuse and split; write ``features`` and ``data_summary_json``."""
-    refuse_existing(spark, f"{output}/features", f"{output}/data_summary_json")
+    refuse_existing(spark, output)
     started = time.perf_counter()
     stage = StageArea(spark)
     try:
@@ -146,7 +145,6 @@ def compare_models(
     spark = features.sparkSession
     refuse_existing(spark, *(f"{output}/{name}" for name in (*names, "comparison_json")))
     counts = checked_split_counts(features)
-    cores = spark.sparkContext.defaultParallelism
     stage = StageArea(spark)
     paths = {}
     try:
@@ -155,7 +153,7 @@ def compare_models(
             names,
             settings=settings.models,
             seed=settings.seed,
-            partitions=small_train_partitions(counts["train"], cores),
+            stage=stage.table,
         ):
             folder = f"{output}/{fitted.name}"
             cells, record = evaluate_model(
@@ -177,6 +175,7 @@ def train(
     spark: SparkSession, features_path: str, output: str, settings: JobSettings
 ) -> DataFrame:
     """Summarise stored features and compare the models on them."""
+    refuse_existing(spark, output)
     features = read_features(spark, features_path)
     summary = summary_record(features, {"prepared_feature_path": features_path})
     write_record(summary, f"{output}/data_summary_json")
@@ -185,7 +184,7 @@ def train(
 
 def run(spark: SparkSession, raw: str, output: str, settings: JobSettings) -> DataFrame:
     """Prepare and compare in one job; the models read the written features."""
-    refuse_existing(spark, *(f"{output}/{name}" for name in MODELS))
+    refuse_existing(spark, output)
     return compare_models(prepare(spark, raw, output, settings), settings, output)
 
 

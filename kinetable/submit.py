@@ -26,6 +26,14 @@ def arguments(values: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-iter", type=int, default=80)
     parser.add_argument("--num-trees", type=int, default=80)
     parser.add_argument("--max-depth", type=int, default=12)
+    parser.add_argument("--train-fraction", type=float, default=0.70)
+    parser.add_argument("--validation-fraction", type=float, default=0.15)
+    parser.add_argument("--test-fraction", type=float, default=0.15)
+    parser.add_argument("--reg-param", type=float, default=0.05)
+    parser.add_argument("--elastic-net-param", type=float, default=0.0)
+    parser.add_argument("--feature-subset-strategy", default="sqrt")
+    parser.add_argument("--train-partitions", type=int, default=32)
+    parser.add_argument("--shuffle-partitions", type=int)
     given = parser.parse_args(values)
     missing = "features" if given.job == "train" else "raw"
     if not getattr(given, missing):
@@ -42,11 +50,22 @@ def main(values: list[str] | None = None) -> None:
         minimum_samples=given.minimum_samples,
         seed=given.seed,
         models=ModelSettings(
-            max_iter=given.max_iter, num_trees=given.num_trees, max_depth=given.max_depth
+            max_iter=given.max_iter,
+            num_trees=given.num_trees,
+            max_depth=given.max_depth,
+            reg_param=given.reg_param,
+            elastic_net_param=given.elastic_net_param,
+            feature_subset_strategy=given.feature_subset_strategy,
+            train_partitions=given.train_partitions,
         ),
+        train_fraction=given.train_fraction,
+        validation_fraction=given.validation_fraction,
+        test_fraction=given.test_fraction,
     )
     builder = SparkSession.builder
-    for name, value in session_options("kinetable").items():
+    for name, value in session_options(
+        "kinetable", shuffle_partitions=given.shuffle_partitions
+    ).items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     output = f"{given.output.rstrip('/')}/{new_run_id()}"

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
@@ -44,8 +46,12 @@ def test_shared_preparation_equals_one_pipeline(features, name):
     columns = ["x_mean", "y_mean", "z_mean"]
     assert fitted.columns == columns
     assert len(fitted.pipeline.stages) == 4
-    stages = [*learn.preparation(columns).getStages(), learn.classifier(name, SETTINGS, 42)]
-    whole = Pipeline(stages=stages).fit(learn.of_split(features, "train"))
+    train = learn.of_split(features, "train")
+    prepared = Pipeline(stages=learn.preparation(columns).getStages()).fit(train)
+    keys = ["subject_id", "activity", "window_id"]
+    examples = learn.dealt(prepared.transform(train), keys, SETTINGS.train_partitions)
+    model = learn.classifier(name, SETTINGS, 42).fit(examples)
+    whole = PipelineModel(stages=[*prepared.stages, model])
     test = learn.of_split(features, "test")
     ours = learn.predict(fitted.pipeline, test, ("window_id",)).collect()
     theirs = learn.predict(whole, test, ("window_id",)).collect()
@@ -53,11 +59,15 @@ def test_shared_preparation_equals_one_pipeline(features, name):
     assert sum(row["label"] == row["prediction"] for row in ours) > 90
 
 
-def test_small_train_sets_are_spread():
-    assert learn.small_train_partitions(100, 8) == 1
-    assert learn.small_train_partitions(2000, 8) == 5
-    assert learn.small_train_partitions(50_000, 8) == 8
-    assert learn.small_train_partitions(5_000_000, 8) is None
+def test_a_model_depends_on_rows_and_settings_only(features):
+    def trees(frame):
+        (fitted,) = learn.fit_models(frame, ("random_forest",), settings=SETTINGS, seed=42)
+        text = fitted.pipeline.stages[-1].toDebugString.split("\n", 1)[1]
+        # The scaler's sums may differ in their last bit.
+        return re.sub(r"[0-9]+[.][0-9]+", lambda found: f"{float(found.group()):.9f}", text)
+
+    shuffled = features.orderBy(F.rand(3)).repartition(7)
+    assert trees(features) == trees(shuffled) == trees(features.coalesce(1))
 
 
 def test_labels_are_alphabetical_and_from_train(features):

@@ -67,7 +67,7 @@ def test_accepted_lines(spark, line):
         "1600,AB,5,1,2,3;",
         "1600,,5,1,2,3;",
         "x,A,5,1,2,3;",
-        "1.5,A,5,1,2,3;",
+        "1e1,A,5,1,2,3;",
         "99999999999,A,5,1,2,3;",
         "1600,A,x,1,2,3;",
         "1600,A,-5,1,2,3;",
@@ -111,10 +111,12 @@ def test_device_and_sensor_come_from_the_folders(spark, path, device, sensor):
 
 
 def as_integer(text, bits):
-    text = text.strip(" \t")
-    if not re.fullmatch(r"[+-]?[0-9]+", text) or not -(2 ** (bits - 1)) <= int(text) < 2 ** (bits - 1):
+    """As a plain cast reads it: digits after a point are cut off."""
+    found = re.fullmatch(r"\s*([+-]?)([0-9]*)([.][0-9]*)?\s*", text)
+    if not found or not (found[2] or found[3]):
         return None
-    return int(text)
+    value = int(found[1] + (found[2] or "0"))
+    return value if -(2 ** (bits - 1)) <= value < 2 ** (bits - 1) else None
 
 
 def as_double(text):

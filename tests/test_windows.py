@@ -39,14 +39,14 @@ def test_feature_names_and_order():
 
 
 def test_a_window_with_two_constant_axes(spark):
-    rows = [(1600, "A", i * STEP, "phone", "accel", float(i), 1.0, 2.0) for i in range(100)]
+    rows = [(7, "C", i * STEP, "watch", "gyro", -3.5, 0.5 * i * i, 0.25) for i in range(85)]
     (row,) = features(spark, rows, minimum=70)
-    assert row["sample_count"] == 100
+    assert row["sample_count"] == 85
     assert row["window_id"] == 0
-    assert row["x_mean"] == pytest.approx(49.5)
-    assert row["x_std"] == pytest.approx(29.0114919759)
-    assert (row["x_min"], row["x_max"]) == (0.0, 99.0)
-    assert row["y_std"] == row["z_std"] == 0.0
+    assert row["y_mean"] == pytest.approx(1183.0)
+    assert row["y_std"] == pytest.approx(1071.39311568319)
+    assert (row["y_min"], row["y_max"]) == (0.0, 3528.0)
+    assert row["x_std"] == row["z_std"] == 0.0
     assert row["xy_corr"] == row["xz_corr"] == row["yz_corr"] == 0.0
     assert None not in row
 
