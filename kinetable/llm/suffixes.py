@@ -228,11 +228,31 @@ def reaches(members: list[tuple[int, bytes]], low: int, high: int, settings: Set
     Strings start ``low`` to ``high - 1`` bytes before the anchor.  A pair of numbers for
     each member, or None where no string of the band stands in another member.
     """
-    rights = [context[left : left + settings.length - low] for left, context in members]
-    lefts = [context[max(0, left - high + 1) : left][::-1] for left, context in members]
+    trimmed: dict[tuple[bytes, bytes], list[int]] = {}
+    for member, (left, context) in enumerate(members):
+        right = context[left : left + settings.length - low]
+        trimmed.setdefault((context[max(0, left - high + 1) : left][::-1], right), []).append(member)
+    lefts, rights = ([pair[side] for pair in trimmed] for side in range(2))
+    most, least = _extremes(lefts, rights, low, high, settings)
+    for place, same in enumerate(trimmed.values()):
+        if len(same) > 1:
+            # Members that agree in all the band can see share all of its strings.
+            last = min(high - 1, len(lefts[place]))
+            first = max(low, settings.length - len(rights[place]))
+            if first <= last:
+                most[place], least[place] = last, first
+        if most[place] >= 0:
+            for member in same:
+                yield member, int(most[place]), settings.length - int(least[place])
+
+
+def _extremes(lefts: list[bytes], rights: list[bytes], low: int, high: int, settings: Settings):
+    """The most and least distances of a repeated string from its start, for each member."""
+    most, least = [-1] * len(lefts), [high] * len(lefts)
+    if len(lefts) < 2:
+        return most, least
     by_right, by_left = sort_suffixes(rights), sort_suffixes(lefts)
-    most, least = [-1] * len(members), [high] * len(members)
-    if len(members) <= settings.small:
+    if len(lefts) <= settings.small:
         ahead, behind = _ranges_between(*by_right), _ranges_between(*by_left)
         for pair, right in ahead.items():
             first, last = max(low, settings.length - right), min(high - 1, behind[pair])
@@ -240,26 +260,24 @@ def reaches(members: list[tuple[int, bytes]], low: int, high: int, settings: Set
                 for member in pair:
                     most[member] = max(most[member], last)
                     least[member] = min(least[member], first)
-    else:
-        order = [np.array(found[0]) for found in (by_right, by_left)]
-        common = [np.array(found[1]) for found in (by_right, by_left)]
-        most, least = np.array(most), np.array(least)
-        classes = [np.empty(len(members), np.int64) for _ in range(2)]
-        for distance in range(low, high):
-            for side, needed in enumerate((settings.length - distance, distance)):
-                starts = common[side] < needed
-                starts[0] = True
-                classes[side][order[side]] = np.cumsum(starts)
-            long_enough = np.array([len(right) >= settings.length - distance for right in rights])
-            long_enough &= np.array([len(left) >= distance for left in lefts])
-            both = classes[0] * (len(members) + 1) + classes[1]
-            _, place, times = np.unique(both, return_inverse=True, return_counts=True)
-            found = (times[place] > 1) & long_enough
-            most[found] = distance
-            least[found & (least > distance)] = distance
-    for member in range(len(members)):
-        if most[member] >= 0:
-            yield member, int(most[member]), settings.length - int(least[member])
+        return most, least
+    order = [np.array(found[0]) for found in (by_right, by_left)]
+    common = [np.array(found[1]) for found in (by_right, by_left)]
+    most, least = np.array(most), np.array(least)
+    right_sizes, left_sizes = (np.array(list(map(len, side))) for side in (rights, lefts))
+    classes = [np.empty(len(lefts), np.int64) for _ in range(2)]
+    for distance in range(low, high):
+        for side, needed in enumerate((settings.length - distance, distance)):
+            starts = common[side] < needed
+            starts[0] = True
+            classes[side][order[side]] = np.cumsum(starts)
+        both = classes[0] * (len(lefts) + 1) + classes[1]
+        _, place, times = np.unique(both, return_inverse=True, return_counts=True)
+        found = (times[place] > 1) & (right_sizes >= settings.length - distance)
+        found &= left_sizes >= distance
+        most[found] = distance
+        least[found & (least > distance)] = distance
+    return most, least
 
 
 # --- the operator ----------------------------------------------------------------------
