@@ -2,6 +2,7 @@
 
 A text is a bag of terms: its words and their shapes, hashed, and a few statements about
 its layout (how often words or lines repeat, how many characters are symbols or capitals).
+Bags are made once and stored; counting and scoring read them instead of the texts.
 Term weights use document frequencies over all documents.  A truncated singular value
 decomposition of the labelled sample gives the latent space.  The sample's vectors are
 broadcast (at most ``Settings.sample`` rows of ``Settings.rank`` numbers), every document
@@ -25,7 +26,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled_sample, map_each, map_rows
+from ..sources.staging import StageArea
+from .common import held_out, labelled_sample, map_batches, map_each
 
 
 @dataclass(frozen=True)
@@ -68,25 +70,29 @@ def _shape(word: str) -> str:
     return kind + word[:12]
 
 
+class _Known(dict):
+    """A word's term and its shape's, as one number, made when first asked for."""
+
+    def __init__(self, settings: Settings):
+        super().__init__()
+        self.settings = settings
+
+    def __missing__(self, word: str) -> int:
+        plain = word.lower().strip(".,;:!?#*$%&|<>").encode("utf-8", "replace")
+        shape = _shape(word).encode("utf-8", "replace")
+        term = zlib.crc32(plain) % self.settings.word_terms
+        self[word] = found = (
+            term * self.settings.shape_terms + zlib.crc32(shape) % self.settings.shape_terms
+        )
+        return found
+
+
 class Bag:
     """Term numbers and counts of a text; remembers the words it has seen."""
 
     def __init__(self, settings: Settings):
         self.settings = settings
-        self._known: dict[str, tuple[int, int]] = {}
-
-    def _terms(self, word: str) -> tuple[int, int]:
-        found = self._known.get(word)
-        if found is None:
-            if len(self._known) > self.settings.remembered:
-                self._known.clear()
-            plain = word.lower().strip(".,;:!?#*$%&|<>")
-            found = self._known[word] = (
-                zlib.crc32(plain.encode("utf-8", "replace")) % self.settings.word_terms,
-                self.settings.word_terms
-                + zlib.crc32(_shape(word).encode("utf-8", "replace")) % self.settings.shape_terms,
-            )
-        return found
+        self._known = _Known(settings)
 
     def _layout(self, text: str, words: list[str], distinct: int):
         lines = [line for line in text.split("\n") if line]
@@ -105,11 +111,13 @@ class Bag:
         if not words:
             return np.empty(0, np.int64), np.empty(0)
         counted = Counter(words)
-        pairs = [self._terms(word) for word in counted]
+        if len(self._known) > self.settings.remembered:
+            self._known.clear()
+        both = np.fromiter(map(self._known.__getitem__, counted), np.int64, len(counted))
+        plain, shapes = np.divmod(both, self.settings.shape_terms)
+        terms = np.concatenate([plain, shapes + self.settings.word_terms])
         counts = np.fromiter(counted.values(), float, len(counted))
-        sums = np.bincount(
-            np.asarray(pairs).T.ravel(), np.concatenate([counts, counts]), self.settings.terms
-        )
+        sums = np.bincount(terms, np.concatenate([counts, counts]), self.settings.terms)
         for place, share in enumerate(self._layout(text, words, len(counted))):
             step = int(np.searchsorted(STEPS, share, "right")) - 1
             sums[self.settings.layout_start + place * len(STEPS) + step] = LAYOUT_COUNT
@@ -117,24 +125,47 @@ class Bag:
         return terms, sums[terms]
 
 
-def document_frequencies(docs: DataFrame, settings: Settings) -> tuple[np.ndarray, int]:
-    """How many documents have each term, over all of them; one number for each term."""
+def stored_bags(docs: DataFrame, settings: Settings, stage: StageArea) -> DataFrame:
+    """``doc_id, terms, counts`` of each document, written once."""
 
     def make():
         bag = Bag(settings)
 
-        def each(rows):
+        def each(batches):
+            for batch in batches:
+                # Texts become Python strings one at a time.
+                for doc_id, text in zip(*batch.columns, strict=True):
+                    terms, counts = bag(text.as_py())
+                    yield doc_id.as_py(), terms.astype(np.int16), counts.astype(np.int32)
+
+        return each
+
+    ddl = "doc_id long, terms array<smallint>, counts array<int>"
+    return stage.table(map_batches(docs.select("doc_id", "text"), ddl, make), "bags")
+
+
+def _lists(column) -> list[np.ndarray]:
+    """The arrays of an Arrow list column, without copies."""
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[start:end] for start, end in zip(ends, ends[1:], strict=False)]
+
+
+def document_frequencies(bags: DataFrame, settings: Settings) -> tuple[np.ndarray, int]:
+    """How many documents have each term, over all of them; one number for each term."""
+
+    def make():
+        def each(batches):
             found, total = np.zeros(settings.terms, np.int64), 0
-            for (text,) in rows:
-                found[bag(text)[0]] += 1
-                total += 1
+            for batch in batches:
+                found += np.bincount(batch.column(0).flatten().to_numpy(), minlength=len(found))
+                total += batch.num_rows
             yield -1, total
             for term in np.flatnonzero(found):
                 yield int(term), int(found[term])
 
         return each
 
-    summed = map_rows(docs.select("text"), "term int, n long", make).groupBy("term").agg(
+    summed = map_batches(bags.select("terms"), "term int, n long", make).groupBy("term").agg(
         F.sum("n").alias("n")
     )
     counts = {row["term"]: row["n"] for row in summed.collect()}
@@ -167,9 +198,9 @@ class Space:
         return found / np.where(lengths > 1e-12, lengths, 1)
 
 
-def fit_space(docs: DataFrame, labels: DataFrame, settings: Settings) -> Space:
-    """The space of a bounded sample, with term weights of all documents."""
-    frequency, total = document_frequencies(docs, settings)
+def fit_space(docs: DataFrame, labels: DataFrame, stored: DataFrame, settings: Settings) -> Space:
+    """The space of a bounded sample, with term weights of all documents' stored bags."""
+    frequency, total = document_frequencies(stored, settings)
     weights = np.log((1 + total) / (1 + frequency)) + 0.1
     sample = labelled_sample(docs, labels, "quality", settings.sample)
 
@@ -212,33 +243,31 @@ def vote(vectors: np.ndarray, space: Space, settings: Settings) -> np.ndarray:
 
 
 def quality(
-    docs: DataFrame, labels: DataFrame, settings: Settings | None = None
+    docs: DataFrame,
+    labels: DataFrame,
+    settings: Settings | None = None,
+    stage: StageArea | None = None,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each document."""
     settings = settings or Settings()
-    shared = docs.sparkSession.sparkContext.broadcast(fit_space(docs, labels, settings))
+    stored = stored_bags(docs, settings, stage or StageArea(docs.sparkSession))
+    space = fit_space(docs, labels, stored, settings)
+    shared = docs.sparkSession.sparkContext.broadcast(space)
 
     def make():
-        space, bag = shared.value, Bag(settings)
-
-        def scores(ids, bags):
-            found = vote(space.project(bags), space, settings)
-            return zip(ids, np.clip(found, 0, 1).tolist(), strict=True)
-
-        def each(rows):
-            ids, bags = [], []
-            for doc_id, text in rows:
-                ids.append(doc_id)
-                bags.append(bag(text))
-                if len(ids) == settings.block:
-                    yield from scores(ids, bags)
-                    ids, bags = [], []
-            if ids:
-                yield from scores(ids, bags)
+        space = shared.value
+
+        def each(batches):
+            for batch in batches:
+                for start in range(0, batch.num_rows, settings.block):
+                    ids, terms, counts = batch.slice(start, settings.block).columns
+                    bags = list(zip(_lists(terms), _lists(counts), strict=True))
+                    found = np.clip(vote(space.project(bags), space, settings), 0, 1)
+                    yield from zip(ids.to_pylist(), found.tolist(), strict=True)
 
         return each
 
-    scored = map_rows(docs.select("doc_id", "text"), "doc_id long, score double", make)
+    scored = map_batches(stored, "doc_id long, score double", make)
     return scored.select(
         "doc_id",
         held_out().alias("held_out"),
