@@ -266,7 +266,12 @@ def _extremes(lefts: list[bytes], rights: list[bytes], low: int, high: int, sett
     most, least = np.array(most), np.array(least)
     right_sizes, left_sizes = (np.array(list(map(len, side))) for side in (rights, lefts))
     classes = [np.empty(len(lefts), np.int64) for _ in range(2)]
-    for distance in range(low, high):
+    # Classes and lengths change at a few distances only; those in between are one run.
+    limits = np.concatenate(
+        [settings.length - common[0], common[1] + 1, settings.length - right_sizes, left_sizes + 1]
+    )
+    starts_of_runs = np.unique(np.append(limits[(limits > low) & (limits < high)], low)).tolist()
+    for distance, after in zip(starts_of_runs, [*starts_of_runs[1:], high], strict=True):
         for side, needed in enumerate((settings.length - distance, distance)):
             starts = common[side] < needed
             starts[0] = True
@@ -275,7 +280,7 @@ def _extremes(lefts: list[bytes], rights: list[bytes], low: int, high: int, sett
         _, place, times = np.unique(both, return_inverse=True, return_counts=True)
         found = (times[place] > 1) & (right_sizes >= settings.length - distance)
         found &= left_sizes >= distance
-        most[found] = distance
+        most[found] = after - 1
         least[found & (least > distance)] = distance
     return most, least
 
@@ -283,9 +288,14 @@ def _extremes(lefts: list[bytes], rights: list[bytes], low: int, high: int, sett
 # --- the operator ----------------------------------------------------------------------
 
 
-def _fetched(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
-    """``context, before, bytes`` of the wanted ``context, text_key, at``."""
-    places = wanted.groupBy("text_key").agg(F.collect_list(F.struct("context", "at")).alias("all"))
+def _fetched(docs: DataFrame, members: DataFrame, settings: Settings) -> DataFrame:
+    """``part, band, size, context, before, bytes`` of the members of groups.
+
+    The bytes are those that a string of the band can reach.
+    """
+    places = members.groupBy("text_key").agg(
+        F.collect_list(F.struct("part", "band", "size", "context", "at")).alias("all")
+    )
     texts = docs.select(text_key().alias("text_key"), "text").join(places, "text_key")
     texts = texts.groupBy("text_key").agg(F.first("text").alias("text"), F.first("all").alias("all"))
 
@@ -294,13 +304,16 @@ def _fetched(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFram
             for text, places in rows:
                 data = _raw(text)
                 for place in places:
-                    yield place["context"], *_context(data, place["at"], settings)
+                    low, high = settings.band(place["band"])
+                    at = place["at"]
+                    before = min(at, high - 1)
+                    found = data[at - before : at + settings.length - low]
+                    yield place["part"], place["band"], place["size"], place["context"], before, found
 
         return each
 
-    return map_rows(
-        texts.select("text", "all"), "context binary, before int, bytes binary", make
-    )
+    ddl = "part long, band int, size long, context binary, before int, bytes binary"
+    return map_rows(texts.select("text", "all"), ddl, make)
 
 
 def _sorted_reaches(members: DataFrame, settings: Settings) -> DataFrame:
@@ -357,15 +370,13 @@ def repeated_spans(docs: DataFrame, settings: Settings, stage: StageArea) -> Dat
         F.first("parts").alias("parts"),
     )
     contexts = stage.table(contexts, "contexts")
-    parts = contexts.select("context", F.posexplode("parts").alias("band", "part"))
+    parts = contexts.select(
+        "context", "place.text_key", "place.at", F.posexplode("parts").alias("band", "part")
+    )
     parts = parts.where(F.col("part").isNotNull())
     shared = parts.groupBy("part", "band").agg(F.count("*").alias("size")).where("size > 1")
-    open_parts = stage.table(parts.join(shared, ["part", "band"]), "parts")
-    wanted = contexts.join(open_parts.select("context").distinct(), "context").select(
-        "context", "place.text_key", "place.at"
-    )
-    fetched = stage.table(_fetched(docs, wanted, settings), "bytes")
-    members = open_parts.join(fetched, "context")
+    members = _fetched(docs, parts.join(shared, ["part", "band"]), settings)
+    members = stage.table(members, "members")
     small, large = F.col("size") <= settings.group, F.col("size") > settings.group
     found = _sorted_reaches(members.where(small), settings).union(
         _counted_reaches(members.where(large), settings)
