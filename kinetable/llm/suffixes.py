@@ -27,6 +27,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cmp_to_key
+from itertools import groupby
 
 import numpy as np
 import xxhash
@@ -318,24 +319,25 @@ def _fetched(docs: DataFrame, members: DataFrame, settings: Settings) -> DataFra
 
 def _sorted_reaches(members: DataFrame, settings: Settings) -> DataFrame:
     """``context, left, right`` from groups that fit into a task."""
-    groups = members.groupBy("part", "band").agg(
-        F.collect_list(F.struct("context", "before", "bytes")).alias("members")
-    )
+    # One shuffle and sort bring a group's rows behind each other; nothing is collected.
+    names = ("part", "band", "context", "before", "bytes")
+    dealt = members.select(*names).repartition("part", "band")
 
     def make():
         def each(rows) -> Iterator[tuple]:
-            for band, members in rows:
-                contexts = [(member["before"], member["bytes"]) for member in members]
+            for (_, band), group in groupby(rows, key=lambda row: row[:2]):
+                group = list(group)
+                contexts = [row[3:] for row in group]
                 for member, left, right in reaches(contexts, *settings.band(band), settings):
-                    yield members[member]["context"], left, right
+                    yield group[member][2], left, right
 
         return each
 
     ddl = "context binary, left int, right int"
-    return map_rows(groups.select("band", "members"), ddl, make)
+    return map_rows(dealt.sortWithinPartitions("part", "band"), ddl, make)
 
 
-def _counted_reaches(members: DataFrame, settings: Settings) -> DataFrame:
+def _counted_reaches(members: DataFrame, settings: Settings, stage: StageArea) -> DataFrame:
     """The same from larger groups, by counting digests of their strings."""
 
     def make():
@@ -353,6 +355,7 @@ def _counted_reaches(members: DataFrame, settings: Settings) -> DataFrame:
 
     ddl = "context binary, string binary, distance int"
     strings = map_rows(members.select("context", "before", "bytes", "band"), ddl, make)
+    strings = stage.table(strings, "strings")
     repeated = strings.groupBy("string").agg(F.count("*").alias("times")).where("times > 1")
     found = strings.join(repeated, "string").groupBy("context")
     return found.agg(
@@ -379,7 +382,7 @@ def repeated_spans(docs: DataFrame, settings: Settings, stage: StageArea) -> Dat
     members = stage.table(members, "members")
     small, large = F.col("size") <= settings.group, F.col("size") > settings.group
     found = _sorted_reaches(members.where(small), settings).union(
-        _counted_reaches(members.where(large), settings)
+        _counted_reaches(members.where(large), settings, stage)
     )
     found = found.groupBy("context").agg(F.max("left").alias("left"), F.max("right").alias("right"))
     # A context that stands twice is removed as a whole; reaches end at the text's ends.
