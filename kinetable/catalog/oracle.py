@@ -221,6 +221,7 @@ _PARSE_VIEWS = {
 _FEATURE_VIEWS = {"fused": _FUSED, "splits": _SPLITS, "features": _FEATURES}
 _SAMPLE_VIEWS = {"samples": _SAMPLES, "windows": _windows("samples"), **_FEATURE_VIEWS}
 _PREPARED_VIEWS = {**_PARSE_VIEWS, "windows": _windows("valid"), **_FEATURE_VIEWS}
+_SINGLE_SENSOR_VIEWS = {**_PREPARED_VIEWS, "fused": "select * from windows where sensor = 'accel'"}
 _LABEL_VIEWS = {
     **_SAMPLE_VIEWS,
     "label_index": """
@@ -322,6 +323,12 @@ ORACLE: dict[str, str] = {
         " from parsed group by _parse_ok",
     ),
     "prepared_features": _sql(_PREPARED_VIEWS, _SPLIT_FEATURES),
+    "prepare_job_single_sensor": _sql(
+        _SINGLE_SENSOR_VIEWS,
+        f"select {_FUSED_KEYS}, sensor, sample_count, subject_rank, split, "
+        + ", ".join(map(_round_feature, FEATURE_NAMES))
+        + " from features",
+    ),
     "confusion": _sql(_METRIC_VIEWS, "select actual, predicted, n as count from cells"),
     "confusion_dense": _sql(_METRIC_VIEWS, "select actual, predicted, n as count from dense"),
     "confusion_normalized": _sql(

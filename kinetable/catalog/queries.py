@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate, learn, records, splits, windows
 from ..operators.fusion import WINDOW_KEYS, fuse_sensors, fuse_sensors_by_join
 from ..plans import jobs
+from ..plans.settings import JobSettings
 from ..sources import artifacts
 from ..sources.staging import StageArea
 from ..sources.text import read_lines
@@ -154,10 +156,10 @@ def prepared_quality(spark, sf_dir):
     return windows.tallied_quality(tallied)
 
 
-def _prepared_run(spark: SparkSession, sf_dir: str) -> str:
+def _prepared_run(spark: SparkSession, sf_dir: str, settings: JobSettings = SETTINGS) -> str:
     """The output folder of the whole job over text files."""
     output = f"{StageArea(spark).path}/run"
-    jobs.prepare(spark, _line_folders(spark, sf_dir), output, SETTINGS)
+    jobs.prepare(spark, _line_folders(spark, sf_dir), output, settings)
     return output
 
 
@@ -166,6 +168,12 @@ def prepare_job(spark, sf_dir):
     return rounded(artifacts.read_features(spark, f"{output}/features"))
 
 
+def prepare_job_single_sensor(spark, sf_dir):
+    """The job with one sensor, whose windows pass without fusion."""
+    output = _prepared_run(spark, sf_dir, replace(SETTINGS, sensors=("accel",)))
+    return rounded(artifacts.read_features(spark, f"{output}/features"))
+
+
 def prepare_job_summary(spark, sf_dir):
     """The counts in the stored data summary as ``(metric, key, value)``."""
     output = _prepared_run(spark, sf_dir)
@@ -356,6 +364,7 @@ QUERIES: dict[str, Query] = {
         prepared_features,
         prepared_quality,
         prepare_job,
+        prepare_job_single_sensor,
         prepare_job_summary,
         feature_roundtrip,
         confusion,
