@@ -4,6 +4,13 @@ A text is compressed as a whole and in fixed chunks.  Ratios (compressed over ra
 below a band mean repetition, ratios above it mean noise; the band depends on the length,
 because short texts carry the frame and an untrained model.
 
+Limits follow from what encodings and repetition give in any text, not from a table.  Base64
+carries 6 bits in 8, so it cannot fall below 0.75 (0.74 in lines of 76, with the frame 0.75
+and more); ordinary text, prose of dense scripts included, stays below 0.70 in 2 KB, and
+prose above 0.40 (tables and lists may lie lower).  Where half a chunk repeats, its ratio halves.  Hexadecimal digits and symbols between
+words lie where prose does, so ratios cannot tell them; and a run of less than two chunks
+may share each of its chunks with prose and pass.
+
 Null texts count as empty.  Texts without a full chunk are judged as a whole only.  Rows
 are judged one by one, so ties, repeated rows and extra columns change nothing, and an
 empty table gives an empty result.
@@ -27,22 +34,26 @@ class Bands:
     """Limits of the rules.
 
     ``whole`` has ``(bytes below which it holds, lowest ratio, highest ratio)`` in rising
-    order, the last without a limit.  A chunk is bad outside ``chunk_low`` to
-    ``chunk_high``; a text fails if more than ``bad_chunks`` of its full chunks are bad.
+    order, the last without a limit.  A full chunk is bad outside ``chunk_low`` to
+    ``chunk_high``, the rest after the last one outside the limits of its length; a rest
+    below ``least_rest`` says nothing and is judged with the chunk before.  A text fails if
+    more than ``bad_chunks`` of its bytes lie in bad chunks.
     """
 
     level: int = 3
     whole: tuple[tuple[float, float, float], ...] = (
-        (256, 0.20, 1.20),
-        (1024, 0.20, 0.85),
-        (4096, 0.20, 0.75),
-        (16384, 0.18, 0.70),
-        (float("inf"), 0.12, 0.68),
+        (256, 0.25, 1.20),
+        (512, 0.25, 0.84),
+        (1024, 0.28, 0.77),
+        (4096, 0.28, 0.72),
+        (16384, 0.25, 0.70),
+        (float("inf"), 0.20, 0.66),
     )
     chunk_bytes: int = 2048
-    chunk_low: float = 0.20
-    chunk_high: float = 0.78
-    bad_chunks: float = 0.5
+    least_rest: int = 256
+    chunk_low: float = 0.33
+    chunk_high: float = 0.72
+    bad_chunks: float = 0.2
     least_words: int = 50
     most_repeated_percent: int = 50
 
@@ -81,16 +92,28 @@ class Judge:
     def ratio(self, raw: bytes) -> float:
         return len(self.packer.compress(raw)) / len(raw)
 
-    def ratios(self, raw: bytes) -> tuple[float, int, int]:
-        """Ratio of the whole, number of full chunks, number of bad ones."""
-        step, bands = self.bands.chunk_bytes, self.bands
-        full = [raw[at : at + step] for at in range(0, len(raw) - step + 1, step)]
-        bad = sum(not bands.chunk_low <= self.ratio(chunk) <= bands.chunk_high for chunk in full)
-        return self.ratio(raw) if raw else 0.0, len(full), bad
+    def limits(self, size: int) -> tuple[float, float]:
+        return next(band[1:] for band in self.bands.whole if size < band[0])
 
-    def in_bands(self, size: int, whole: float, chunks: int, bad: int) -> bool:
-        _, low, high = next(band for band in self.bands.whole if size < band[0])
-        return low <= whole <= high and bad <= self.bands.bad_chunks * chunks
+    def is_bad(self, part: bytes) -> bool:
+        bands = self.bands
+        full = len(part) >= bands.chunk_bytes
+        low, high = (bands.chunk_low, bands.chunk_high) if full else self.limits(len(part))
+        return not low <= self.ratio(part) <= high
+
+    def ratios(self, raw: bytes) -> tuple[float, int, int, int]:
+        """Ratio of the whole, number of chunks, number of bad ones, bytes in bad ones."""
+        step, size = self.bands.chunk_bytes, len(raw)
+        starts = list(range(0, size, step)) if size >= step else []
+        if starts and size - starts[-1] < self.bands.least_rest:
+            starts.pop()
+        ends = [*starts[1:], size]
+        bad = [end - at for at, end in zip(starts, ends) if self.is_bad(raw[at:end])]
+        return self.ratio(raw) if raw else 0.0, len(starts), len(bad), sum(bad)
+
+    def in_bands(self, size: int, whole: float, chunks: int, bad: int, bad_bytes: int) -> bool:
+        low, high = self.limits(size)
+        return low <= whole <= high and bad_bytes <= self.bands.bad_chunks * size
 
     def __call__(self, text: str | None) -> tuple:
         text = text or ""
@@ -100,8 +123,8 @@ class Judge:
         failed = (
             words < bands.least_words or 100 * repeated > bands.most_repeated_percent * words
         )
-        whole, chunks, bad = self.ratios(raw)
-        kept = not failed and self.in_bands(len(raw), whole, chunks, bad)
+        whole, chunks, bad, bad_bytes = self.ratios(raw)
+        kept = not failed and self.in_bands(len(raw), whole, chunks, bad, bad_bytes)
         return words, chars, symbols, lines, repeated, failed, kept, whole, chunks, bad
 
 

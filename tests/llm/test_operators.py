@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 from collections import Counter
@@ -123,6 +124,42 @@ def test_bands_reject_repetition_and_noise():
     assert not judge.in_bands(4000, *judge.ratios(noise.astype(np.uint8).tobytes()))
 
 
+def prose(size, seed):
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list("etaoinshrdlucmfw"), n)) for n in rng.integers(2, 9, 900)]
+    return " ".join(rng.choice(words, size))[:size]
+
+
+@pytest.mark.parametrize("columns", [8, 20, 64, 76, 10**6])
+@pytest.mark.parametrize("clean, junk", [(6000, 12000), (6000, 5000)])
+def test_bands_reject_encoded_bytes_in_clean_prose(columns, clean, junk):
+    judge = compression.Judge(compression.Bands())
+    code = base64.b64encode(np.random.default_rng(3).bytes(junk)).decode()[:junk]
+    lines = "\n".join(code[at : at + columns] for at in range(0, junk, columns))
+    for text in (prose(clean, 4) + "\n" + lines, lines + "\n" + prose(clean, 4)):
+        found = judge(text)
+        assert not found[5] and not found[6]
+    assert judge(prose(clean + junk, 4))[6]
+
+
+@pytest.mark.parametrize("block, times, clean", [(300, 14, 8000), (900, 5, 8000), (60, 40, 3000)])
+def test_bands_reject_repeated_blocks_in_clean_prose(block, times, clean):
+    judge = compression.Judge(compression.Bands())
+    repeated = "\n".join([prose(block, 6)] * times)
+    for text in (prose(clean, 5) + "\n" + repeated, repeated + "\n" + prose(clean, 5)):
+        found = judge(text)
+        assert not found[5] and not found[6]
+
+
+def test_last_part_counts_by_its_bytes():
+    judge = compression.Judge(compression.Bands())
+    junk = base64.b64encode(np.random.default_rng(3).bytes(3000)).decode()
+    assert judge(prose(2048, 4) + junk[:1000])[8:] == (2, 1)
+    assert judge(prose(2048, 4) + junk[:100])[8:] == (1, 0)
+    # A bad rest of a twentieth of the text does not reject it.
+    assert judge(prose(8 * 2048, 4) + junk[:800])[6:10:2] == (True, 9)
+
+
 def linked_components(sets, percent=80):
     """Component of each place by links between all pairs of sets."""
     parent = list(range(len(sets)))
