@@ -6,7 +6,12 @@ name no licence.  Its vocabulary are the words and word pairs of the notices tha
 mere function words.  A paragraph without any of them has no feature, so the classifier
 could only call it unknown; such paragraphs are not scored.  The probability below which a
 family counts as unknown is calibrated on variants kept from training.  A family is
-confirmed if the paragraph also shares enough word pairs with one of its notices.
+confirmed if the paragraph also contains enough word pairs of one of its notices.
+
+Paragraphs are lines with hard wraps joined and comment marks at line starts left out.  A
+line of up to 200 characters goes on in the next line if that begins in lower case or with
+a digit, or if no sentence ends between them; never over a blank line, a list item, an SPDX
+tag, a copyright line or between two lines that name a licence each.
 
 Everything runs in the JVM, in one pass without a shuffle.  Null and empty texts have no
 paragraphs.  Ids are carried along: null, repeated or tied ones give rows as any other.
@@ -15,6 +20,7 @@ Extra columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -32,45 +38,78 @@ NOTICES = {
         "Licensed under the MIT license, see the LICENSE file for details.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
         "software and associated documentation files, to deal in the software without restriction.",
+        "The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.",
+        "SPDX-License-Identifier: MIT",
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
         "file except in compliance with the License.",
+        "Unless required by applicable law or agreed to in writing, software distributed under "
+        "the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF "
+        "ANY KIND, either express or implied.",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU General Public License along with this "
+        "program.",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "LGPL": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it under the terms of the GNU Lesser "
         "General Public License.",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU Lesser General Public License along with "
+        "this library.",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
     ),
     "BSD": (
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met.",
         "Released under the 2-Clause BSD license.",
+        "Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation.",
+        "Use of this source code is governed by a BSD-style license that can be found in the "
+        "LICENSE file.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "SPDX-License-Identifier: BSD-3-Clause",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at "
+        "https://mozilla.org/MPL/2.0/.",
+        "SPDX-License-Identifier: MPL-2.0",
     ),
     "CC-BY": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-4.0",
     ),
     "CC-BY-SA": (
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 License.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
     ),
     "CC-BY-NC": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 License.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
     ),
 }
 NO_LICENCE = (
@@ -84,6 +123,10 @@ NO_LICENCE = (
     "Version 2.0 of the program was released in May.",
     "The foundation published a work on software.",
     "Public works are subject to the terms of the city.",
+    "Use of the source code of the program is a matter of taste.",
+    "The above list of conditions was found in the documentation.",
+    "Unless agreed to in writing, the law is applied in either form.",
+    "You should have received a copy of the letter along with this note.",
 )
 # Function words make no feature on their own, and neither do pairs of them.
 FUNCTION_WORDS = tuple(
@@ -91,6 +134,16 @@ FUNCTION_WORDS = tuple(
     "see that the this to under use was with you file files person copy free".split()
 )
 _PAIR = " "
+_MARKS = r"(?md)^[ \t]*(?:(?://+|/\*+|\*+/|<!--|(?:\*+|#+|;+|%+|--+|>+|REM|dnl)(?=[ \t\r]|$))[ \t]*)?"
+# Lines that name a licence by themselves.
+_NAMING = (
+    r"[^\n]*?(?i:under [^\n]*?(?:\bMIT\b|Apache Lic|Public Lic|\bBSD\b|\bCC[ -]BY|Attribution))[^\n]*"
+)
+_APART = r"[ \t\r]*(?:\n|\z|(?i:SPDX-|copyright\b)|[-*\u2022][ \t]|\w{1,2}[.)][ \t])"
+_WRAP = (
+    rf"(?md)^(?!(?i:SPDX-))(?!{_NAMING}\n{_NAMING}$)([^\n]{{0,199}}[^\n\s])[ \t\r]*\n(?!{_APART})"
+    r"(?:(?=[a-z0-9])|(?<![.!?][ \t\r]{0,3}\n))"
+)
 
 
 @dataclass(frozen=True)
@@ -109,6 +162,11 @@ def word_list(text: Column) -> Column:
     return F.filter(words, lambda word: word != "")
 
 
+def unwrapped(text: Column) -> Column:
+    """The text with comment marks left out and hard-wrapped lines joined."""
+    return F.regexp_replace(F.regexp_replace(text, _MARKS, ""), _WRAP, "$1 ")
+
+
 def _pairs(words: Column) -> Column:
     following = F.slice(words, 2, 1_000_000_000)
     both = F.zip_with(words, following, lambda one, two: F.concat_ws(_PAIR, one, two))
@@ -116,6 +174,13 @@ def _pairs(words: Column) -> Column:
     return F.slice(both, 1, F.greatest(F.size(words) - 1, F.lit(0)))
 
 
+def plain_pairs(notice: str) -> list[str]:
+    """The distinct word pairs of a notice, as ``word_list`` and ``_pairs`` make them."""
+    words = re.sub(r"[^a-z0-9.\-]+", " ", notice.lower())
+    words = re.sub(r"[.\-]+(?= |$)", "", words).split()
+    return sorted({one + _PAIR + two for one, two in zip(words, words[1:])})
+
+
 def grams(words: Column) -> Column:
     function = F.array(*map(F.lit, FUNCTION_WORDS))
     single = F.filter(words, lambda word: ~F.array_contains(function, word))
@@ -200,12 +265,16 @@ def _gate(vocabulary: list[str]) -> str:
 def licence_paragraphs(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """One row for each paragraph with a feature: family, probability, similarity, confirmed.
 
-    Paragraphs are lines, numbered from 0 in their text.
+    Paragraphs are numbered from 0 in their text, blank ones included.
     """
     settings = settings or Settings()
     classifier = train(docs.sparkSession, settings)
-    paragraphs = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    passed = paragraphs.where(F.col("line").rlike(_gate(classifier.vectors.vocabulary)))
+    gate = _gate(classifier.vectors.vocabulary)
+    lines = F.split(unwrapped(F.col("text")), "\n")
+    paragraphs = docs.where(F.col("text").rlike(gate)).select(
+        "doc_id", F.posexplode(lines).alias("place", "line")
+    )
+    passed = paragraphs.where(F.col("line").rlike(gate))
     words = passed.withColumn("words", word_list(F.col("line"))).withColumn(
         "grams", grams(F.col("words"))
     )
@@ -215,10 +284,8 @@ def licence_paragraphs(docs: DataFrame, settings: Settings | None = None) -> Dat
     known = scored.withColumn("family", family).withColumn("pairs", _pairs(F.col("words")))
 
     def similarity(notice: str) -> Column:
-        wanted = _pairs(word_list(F.lit(notice)))
-        return F.size(F.array_intersect("pairs", wanted)) / F.greatest(
-            F.size(F.array_distinct(wanted)), F.lit(1)
-        )
+        wanted = F.array(*map(F.lit, plain_pairs(notice)))
+        return F.size(F.array_intersect("pairs", wanted)) / len(plain_pairs(notice))
 
     closest = F.lit(0.0)
     for name, notices in NOTICES.items():

@@ -13,6 +13,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from compare import difference
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from kinetable.llm import (
@@ -407,6 +408,70 @@ def test_licences(spark, odd, none):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+GPL_TEXT = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+LGPL_TEXT = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_wrapped_licences_and_tags(spark):
+    texts = {"MIT": MIT_TEXT, "BSD": BSD_TEXT, "GPL": GPL_TEXT, "LGPL": LGPL_TEXT, "MPL-2.0": MPL_TEXT}
+    cases = [(family, f"{head}\n\n{text}\n\nSome prose.") for family, text in texts.items()
+             for head in ("Some prose.", "Copyright (c) 2020 Someone")]
+    cases += [(family, "/*\n" + "".join(f" * {line}\n" for line in text.split("\n")) + " */\nint x;")
+              for family, text in texts.items()]
+    cases += [(family, "#!/bin/sh\r\n" + "".join(f"# {line}\r\n" for line in text.split("\n")))
+              for family, text in texts.items()]
+    tags = {"MIT": "MIT", "BSD-2-Clause": "BSD", "BSD-3-Clause": "BSD", "MPL-2.0": "MPL-2.0",
+            "GPL-2.0-only": "GPL", "GPL-3.0-or-later": "GPL", "LGPL-2.1-only": "LGPL",
+            "Apache-2.0": "Apache-2.0", "CC-BY-4.0": "CC-BY", "CC-BY-SA-4.0": "CC-BY-SA"}
+    cases += [(family, f"// SPDX-License-Identifier: {tag}\nint x;") for tag, family in tags.items()]
+    frame = spark.createDataFrame(
+        [(i, text) for i, (_, text) in enumerate(cases)], "doc_id long, text string"
+    )
+    found = licences.licence_paragraphs(frame).where("confirmed").collect()
+    got = {i: {row["family"] for row in found if row["doc_id"] == i} for i in range(len(cases))}
+    assert got == {i: {family} for i, (family, _) in enumerate(cases)}
+
+
+def test_plain_pairs_equal_the_columns(spark):
+    rows = [(text,) for texts in licences.NOTICES.values() for text in texts]
+    frame = spark.createDataFrame(rows, "text string")
+    pairs = licences._pairs(licences.word_list(F.col("text")))
+    for row in frame.select("text", pairs.alias("pairs")).collect():
+        assert licences.plain_pairs(row["text"]) == sorted(set(row["pairs"]))
+
+
+def test_lines_with_a_licence_each_stay_apart(spark):
+    text = (
+        "Code: released under the MIT License\nData: licensed under CC BY-NC 4.0\n"
+        "Docs: licensed under the Apache License, Version 2.0\n"
+        "// SPDX-License-Identifier: MPL-2.0\n// SPDX-License-Identifier: GPL-2.0-only"
+    )
+    frame = spark.createDataFrame([(1, text), (2, text.lower())], "doc_id long, text string")
+    found = licences.licence_paragraphs(frame).where("confirmed").collect()
+    for doc_id in (1, 2):
+        assert [row["family"] for row in found if row["doc_id"] == doc_id] == [
+            "MIT", "CC-BY-NC", "Apache-2.0", "MPL-2.0", "GPL"
+        ]
+
+
 def accuracy(rows, labels, target):
     known = {row["doc_id"]: row[target] for row in labels.collect()}
     judged = [r["predicted"] == known[r["doc_id"]] for r in rows if r["held_out"] and r["doc_id"] in known]
