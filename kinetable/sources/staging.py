@@ -23,10 +23,10 @@ class StageArea:
         self.spark = spark
         self.path = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
 
-    def table(self, frame: DataFrame, name: str) -> DataFrame:
+    def table(self, frame: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         """Write the frame and return it as a read of the written files."""
         path = f"{self.path}/{name}"
-        frame.write.mode("errorifexists").parquet(path)
+        frame.write.mode("errorifexists").parquet(path, compression=compression)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def drop(self, name: str) -> None:
