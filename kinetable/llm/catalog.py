@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, compression, covertree, licences, mixing, neighbours, pii, sketches, suffixes, toxicity
+from . import (
+    bpe,
+    compression,
+    covertree,
+    licences,
+    mixing,
+    neighbours,
+    pii,
+    recompression,
+    sketches,
+    suffixes,
+    toxicity,
+)
 from .common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -57,6 +69,10 @@ def op10_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.removal_digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -70,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_entropy_mix,
         op9_bottom_k,
         op10_neighbour_vote,
+        op11_recompression,
     )
 }
 
@@ -130,4 +147,28 @@ with sized as (
 select doc_id, size, source_size, target, (copies * size)::bigint as taken, copies from dealt
 """
 
-ORACLE: dict[str, str] = {"op8_entropy_mix": _MIX}
+_PASSAGES = r"""
+with listed as materialized (
+    select row_number() over () as r, doc_id,
+        coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []::varchar[]) as w
+    from documents
+), windows as materialized (
+    select r, i, array_to_string(w[i:i + 34], ' ') as passage
+    from (select r, w, unnest(range(1, len(w) - 33)) as i from listed where len(w) >= 35)
+), repeated as (
+    select passage from windows group by passage having count(*) > 1
+), gone as (
+    select distinct r, unnest(range(i, i + 35)) as p
+    from windows where passage in (select passage from repeated)
+), placed as (
+    select r, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from listed
+), kept as (
+    select r, string_agg(word, ' ' order by p) as words, count(*) as n
+    from placed anti join gone using (r, p) group by r
+)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed,
+    sha256(coalesce(words, '')) as kept_sha256
+from listed left join kept using (r)
+"""
+
+ORACLE: dict[str, str] = {"op8_entropy_mix": _MIX, "op11_recompression": _PASSAGES}

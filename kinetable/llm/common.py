@@ -16,6 +16,9 @@ from pyspark.sql.types import StructType
 # Rows handed to Python at a time; bounds a worker's memory when texts are long.
 ROWS_PER_PIECE = 256
 
+# Bytes of strings and lists that are gathered into one batch of results.
+BYTES_PER_BATCH = 4 << 20
+
 # The white space of the word pattern: a space and the five controls from tab on.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -63,12 +66,27 @@ def map_rows(
     return map_batches(frame, ddl, lambda: lambda batches: make()(rows(batches)))
 
 
-def map_batches(frame: DataFrame, ddl: str, make: Callable) -> DataFrame:
-    """Like ``map_rows``, but the made function gets the Arrow batches themselves."""
+def _weight(row: tuple) -> int:
+    """About the bytes of a row's strings and lists."""
+    total = 0
+    for value in row:
+        if isinstance(value, str | bytes):
+            total += len(value)
+        elif isinstance(value, list):
+            total += 32 * len(value)
+    return total
+
+
+def map_batches(frame: DataFrame, ddl: str, make: Callable, packed: bool = False) -> DataFrame:
+    """Like ``map_rows``, but the made function gets the Arrow batches themselves.
+
+    Results go back in batches bounded in rows and bytes.  With ``packed`` the function
+    yields Arrow batches of its own.
+    """
     ship(frame.sparkSession)
     arrow = to_arrow_schema(schema_of(ddl))
 
-    def packed(found: list[tuple]) -> pa.RecordBatch:
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
         columns = zip(*found, strict=True)
         return pa.RecordBatch.from_arrays(
             [pa.array(values, kind.type) for values, kind in zip(columns, arrow, strict=True)],
@@ -76,14 +94,18 @@ def map_batches(frame: DataFrame, ddl: str, make: Callable) -> DataFrame:
         )
 
     def run(batches):
-        found = []
+        if packed:
+            yield from make()(batches)
+            return
+        found, size = [], 0
         for row in make()(batches):
             found.append(row)
-            if len(found) >= ROWS_PER_PIECE * 16:
-                yield packed(found)
-                found = []
+            size += _weight(row)
+            if len(found) >= ROWS_PER_PIECE * 16 or size >= BYTES_PER_BATCH:
+                yield batch_of(found)
+                found, size = [], 0
         if found:
-            yield packed(found)
+            yield batch_of(found)
 
     return frame.mapInArrow(run, ddl)
 
