@@ -16,6 +16,7 @@ from . import (
     neighbours,
     pii,
     recompression,
+    residues,
     sketches,
     suffixes,
     toxicity,
@@ -73,6 +74,10 @@ def op11_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.removal_digests(read(spark, sf_dir, "documents"))
 
 
+def op12_residue_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residues.hard_negatives(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_bottom_k,
         op10_neighbour_vote,
         op11_recompression,
+        op12_residue_products,
     )
 }
 
@@ -171,4 +177,34 @@ select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n
 from listed left join kept using (r)
 """
 
-ORACLE: dict[str, str] = {"op8_entropy_mix": _MIX, "op11_recompression": _PASSAGES}
+_NEGATIVES = """
+with vectors as materialized (
+    select row_number() over () as r, vec_id,
+        case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as materialized (
+    select a.r as anchor, a.vec_id as anchor_id, o.r as other, o.vec_id as other_id,
+        a.label = o.label as same, list_dot_product(a.v, o.v)::bigint as score
+    from vectors a join vectors o on a.vec_id % 50 = 0 and a.r <> o.r
+), positives as (
+    select anchor, anchor_id, other as positive, other_id as positive_id, score as positive_score
+    from scored where same
+    qualify row_number() over (partition by anchor order by score desc, other_id) <= 5
+)
+select p.anchor_id, p.positive_id,
+    row_number() over (partition by p.anchor, p.positive order by s.score desc, s.other_id)::integer
+        as rank,
+    s.other_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scored s on s.anchor = p.anchor and not s.same
+    and 50 * p.positive_score <= 100 * s.score and 100 * s.score <= 95 * p.positive_score
+qualify rank <= 3
+"""
+
+ORACLE: dict[str, str] = {
+    "op8_entropy_mix": _MIX,
+    "op11_recompression": _PASSAGES,
+    "op12_residue_products": _NEGATIVES,
+}
