@@ -18,9 +18,10 @@ corpus, namely which names stand more than once, are three Spark rounds:
 3. *Edges.*  The windows that no shared name holds are counted by two 64-bit fingerprints of
    their words; each shared name adds its windows once, from one of its places.
 
-Rows are dealt into blocks of some thousand neighbours.  A block counts its names by itself
-first, so a name that stands in a third of all documents is one row for each block.  The
-shared names of a block go back to it in one array, in front of its texts.
+Neighbouring rows make a block, which is one row of a stored table, bucketed by block: the
+texts are moved once and joined to what is found about them without a shuffle.  A block
+counts its names by itself first, so a name that stands in a third of all documents is one
+row for each block; the shared names of a block go back to it as one array.
 
 Null texts and texts without words have no words; they and texts below ``length`` words lose
 nothing.  Rows are never joined by id: null, repeated or tied ids each keep their row.  Extra
@@ -36,11 +37,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import StageArea
-from .common import ROWS_PER_PIECE, map_batches
+from .common import map_batches
 
 
 @dataclass(frozen=True)
@@ -51,8 +53,9 @@ class Settings:
     # One name of so many is counted at the reveal.
     sampled: int = 2
     high_rounds: int = 60
-    # Neighbouring rows of a block, as a power of two.
-    block_bits: int = 11
+    # Texts of a block, and their characters, if they are more than one.
+    block_rows: int = 8_192
+    block_size: int = 8 << 20
     # Characters of the texts that are parsed together, if they are more than one.
     together: int = 1 << 21
 
@@ -80,14 +83,14 @@ _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _LANES = 8
 
 
-def hashed_words(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def hashed_words(blob: bytes, white: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where the words of a text start, and two 64-bit hashes of each.
 
     Eight bytes are taken of all words at once, then the next eight of the longer ones.
     """
     padded = np.frombuffer(blob + bytes(8), np.uint8)
     word = np.zeros(len(blob) + 2, bool)
-    word[1:-1] = ~_WHITE[padded[: len(blob)]]
+    word[1:-1] = ~white[padded[: len(blob)]]
     edges = np.flatnonzero(word[1:] != word[:-1])
     starts, lengths = edges[::2], edges[1::2] - edges[::2]
     eights = np.ndarray((len(blob) + 1,), "<u8", padded.data, strides=(1,))
@@ -291,308 +294,288 @@ class Fingerprints:
 # --- blocks and what they share --------------------------------------------------------------
 
 
-def _shared(counted: DataFrame) -> DataFrame:
-    """``block, a, b, first`` of what stands more than once, as arrays for each block.
+def _together(texts: list, most: int, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Ranges of the texts of bounded size; a longer text is a range of its own."""
+    low, total = 0, 0
+    for at, text in enumerate(texts):
+        more = len(text or "")
+        if at > low and (total + more > most or at - low >= rows):
+            yield low, at
+            low, total = at, 0
+        total += more
+    if low < len(texts):
+        yield low, len(texts)
+
+
+def _in_blocks(docs: DataFrame, settings: Settings, stage: StageArea) -> DataFrame:
+    """``block, doc_ids, texts``, stored once and bucketed by block."""
+
+    def make():
+        def run(batches):
+            task = TaskContext.get().partitionId() << 32
+            number, ids, texts, size = 0, [], [], 0
+            for batch in batches:
+                for doc_id, text in zip(*(one.to_pylist() for one in batch.columns), strict=True):
+                    more = len(text or "")
+                    full = len(texts) >= settings.block_rows or size + more > settings.block_size
+                    if texts and full:
+                        yield task + number, ids, texts
+                        number, ids, texts, size = number + 1, [], [], 0
+                    ids.append(doc_id)
+                    texts.append(text)
+                    size += more
+            if texts:
+                yield task + number, ids, texts
+
+        return run
+
+    ddl = "block long, doc_ids array<long>, texts array<string>"
+    blocks = map_batches(docs.select("doc_id", "text"), ddl, make)
+    return stage.bucketed(blocks, "texts", "block", compression="zstd")
+
 
-    ``counted`` has ``block, a, b, times``, about one row for each block and name.  The
-    first block with a name is marked.
+def _shared(counted: DataFrame, name: str) -> DataFrame:
+    """``block`` and, as an array, ``a, b, first`` of its names that stand more than once.
+
+    ``counted`` has ``block, a, b, times``, a row for each block and name.  The first
+    block with a name is marked.
     """
     over = Window.partitionBy("a", "b")
     totals = counted.withColumns(
         {"total": F.sum("times").over(over), "least": F.min("block").over(over)}
     )
-    found = totals.where("total > 1").select(
-        "block", F.struct("a", "b", (F.col("block") == F.col("least")).alias("first")).alias("one")
-    )
-    return found.groupBy("block").agg(F.collect_list("one").alias("shared"))
-
-
-def _together(rows: list, size, settings: Settings) -> Iterator[list]:
-    """The rows in parts of bounded size; a longer row is a part of its own."""
-    part, total = [], 0
-    for row in rows:
-        more = size(row) if row is not None else 0
-        if part and total + more > settings.together:
-            yield part
-            part, total = [], 0
-        part.append(row)
-        total += more
-    if part:
-        yield part
+    one = F.struct("a", "b", (F.col("block") == F.col("least")).alias("first"))
+    found = totals.where("total > 1").select("block", one.alias("one"))
+    return found.groupBy("block").agg(F.collect_list("one").alias(name))
 
 
-def _with_shared(
-    texts: DataFrame, shared: DataFrame, ddl: str, settings: Settings, make
-) -> DataFrame:
-    """``make()``'s function over each block's rows, in pieces, after its shared names.
+def _column(row: dict, name: str, field: str) -> np.ndarray:
+    """A field of an array of structs, as numbers; nothing where there is no array."""
+    found = row[name].values
+    if found is None:
+        return np.empty(0, np.int64)
+    return found.field(field).to_numpy(zero_copy_only=False)
 
-    The function gets a dictionary of arrays ``a, b, first`` and an iterator of pieces,
-    each a list of row tuples with the text third, and yields output tuples.
-    """
-    kind = shared.schema["shared"].dataType
-    rows = texts.withColumn("shared", F.lit(None).cast(kind)).withColumn("order", F.lit(1))
-    heads = shared.select(
-        *(
-            F.col(name) if name in ("block", "shared") else F.lit(None).cast(kind).alias(name)
-            for name, kind in texts.withColumn("shared", F.lit(None).cast(kind)).dtypes
-        ),
-        F.lit(0).alias("order"),
-    )
-    # The names of a block come first: the sort puts them there.
-    dealt = rows.union(heads).repartition("block").sortWithinPartitions("block", "order")
-    names = texts.columns
 
-    def made():
-        each = make()
-        nothing = {name: np.empty(0, np.int64) for name in ("a", "b", "first")}
+def _map_blocks(blocks: DataFrame, ddl: str, each, packed: bool = False) -> DataFrame:
+    """``each``'s results for every block, a dictionary of Arrow scalars."""
 
-        def run(batches) -> Iterator[tuple]:
-            block, known = None, nothing
+    def make():
+        def run(batches):
             for batch in batches:
-                blocks = batch.column(names.index("block")).to_numpy()
-                heads = batch.column(len(names) + 1).to_numpy() == 0
-                at = 0
-                while at < len(blocks):
-                    if blocks[at] != block:
-                        block, known = blocks[at], nothing
-                    if heads[at]:
-                        struct = batch.column(len(names))[at].values
-                        known = {
-                            name: np.asarray(struct.field(name).to_numpy(zero_copy_only=False))
-                            for name in ("a", "b", "first")
-                        }
-                        at += 1
-                        continue
-                    stop = at + 1
-                    limit = min(len(blocks), at + ROWS_PER_PIECE)
-                    while stop < limit and blocks[stop] == block and not heads[stop]:
-                        stop += 1
-                    piece = batch.slice(at, stop - at)
-                    columns = [piece.column(i).to_pylist() for i in range(len(names))]
-                    rows = list(zip(*columns, strict=True))
-                    for part in _together(rows, lambda row: len(row[2] or ""), settings):
-                        yield from each(known, part)
-                    at = stop
+                for at in range(batch.num_rows):
+                    yield from each({name: batch.column(name)[at] for name in batch.schema.names})
 
         return run
 
-    return map_batches(dealt, ddl, made)
+    return map_batches(blocks, ddl, make, packed=packed)
 
 
-def _in_blocks(docs: DataFrame, settings: Settings, stage: StageArea) -> DataFrame:
-    """``block, doc_id, text`` with blocks of neighbouring rows, stored so that they stay."""
-    block = F.shiftright(F.monotonically_increasing_id(), settings.block_bits)
-    return stage.table(
-        docs.select(block.alias("block"), "doc_id", "text"), "texts", compression="zstd"
+_COUNTED = "block long, a long, b long, times long"
+
+
+def _counts(block: int, a: np.ndarray, b: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """Names of a block with their counts, each once; two is all that is asked."""
+    order = np.lexsort((b, a))
+    a, b, times = a[order], b[order], times[order]
+    opens = np.ones(len(a), bool)
+    opens[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    first = np.flatnonzero(opens)
+    summed = np.add.reduceat(times, first) if len(first) else times
+    columns = [np.full(len(first), block), a[first], b[first], np.minimum(summed, 2)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, pa.int64()) for column in columns], names=["block", "a", "b", "times"]
     )
 
 
-def _low_names(texts: DataFrame, settings: Settings) -> DataFrame:
-    """``block, a, b, times``: the names of the reveal, added up within a block."""
+# --- the rounds over blocks ------------------------------------------------------------------
 
-    def make():
-        def counted(block: int, parts: list[np.ndarray]):
-            names, times = np.unique(np.concatenate(parts), return_counts=True)
-            # Twice is all that is asked.
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(names), block)),
-                    pa.array(names),
-                    pa.array(np.zeros(len(names), np.int64)),
-                    pa.array(np.minimum(times, 2)),
-                ],
-                names=["block", "a", "b", "times"],
-            )
 
-        def run(batches):
-            block, parts = None, []
-            for batch in batches:
-                blocks = batch.column(0).to_numpy()
-                edges = np.flatnonzero(np.diff(blocks)) + 1
-                cuts = [0, *edges.tolist(), len(blocks)]
-                for low, high in zip(cuts, cuts[1:], strict=False):
-                    if low == high:
-                        continue
-                    if blocks[low] != block and parts:
-                        yield counted(block, parts)
-                        parts = []
-                    block = blocks[low]
-                    for at in range(low, high, ROWS_PER_PIECE):
-                        some = batch.column(1).slice(at, min(ROWS_PER_PIECE, high - at))
-                        for texts in _together(some.to_pylist(), len, settings):
-                            parse = low_parse(Piece(texts), settings)
-                            parts.append(_revealed(parse.names[_chosen(parse, settings)]))
-            if parts:
-                yield counted(block, parts)
+def _low_names(blocks: DataFrame, settings: Settings) -> DataFrame:
+    """The names of the reveal."""
 
-        return run
+    def each(row):
+        texts = row["texts"].as_py()
+        parts = [np.empty(0, np.int64)]
+        for low, high in _together(texts, settings.together):
+            parse = low_parse(Piece(texts[low:high]), settings)
+            parts.append(_revealed(parse.names[_chosen(parse, settings)]))
+        names = np.concatenate(parts)
+        nothing, once = np.zeros(len(names), np.int64), np.ones(len(names), np.int64)
+        yield _counts(row["block"].as_py(), names, nothing, once)
 
-    return map_batches(
-        texts.select("block", "text"), "block long, a long, b long, times long", make, packed=True
-    )
+    return _map_blocks(blocks.select("block", "texts"), _COUNTED, each, packed=True)
 
 
-_SPANS = "array<struct<start:int,end:int>>"
-_NAMES = "array<struct<a:long,b:long,start:int,end:int>>"
+def _revealed_blocks(blocks: DataFrame, settings: Settings) -> DataFrame:
+    """Open windows of each block, as ranges of places, and the long names over them.
 
+    Places count the words of all the block's texts, with one more after each text.
+    """
 
-def _ranges(mask: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of true values as starts and ends."""
+    def each(row):
+        texts = row["texts"].as_py()
+        shared = np.sort(_column(row, "low", "a"))
+        spans, names, offset = [], [], 0
+        for low, high in _together(texts, settings.together):
+            piece = Piece(texts[low:high])
+            found, parse = open_windows(piece, shared, settings)
+            spans.append(_ranges(found) + offset)
+            names.append(np.stack(long_names(piece, parse, found, settings)))
+            names[-1][2:] += offset
+            offset += piece.total - 1
+        spans = np.concatenate(spans, axis=1)
+        if spans.shape[1]:
+            yield row["block"].as_py(), *spans.tolist(), *np.concatenate(names, axis=1).tolist()
+
+    ddl = "block long, open_start array<int>, open_end array<int>, "
+    ddl += "a array<long>, b array<long>, name_start array<int>, name_end array<int>"
+    return _map_blocks(blocks.select("block", "texts", "low"), ddl, each)
+
+
+def _ranges(mask: np.ndarray) -> np.ndarray:
+    """Starts and ends of the runs of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]])))
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
-
+    return edges.reshape(-1, 2).T
 
-def _opened(texts: DataFrame, shared: DataFrame, settings: Settings) -> DataFrame:
-    """The texts with open windows, and the long names in them; of others only the size."""
 
-    def make():
-        def each(known, rows):
-            piece = Piece([row[2] for row in rows])
-            found, parse = open_windows(piece, np.sort(known["a"]), settings)
-            names, checks, starts, ends = long_names(piece, parse, found, settings)
-            order = np.argsort(starts, kind="stable")
-            names, checks, starts, ends = (x[order] for x in (names, checks, starts, ends))
-            first = np.searchsorted(starts, piece.starts)
-            last = np.searchsorted(starts, piece.starts + piece.sizes)
-            for number, (block, doc_id, text) in enumerate(rows):
-                start, size = int(piece.starts[number]), int(piece.sizes[number])
-                ranges = _ranges(found[start : start + size])
-                if not ranges:
-                    kept = hashlib.sha256(b" ".join(piece.texts[number].split())).hexdigest()
-                    yield block, doc_id, size, kept, None, None, None
-                    continue
-                part = slice(first[number], last[number])
-                symbols = zip(
-                    names[part].tolist(), checks[part].tolist(),
-                    (starts[part] - start).tolist(), (ends[part] - start).tolist(), strict=True,
-                )
-                symbols = [dict(zip(("a", "b", "start", "end"), one, strict=True)) for one in symbols]
-                spans = [{"start": low, "end": high} for low, high in ranges]
-                yield block, doc_id, size, None, text, spans, symbols
-
-        return each
-
-    ddl = f"block long, doc_id long, n_words long, kept_sha256 string, text string, open {_SPANS}, "
-    return _with_shared(texts, shared, ddl + f"names {_NAMES}", settings, make)
-
-
-def _covered(size: int, windows: np.ndarray, length: int) -> np.ndarray:
-    """The words that lie in one of the windows."""
+def _filled(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The places that lie in one of the ranges."""
     change = np.zeros(size + 1, np.int64)
-    change[:size] += windows
-    ends = np.flatnonzero(windows) + length
+    np.add.at(change, starts, 1)
     np.add.at(change, ends, -1)
     return np.cumsum(change)[:-1] > 0
 
 
-def _verified(opened: DataFrame, shared: DataFrame, settings: Settings) -> DataFrame:
-    """Windows that a shared name proves, and fingerprints of the rest and of first places."""
-
-    def make():
-        def each(known, rows):
-            pairs = zip(known["a"].tolist(), known["b"].tolist(), strict=True)
-            firsts = dict(zip(pairs, known["first"].tolist(), strict=True))
-            for block, doc_id, text, spans, names in rows:
-                piece = Piece([text])
-                size, length = int(piece.sizes[0]), settings.length
-                proved, giving = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
-                for name in names:
-                    first = firsts.get((name["a"], name["b"]))
-                    if first is not None:
-                        low, high = name["start"], name["end"] - length + 1
-                        proved[low] += 1
-                        proved[high] -= 1
-                        if first:
-                            giving[low] += 1
-                            giving[high] -= 1
-                proved, giving = (np.cumsum(x)[:size] > 0 for x in (proved, giving))
-                left = np.zeros(size, bool)
-                for span in spans:
-                    left[span["start"] : span["end"]] = True
-                left &= ~proved
-                places = np.flatnonzero(left | giving)
-                sums = [Fingerprints(lane) for lane in (piece.first, piece.second)]
-                one, two = (x.of(places + 1, places + 1 + length).tolist() for x in sums)
-                times = np.where(giving[places], 2, 1).tolist()
-                windows = [
-                    {"a": a, "b": b, "start": at, "times": n}
-                    for a, b, at, n in zip(one, two, places.tolist(), times, strict=True)
-                ]
-                yield block, doc_id, text, [
-                    {"start": low, "end": high} for low, high in _ranges(proved)
-                ], windows
-
-        return each
-
-    ddl = f"block long, doc_id long, text string, proved {_SPANS}, "
-    ddl += "windows array<struct<a:long,b:long,start:int,times:int>>"
-    rows = opened.select("block", "doc_id", "text", "open", "names")
-    return _with_shared(rows, shared, ddl, settings, make)
-
-
-def _closed(verified: DataFrame, shared: DataFrame, settings: Settings) -> DataFrame:
-    """``doc_id, n_words, n_removed, words``: whether each word stays, and the text."""
-
-    def make():
-        def each(known, rows):
-            found = set(zip(known["a"].tolist(), known["b"].tolist(), strict=True))
-            for _, doc_id, text, proved, windows in rows:
-                words = text.encode("utf-8", "surrogatepass").split()
-                starts = np.zeros(len(words), bool)
-                for span in proved:
-                    starts[span["start"] : span["end"]] = True
-                for window in windows:
-                    if (window["a"], window["b"]) in found:
-                        starts[window["start"]] = True
-                gone = _covered(len(words), starts, settings.length)
-                kept = b" ".join([words[i] for i in np.flatnonzero(~gone).tolist()])
-                yield doc_id, len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode(
-                    "utf-8", "surrogatepass"
-                )
-
-        return each
-
-    ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-    rows = verified.select("block", "doc_id", "text", "proved", "windows")
-    return _with_shared(rows, shared, ddl, settings, make)
-
-
-def _counted(frame: DataFrame, column: str, times) -> DataFrame:
-    """Entries of an array column as ``block, a, b, times``, added up within a block."""
-    one = frame.select("block", F.explode(column).alias("one"))
-    return one.groupBy("block", F.col("one.a").alias("a"), F.col("one.b").alias("b")).agg(
-        F.sum(times).alias("times")
-    )
+def _numbers(row: dict, name: str) -> np.ndarray:
+    return row[name].values.to_numpy()
+
+
+def _long_counts(revealed: DataFrame, settings: Settings) -> DataFrame:
+    def each(row):
+        a, b = _numbers(row, "a"), _numbers(row, "b")
+        yield _counts(row["block"].as_py(), a, b, np.ones(len(a), np.int64))
+
+    return _map_blocks(revealed.select("block", "a", "b"), _COUNTED, each, packed=True)
+
+
+class Judged:
+    """A block's windows: which a shared name proves, and which are left to count."""
+
+    def __init__(self, row: dict, settings: Settings):
+        self.texts = row["texts"].as_py()
+        self.sizes = [len((text or "").encode("utf-8", "surrogatepass").split()) for text in self.texts]
+        self.starts = np.cumsum([1, *(size + 1 for size in self.sizes)])
+        self.total, self.length = int(self.starts[-1]), settings.length
+        a, b = _numbers(row, "a"), _numbers(row, "b")
+        starts, ends = _numbers(row, "name_start"), _numbers(row, "name_end") - settings.length + 1
+        fields = [_column(row, "long", name).tolist() for name in ("a", "b", "first")]
+        known = dict(zip(zip(*fields[:2], strict=True), fields[2], strict=True))
+        found = [known.get(pair) for pair in zip(a.tolist(), b.tolist(), strict=True)]
+        proving = np.array([first is not None for first in found], bool)
+        giving = np.array([bool(first) for first in found], bool)
+        self.proved = _filled(self.total, starts[proving], ends[proving])
+        self.giving = _filled(self.total, starts[giving], ends[giving])
+        self.left = _filled(self.total, _numbers(row, "open_start"), _numbers(row, "open_end"))
+        self.left &= ~self.proved
+
+    def fingerprints(self, places: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+        """Two fingerprints of the windows that start at the places, which rise."""
+        a, b = np.empty(len(places), np.int64), np.empty(len(places), np.int64)
+        for low, high in _together(self.texts, settings.together):
+            start = self.starts[low]
+            some = slice(*np.searchsorted(places, [start, self.starts[high]]))
+            if some.start == some.stop:
+                continue
+            piece = Piece(self.texts[low:high])
+            at = places[some] - start + 1
+            for lane, out in ((piece.first, a), (piece.second, b)):
+                out[some] = Fingerprints(lane).of(at, at + settings.length)
+        return a, b
+
+
+def _window_counts(blocks: DataFrame, settings: Settings) -> DataFrame:
+    """Windows that no shared name proves, and those of shared names from one place."""
+
+    def each(row):
+        judged = Judged(row, settings)
+        places = np.flatnonzero(judged.left | judged.giving)
+        times = np.where(judged.giving[places], 2, 1)
+        yield _counts(row["block"].as_py(), *judged.fingerprints(places, settings), times)
+
+    return _map_blocks(blocks, _COUNTED, each, packed=True)
+
+
+def _judged(blocks: DataFrame, ddl: str, settings: Settings, row_of) -> DataFrame:
+    """``row_of``'s results for each text, from its words and which of them go."""
+
+    def each(row):
+        ids = row["doc_ids"].as_py()
+        if not row["open_start"].is_valid:
+            for doc_id, text in zip(ids, row["texts"].as_py(), strict=True):
+                words = (text or "").encode("utf-8", "surrogatepass").split()
+                yield row_of(doc_id, words, np.zeros(len(words), bool))
+            return
+        judged = Judged(row, settings)
+        places = np.flatnonzero(judged.left)
+        repeated = set(
+            zip(*(_column(row, "windows", name).tolist() for name in ("a", "b")), strict=True)
+        )
+        a, b = judged.fingerprints(places, settings)
+        hits = [pair in repeated for pair in zip(a.tolist(), b.tolist(), strict=True)]
+        starts = np.flatnonzero(judged.proved)
+        starts = np.concatenate([starts, places[np.array(hits, bool)]])
+        gone = _filled(judged.total, starts, starts + settings.length)
+        for doc_id, text, start, size in zip(
+            ids, judged.texts, judged.starts.tolist(), judged.sizes, strict=False
+        ):
+            words = (text or "").encode("utf-8", "surrogatepass").split()
+            yield row_of(doc_id, words, gone[start : start + size])
+
+    return _map_blocks(blocks, ddl, each)
+
+
+def _kept(words: list[bytes], gone: np.ndarray) -> bytes:
+    if gone.any():
+        words = [words[at] for at in np.flatnonzero(~gone).tolist()]
+    return b" ".join(words)
+
+
+def _with_findings(docs: DataFrame, settings: Settings | None, stage: StageArea | None, ddl, row_of):
+    settings = settings or Settings()
+    stage = stage or StageArea(docs.sparkSession)
+    blocks = _in_blocks(docs, settings, stage)
+    low = _shared(_low_names(blocks, settings), "low")
+    revealed = _revealed_blocks(blocks.join(low, "block", "left"), settings)
+    revealed = stage.table(revealed, "revealed", compression="zstd")
+    long = stage.table(_shared(_long_counts(revealed, settings), "long"), "long-names")
+    opened = blocks.join(revealed, "block").join(long, "block", "left")
+    windows = _shared(_window_counts(opened, settings), "windows")
+    everything = blocks.join(revealed, "block", "left").join(long, "block", "left")
+    return _judged(everything.join(windows, "block", "left"), ddl, settings, row_of)
 
 
-def repeated_passages(
+def deduplicated(
     docs: DataFrame, settings: Settings | None = None, stage: StageArea | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Documents with words to judge, and those that no repeated window can be in.
+) -> DataFrame:
+    """``doc_id, kept, n_words, n_removed``: each document's remaining words."""
 
-    The first has ``doc_id, n_words, n_removed, kept_sha256, kept``, the second
-    ``doc_id, n_words, kept_sha256``; together they have one row for each document.
-    """
-    settings = settings or Settings()
-    stage = stage or StageArea(docs.sparkSession)
-    texts = _in_blocks(docs, settings, stage)
-    revealed = _opened(texts, _shared(_low_names(texts, settings)), settings)
-    revealed = stage.table(revealed, "revealed", compression="zstd")
-    stage.drop("texts")
-    opened = revealed.where(F.col("kept_sha256").isNull())
-    verified = _verified(opened, _shared(_counted(opened, "names", F.lit(1))), settings)
-    verified = stage.table(verified, "verified", compression="zstd")
-    shared = _shared(_counted(verified, "windows", F.col("one.times")))
-    untouched = revealed.where(F.col("kept_sha256").isNotNull())
-    return _closed(verified, shared, settings), untouched.select("doc_id", "n_words", "kept_sha256")
+    def row_of(doc_id, words, gone):
+        kept = _kept(words, gone).decode("utf-8", "surrogatepass")
+        return doc_id, kept, len(words), int(gone.sum())
+
+    ddl = "doc_id long, kept string, n_words long, n_removed long"
+    return _with_findings(docs, settings, stage, ddl, row_of)
 
 
 def removal_digests(
     docs: DataFrame, settings: Settings | None = None, stage: StageArea | None = None
 ) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256`` for each document."""
-    judged, untouched = repeated_passages(docs, settings, stage)
-    names = ("doc_id", "n_words", "n_removed", "kept_sha256")
-    return judged.select(*names).union(
-        untouched.withColumn("n_removed", F.lit(0).cast("long")).select(*names)
-    )
+    """Sizes and digest of what is left, made where the words are removed."""
+
+    def row_of(doc_id, words, gone):
+        digest = hashlib.sha256(_kept(words, gone)).hexdigest()
+        return doc_id, len(words), int(gone.sum()), digest
+
+    ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    return _with_findings(docs, settings, stage, ddl, row_of)
