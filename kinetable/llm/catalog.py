@@ -14,6 +14,7 @@ from . import (
     licences,
     mixing,
     neighbours,
+    phrases,
     pii,
     recompression,
     residues,
@@ -78,6 +79,10 @@ def op12_residue_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residues.hard_negatives(read(spark, sf_dir, "embeddings"))
 
 
+def op13_rolled_up_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_neighbour_vote,
         op11_recompression,
         op12_residue_products,
+        op13_rolled_up_phrases,
     )
 }
 
@@ -203,7 +209,53 @@ from positives p join scored s on s.anchor = p.anchor and not s.same
 qualify rank <= 3
 """
 
+_COLLOCATIONS = r"""
+with pieces as materialized (
+    select lang, row_number() over () as r, regexp_extract_all(piece, '[^\x20\x09]+') as w
+    from (
+        select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) as piece
+        from documents where text is not null
+    )
+), grams as (
+    select lang, w[i:i + size - 1] as words
+    from (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i
+          from pieces cross join (values (1), (2), (3), (4)) sizes(size))
+), counts as materialized (
+    select lang, words, len(words) as size, count(*) as f from grams group by lang, words
+), totals as (
+    select lang, sum(f)::bigint as n from counts where size = 1 group by lang
+), frequent as materialized (
+    select * from counts where f >= 30
+), candidates as materialized (
+    select lang, words, size, f as a from frequent where size >= 2
+), cuts as (
+    select c.lang, c.words, c.size, c.a, k, h.f as l, t.f as r,
+        ((2000000::hugeint * c.a) // (h.f + t.f))::bigint as score
+    from (select *, unnest(range(1, size)) as k from candidates) c
+    join frequent h on h.lang = c.lang and h.words = c.words[1:k]
+    join frequent t on t.lang = c.lang and t.words = c.words[k + 1:c.size]
+), scored as (
+    select * from cuts
+    qualify row_number() over (partition by lang, words order by score, k) = 1
+), inner_parts as (
+    select lang, words[p:p + m - 1] as words, a as longer
+    from (select *, unnest(range(1, size - m + 2)) as p
+          from (select *, unnest(range(2, size)) as m from candidates))
+), most as (
+    select lang, words, max(longer) as longer from inner_parts group by lang, words
+)
+select lang, row_number() over (partition by lang
+        order by score desc, a desc, array_to_string(words, ' ')) as rank,
+    array_to_string(words, ' ') as phrase, a, l, r, n, score
+from scored left join most using (lang, words) join totals using (lang)
+where longer is null or 100 * longer < 80 * a
+qualify rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
+    "op13_rolled_up_phrases": _COLLOCATIONS,
     "op8_entropy_mix": _MIX,
     "op11_recompression": _PASSAGES,
     "op12_residue_products": _NEGATIVES,
