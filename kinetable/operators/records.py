@@ -30,11 +30,27 @@ def _without_terminator(text: Column) -> Column:
     return F.when(F.endswith(text, F.lit(";")), plain).otherwise(rare)
 
 
+def _without_digits(text: Column) -> Column:
+    return F.translate(text, "0123456789", "")
+
+
 def _whole(text: Column, kind: str) -> Column:
-    """Text as an integer; digits after a point are cut off, as a plain cast does."""
-    before = F.regexp_extract(text, r"^\s*([+-]?[0-9]*)[.][0-9]*\s*$", 1)
-    cut = F.when(text.rlike(r"^\s*[+-]?[.][0-9]*\s*$"), "0").otherwise(before)
-    return F.coalesce(text.try_cast(kind), cut.try_cast(kind))
+    """Text as an integer; digits after a point are cut off, as a plain cast does.
+
+    Digits are told from other characters by what is left without them; patterns would
+    cost more than the rest of parsing.  Nearly all numbers have no point and need only
+    the cast.
+    """
+    head = F.substring_index(text, ".", 1)
+    whole = head.try_cast(kind)
+    blanks = F.lit(" \t\n\x0b\f\r")
+    tail = F.rtrim(F.substr(text, F.length(head) + 1), blanks)
+    sign = _without_digits(F.ltrim(head, blanks))
+    sound = (_without_digits(tail) == ".") & sign.isin("", "+", "-")
+    # A sign alone, or nothing, stands for zero before a point.
+    bare = F.ltrim(head, blanks) == sign
+    cut = F.when(sound, F.when(bare, F.lit(0).cast(kind)).otherwise(whole))
+    return F.when(F.length(head) == F.length(text), whole).otherwise(cut)
 
 
 def _is_valid() -> Column:

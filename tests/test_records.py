@@ -3,8 +3,10 @@ from __future__ import annotations
 import math
 import random
 import re
+from itertools import product
 
 import pytest
+from pyspark.sql import functions as F
 
 from kinetable.operators import records
 from kinetable.sources.text import read_lines
@@ -199,3 +201,37 @@ def test_a_line_is_split_once_and_other_files_are_skipped_before(spark):
     assert plan.count("split(") == 1
     assert plan.index("split(") < plan.index("(device#") or "Filter ((device#" in plan
     assert "Python" not in plan
+
+
+def _by_pattern(text, bits):
+    """What the parser's integers mean: a cast, with digits after a point cut off."""
+    blanks = " \t\n\x0b\f\r"
+    found = re.fullmatch(rf"[{blanks}]*([+-]?[0-9]*)[.][0-9]*[{blanks}]*", text, re.ASCII)
+    if found:
+        text = "0" if found[1] in ("", "+", "-") else found[1]
+    if not re.fullmatch(rf"[{blanks}]*[+-]?[0-9]+[{blanks}]*", text, re.ASCII):
+        return None
+    number = int(text)
+    return number if -(1 << bits - 1) <= number < 1 << bits - 1 else None
+
+
+def test_integers_without_patterns(spark):
+    parts = ["", " ", "\t", "+", "-", "1", "007", "x", ".", "5", "\u0663", "2147483648", "e3", "1\n"]
+    texts = sorted({"".join(some) for n in range(5) for some in product(parts, repeat=n) if n < 4 or
+                    some[2] == "."})
+    rows = spark.createDataFrame([(text,) for text in texts], "text string")
+    found = rows.select(
+        "text",
+        records._whole(F.col("text"), "int").alias("small"),
+        records._whole(F.col("text"), "bigint").alias("large"),
+    ).collect()
+    assert len(found) > 4_000
+    for text, small, large in found:
+        assert small == _by_pattern(text, 32), repr(text)
+        assert large == _by_pattern(text, 64), repr(text)
+
+
+def test_integers_need_no_regular_expression(spark):
+    plan = spark.range(1).select(records._whole(F.col("id").cast("string"), "int"))
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in shown and "RLIKE" not in shown
