@@ -15,7 +15,7 @@ from ..plans.settings import JobSettings
 SETTINGS = JobSettings(
     window_seconds=1_296_000,
     minimum_samples=3,
-    models=ModelSettings(max_iter=5, num_trees=3, max_depth=3),
+    models=ModelSettings(max_iter=200, num_trees=5, max_depth=4),
 )
 SENSORS = ["accel", "gyro"]
 TIE_BREAK = 1e-8

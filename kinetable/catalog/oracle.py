@@ -230,6 +230,11 @@ _LABEL_VIEWS = {
     """,
 }
 _METRIC_VIEWS = {"predictions": _PREDICTIONS, "labels": _LABELS, **_evaluation("predictions")}
+_TEST_ROWS = "from features join label_index using (activity) where split = 'test'"
+_SPLIT_WINDOWS = ", ".join(
+    f"(select count(*) from features where split = '{split}') as {split}_windows"
+    for split in ("train", "validation", "test")
+)
 
 
 def _sql(views: dict[str, str], select: str) -> str:
@@ -274,6 +279,26 @@ def _scaled() -> str:
     return _sql(views, f"select {_FUSED_KEYS}, {shown} from scaled")
 
 
+def _run() -> str:
+    selects = [
+        """select 'features' as artifact, 'windows' as metric, split || '/' || activity as key,
+                  count(*) as value from features group by split, activity""",
+        "select 'data_summary', 'lines', 'all', count(*) from parsed",
+        "select 'data_summary', 'windows', 'all', count(*) from features",
+    ]
+    of_class = """select activity, (select count(*) from features f where f.split = 'test'
+                  and f.activity = label_index.activity) as n from label_index"""
+    for model in ("logistic_regression", "random_forest"):
+        selects.append(f"select '{model}/confusion', 'actual', activity, n from ({of_class}) c")
+        for artifact in (f"{model}/metrics", f"{model}/comparison"):
+            selects.append(f"select '{artifact}', 'support', activity, n from ({of_class}) c")
+            selects.append(
+                f"select '{artifact}', 'windows', split, count(*) from features group by split"
+            )
+    views = {**_PREPARED_VIEWS, "label_index": _LABEL_VIEWS["label_index"]}
+    return _sql(views, " union all ".join(selects))
+
+
 def _experiments() -> str:
     views = {"base_pairs": _PREDICTIONS, "labels": _LABELS}
     selects = []
@@ -320,7 +345,8 @@ ORACLE: dict[str, str] = {
     "prepare_job_summary": _sql(
         _PREPARED_VIEWS,
         f"{_SUMMARY} union all select 'parse_counts', cast(_parse_ok as varchar), count(*)"
-        " from parsed group by _parse_ok",
+        " from parsed group by _parse_ok"
+        " union all select 'lines', 'all', count(*) from parsed",
     ),
     "prepared_features": _sql(_PREPARED_VIEWS, _SPLIT_FEATURES),
     "prepare_job_single_sensor": _sql(
@@ -364,16 +390,52 @@ ORACLE: dict[str, str] = {
         """,
     ),
     "metrics_json_roundtrip": _sql(
-        _METRIC_VIEWS,
+        {**_SAMPLE_VIEWS, **_METRIC_VIEWS},
         f"""
         select 'fixture' as model, {_round("accuracy")} as accuracy,
                {_round("weighted_f1")} as weighted_f1,
                {_round("macro_precision")} as macro_precision,
                {_round("macro_recall")} as macro_recall, {_round("macro_f1")} as macro_f1,
-               test_predictions, {len(LABELS)} as classes
-        from overall
+               test_predictions, '{",".join(LABELS)}' as labels,
+               '{",".join(_FUSED_NAMES)}' as feature_columns, {_SPLIT_WINDOWS},
+               activity, {_round("precision")} as precision, {_round("recall")} as recall,
+               {_round("f1")} as f1, support
+        from overall cross join per_class
+        """,
+    ),
+    "lr_predictions": _sql(
+        _LABEL_VIEWS,
+        f"""
+        select {_FUSED_KEYS}, label, true as same_prediction, true as same_chances,
+               true as at_optimum
+        {_TEST_ROWS}
+        """,
+    ),
+    # A leaf's shares add up to one, so the votes of a row to the number of trees.
+    "rf_predictions": _sql(
+        _LABEL_VIEWS,
+        f"""
+        select {_FUSED_KEYS}, label, true as same_prediction, true as same_votes,
+               {SETTINGS.models.num_trees} as trees,
+               cast({SETTINGS.models.num_trees} as double) as votes
+        {_TEST_ROWS}
+        """,
+    ),
+    "model_comparison": _sql(
+        _LABEL_VIEWS,
+        """
+        select model, activity,
+               (select count(*) from features f
+                 where f.split = 'test' and f.activity = label_index.activity) as support,
+               (select count(*) from features where split = 'test') as test_predictions,
+               (select count(*) from features where split = 'train') as train_windows,
+               true as same_accuracy, true as same_weighted_f1, true as same_precision,
+               true as same_recall, true as same_f1, true as same_macro_f1
+        from label_index
+        cross join (select unnest(['logistic_regression', 'random_forest']) as model) models
         """,
     ),
+    "run_job": _run(),
     "experiment_summary": _experiments(),
     "label_index": _sql(_LABEL_VIEWS, "select * from label_index"),
     "model_roundtrip": _sql(

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, learn, records, splits, windows
-from ..operators.fusion import WINDOW_KEYS, fuse_sensors, fuse_sensors_by_join
+from .. import submit
+from ..operators import evaluate, learn, records, replay, splits, windows
+from ..operators.fusion import WINDOW_KEYS, fuse_sensors, fuse_sensors_by_join, model_columns
 from ..plans import jobs
 from ..plans.settings import JobSettings
 from ..sources import artifacts
@@ -189,7 +192,7 @@ def prepare_job_summary(spark, sf_dir):
     maps = [of_map(name) for name in ("parse_counts", "split_windows", "split_subjects")]
     totals = [
         F.struct(F.lit(name), F.lit("all"), F.col(name)).cast(entry)
-        for name in ("feature_windows", "subjects", "activities")
+        for name in ("feature_windows", "subjects", "activities", "lines")
     ]
     return summary.select(F.inline(F.concat(F.array(*totals), *maps)))
 
@@ -244,7 +247,17 @@ def _stored_metrics(pairs: DataFrame, model: str, folder: str) -> str:
 
 
 def metrics_json_roundtrip(spark, sf_dir):
-    path = _stored_metrics(fixtures.predictions(spark, sf_dir), "fixture", StageArea(spark).path)
+    """The whole metrics object as read back, a row for each class in it."""
+    features = _stored_split_features(spark, sf_dir)
+    record = evaluate.metrics_record(
+        _cells(spark, sf_dir),
+        LABELS,
+        model="fixture",
+        feature_columns=model_columns(features),
+        split_counts=learn.checked_split_counts(features),
+    )
+    path = f"{StageArea(spark).path}/fixture/metrics_json"
+    artifacts.write_record(record, path)
     metrics = artifacts.read_metrics(spark, path)
     return rounded(
         metrics.select(
@@ -255,7 +268,10 @@ def metrics_json_roundtrip(spark, sf_dir):
             "macro_recall",
             "macro_f1",
             "test_predictions",
-            F.size("per_class").alias("classes"),
+            F.array_join("labels", ",").alias("labels"),
+            F.array_join("feature_columns", ",").alias("feature_columns"),
+            *(F.try_element_at("split_counts", F.lit(name)).alias(f"{name}_windows") for name in learn.SPLITS),
+            F.inline("per_class"),
         )
     )
 
@@ -296,33 +312,170 @@ def scaled_features(spark, sf_dir):
     return rounded(learn.scaled_features(features, WINDOW_KEYS), exact=())
 
 
-def _predictions_of(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def _fitted(name: str, spark: SparkSession, sf_dir: str) -> tuple[DataFrame, learn.Fitted]:
     features = _stored_split_features(spark, sf_dir)
     (fitted,) = learn.fit_models(features, (name,), settings=SETTINGS.models, seed=SETTINGS.seed)
-    keys = tuple(key for key in WINDOW_KEYS if key != "activity")
-    return learn.predict(fitted.pipeline, learn.of_split(features, "test"), keys)
+    return features, fitted
+
+
+def _near(one, other):
+    return F.abs(one - other) <= 1e-9
+
+
+def _all_near(one: str, other: str):
+    apart = F.zip_with(one, other, lambda x, y: F.abs(x - y))
+    return (F.size(one) == F.size(other)) & (F.array_max(apart) <= 1e-9)
 
 
 def lr_predictions(spark, sf_dir):
-    return _predictions_of("logistic_regression", spark, sf_dir)
+    """Test rows with MLlib's prediction and the one made of the coefficients.
+
+    ``at_optimum`` says that no slope of the regularised likelihood is left, so the
+    coefficients are the ones that the train rows determine.
+    """
+    features, fitted = _fitted("logistic_regression", spark, sf_dir)
+    model = fitted.pipeline.stages[-1]
+    numbers = model.coefficientMatrix.toArray().tolist(), model.interceptVector.toArray().tolist()
+    settings = SETTINGS.models
+    train = replay.prepared_rows(fitted.pipeline, learn.of_split(features, "train"))
+    slopes = replay.regression_slopes(
+        train,
+        *numbers,
+        reg_param=settings.reg_param,
+        elastic_net_param=settings.elastic_net_param,
+    )
+    steepest = slopes.agg(F.max(F.abs("slope"))).first()[0]
+    predicted = fitted.pipeline.transform(learn.of_split(features, "test"))
+    predicted = predicted.withColumns(
+        {"values": vector_to_array("features"), "theirs": vector_to_array("probability")}
+    )
+    ours = replay.regression_chances(predicted, *numbers)
+    return ours.select(
+        *(key for key in WINDOW_KEYS),
+        "label",
+        (F.col("prediction") == F.col("scored")).alias("same_prediction"),
+        _all_near("theirs", "chances").alias("same_chances"),
+        F.lit(steepest < 1e-3).alias("at_optimum"),
+    )
 
 
 def rf_predictions(spark, sf_dir):
-    return _predictions_of("random_forest", spark, sf_dir)
+    """Test rows with MLlib's vote and that of a walk through the stored trees."""
+    features, fitted = _fitted("random_forest", spark, sf_dir)
+    path = f"{StageArea(spark).path}/model"
+    artifacts.save_pipeline(fitted.pipeline, path)
+    nodes = replay.forest_nodes(spark, path)
+    predicted = fitted.pipeline.transform(learn.of_split(features, "test"))
+    predicted = predicted.withColumns(
+        {"values": vector_to_array("features"), "theirs": vector_to_array("rawPrediction")}
+    )
+    forest = replay.forest_table(nodes, len(fitted.columns))
+    voted = replay.forest_votes(predicted, forest, SETTINGS.models.max_depth)
+    return voted.select(
+        *(key for key in WINDOW_KEYS),
+        "label",
+        (F.col("prediction") == F.col("voted")).alias("same_prediction"),
+        _all_near("theirs", "votes").alias("same_votes"),
+        F.lit(SETTINGS.models.num_trees).alias("trees"),
+        F.round(F.aggregate("votes", F.lit(0.0), lambda x, y: x + y), 6).alias("votes"),
+    )
 
 
 def model_comparison(spark, sf_dir):
+    """The stored metrics of both models, class by class, against MLlib's evaluator.
+
+    The predictions are those of the stored pipelines, loaded again.
+    """
     files = _feature_files(spark, sf_dir)
-    metrics = jobs.train(spark, files, f"{StageArea(spark).path}/run", SETTINGS)
-    return metrics.select(
+    stage = StageArea(spark)
+    output = f"{stage.path}/run"
+    metrics = jobs.train(spark, files, output, SETTINGS)
+    test = learn.of_split(artifacts.read_features(spark, files), "test")
+    theirs = []
+    for name in learn.MODELS:
+        pipeline = artifacts.load_pipeline(f"{output}/{name}/model")
+        pairs = learn.predict(pipeline, test).select("label", "prediction")
+        pairs = stage.table(pairs, f"predictions-{name}")
+        found = evaluate.evaluator_metrics(pairs, list(pipeline.stages[0].labels))
+        theirs.append(found.withColumn("model", F.lit(name)))
+    theirs = theirs[0].unionByName(theirs[1])
+    measures = ("accuracy", "weighted_f1", "precision", "recall", "f1")
+    theirs = theirs.withColumnsRenamed({name: f"their_{name}" for name in measures})
+    ours = metrics.select(
         "model",
         "accuracy",
         "weighted_f1",
-        "macro_precision",
-        "macro_recall",
         "macro_f1",
         "test_predictions",
+        "split_counts",
+        F.inline("per_class"),
     )
+    together = ours.join(theirs, ["model", "activity"], "left")
+    # A class without test rows scores zero here and is unknown to the evaluator.
+    unseen = F.col("support") == 0
+    zero = (F.col("recall") == 0) & (F.col("f1") == 0)
+    macro = F.avg("f1").over(Window.partitionBy("model"))
+    return together.select(
+        "model",
+        "activity",
+        "support",
+        "test_predictions",
+        F.try_element_at("split_counts", F.lit("train")).alias("train_windows"),
+        *(
+            F.when(unseen, zero).otherwise(_near(F.col(name), F.col(f"their_{name}"))).alias(f"same_{name}")
+            for name in measures
+        ),
+        _near(F.col("macro_f1"), macro).alias("same_macro_f1"),
+    )
+
+
+def run_job(spark, sf_dir):
+    """The submitted job from text files to the comparison, read back from what it wrote.
+
+    ``(artifact, metric, key, value)``: counts in the features, the summary, and each
+    model's metrics, confusion and comparison objects.
+    """
+    given = submit.arguments(
+        [
+            "run",
+            *("--raw", _line_folders(spark, sf_dir)),
+            *("--output", f"{StageArea(spark).path}/runs"),
+            *("--window-seconds", str(SETTINGS.window_seconds)),
+            *("--minimum-samples", str(SETTINGS.minimum_samples)),
+            *("--max-iter", "5", "--num-trees", "3", "--max-depth", "3"),
+        ]
+    )
+    output = submit.execute(spark, given)
+
+    def entry(artifact: str, metric: str, key, value):
+        return F.struct(
+            F.lit(artifact).alias("artifact"),
+            F.lit(metric).alias("metric"),
+            (key if isinstance(key, Column) else F.lit(key)).alias("key"),
+            F.col(value).cast("bigint").alias("value"),
+        )
+
+    features = artifacts.read_features(spark, f"{output}/features")
+    counted = features.groupBy("split", "activity").agg(F.count("*").alias("n"))
+    rows = [counted.select(entry("features", "windows", F.concat_ws("/", "split", "activity"), "n"))]
+    summary = artifacts.read_summary(spark, f"{output}/data_summary_json")
+    rows.append(summary.select(entry("data_summary", "lines", "all", "lines")))
+    rows.append(summary.select(entry("data_summary", "windows", "all", "feature_windows")))
+    comparison = artifacts.read_comparison(spark, f"{output}/comparison_json", learn.MODELS)
+    for model in learn.MODELS:
+        cells = artifacts.read_confusion(spark, f"{output}/{model}/confusion_json")
+        actual = cells.groupBy("actual").agg(F.sum("count").alias("n"))
+        rows.append(actual.select(entry(f"{model}/confusion", "actual", F.col("actual"), "n")))
+        for artifact, metrics in (
+            (f"{model}/metrics", artifacts.read_metrics(spark, f"{output}/{model}/metrics_json")),
+            (f"{model}/comparison", comparison.select(f"{model}.*")),
+        ):
+            support = metrics.select(F.inline("per_class"))
+            rows.append(support.select(entry(artifact, "support", F.col("activity"), "support")))
+            splits_of = metrics.select(F.explode("split_counts").alias("split", "n"))
+            rows.append(splits_of.select(entry(artifact, "windows", F.col("split"), "n")))
+    united = reduce(DataFrame.union, (frame.toDF("one") for frame in rows))
+    return united.select("one.*")
 
 
 def model_roundtrip(spark, sf_dir):
@@ -383,5 +536,6 @@ QUERIES: dict[str, Query] = {
         rf_predictions,
         model_comparison,
         model_roundtrip,
+        run_job,
     )
 }

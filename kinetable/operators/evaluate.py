@@ -6,6 +6,7 @@ result, which has at most one row per pair of labels.
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,6 +171,30 @@ def metrics_record(
     )
 
 
+def evaluator_metrics(predictions: DataFrame, labels: list[str]) -> DataFrame:
+    """``activity, accuracy, weighted_f1, precision, recall, f1`` as MLlib's evaluator has them.
+
+    One row for each label with test rows, for comparison with the metrics from counts;
+    the evaluator reads ``label`` and ``prediction`` once for each of them.
+    """
+    evaluator = MulticlassClassificationEvaluator()
+
+    def of(metric: str, label: float = 0.0) -> float:
+        evaluator.setParams(metricName=metric, metricLabel=label)
+        return evaluator.evaluate(predictions)
+
+    overall = of("accuracy"), of("f1")
+    by_label = ("precisionByLabel", "recallByLabel", "fMeasureByLabel")
+    seen = sorted(row["label"] for row in predictions.select("label").distinct().collect())
+    rows = [
+        (labels[int(label)], *overall, *(of(metric, label) for metric in by_label)) for label in seen
+    ]
+    kinds = "activity string, accuracy double, weighted_f1 double, "
+    return predictions.sparkSession.createDataFrame(
+        rows, kinds + "precision double, recall double, f1 double"
+    )
+
+
 def confusion_record(cells: DataFrame, labels: list[str], model: str) -> DataFrame:
     """The dense table of one model as a single row, cells in label order."""
     cell = F.struct("actual", "predicted", "count")

@@ -33,8 +33,14 @@ class ModelSettings:
     # Node statistics held per task and pass, as MLlib has it.  Once it binds, nodes are
     # split in other groups, which can change the trees.
     max_memory_mb: int = 256
-    # Bagging is seeded per partition, so their number is part of a model's settings.
-    train_partitions: int = 32
+    # Bagging is seeded per partition, so what decides their number is part of a model's
+    # settings: rows of a partition, and the most partitions.  Cores play no part.
+    rows_per_partition: int = 2048
+    most_partitions: int = 4096
+
+    def partitions_for(self, rows: int) -> int:
+        """Partitions of that many train rows; few rows make few, as each costs a task."""
+        return max(1, min(self.most_partitions, -(-rows // self.rows_per_partition)))
 
 
 @dataclass(frozen=True)
@@ -126,8 +132,9 @@ def fit_models(
     and every returned pipeline carries them.  A model's seconds include that share.
     ``stage(frame, name)`` stores the examples, so that fits do not prepare them again.
 
-    Examples are dealt by their keys into ``train_partitions`` and sorted there, so a
-    model depends on the rows and the settings, not on files, their order or cores.
+    Examples are counted, dealt by their keys into partitions of ``rows_per_partition``
+    and sorted there, so a model depends on the rows and the settings, not on files,
+    their order or cores.
     """
     settings = settings or ModelSettings()
     estimators = [(name, classifier(name, settings, seed)) for name in names]
@@ -140,7 +147,7 @@ def fit_models(
     examples = prepared.transform(train).select(*keys, "label", "features")
     if stage:
         examples = stage(examples, "examples")
-    examples = dealt(examples, keys, settings.train_partitions)
+    examples = dealt(examples, keys, settings.partitions_for(examples.count()))
     preparation_seconds = time.perf_counter() - started
 
     def fit(name: str, estimator) -> Fitted:
@@ -158,19 +165,21 @@ def predict(pipeline: PipelineModel, rows: DataFrame, keys: tuple[str, ...] = ()
 
 
 def evaluate_model(
-    fitted: Fitted, features: DataFrame, *, split_counts: dict[str, int], stage
+    fitted: Fitted, features: DataFrame, *, split_counts: dict[str, int]
 ) -> tuple[DataFrame, DataFrame]:
     """Confusion counts and the metrics row of one model on the test rows.
 
-    ``stage(frame, name)`` stores the counts, which is the only pass over the test
-    rows; every metric is derived from what it returns.
+    The test rows are read once, to be predicted and counted; that is the time given as
+    inference.  The counts are at most one row for each pair of labels, and every
+    metric is derived from them.
     """
-    started = time.perf_counter()
     predictions = predict(fitted.pipeline, of_split(features, "test"))
     indexed = predictions.groupBy("label", "prediction").agg(F.count("*").alias("count"))
-    named = named_predictions(indexed, fitted.labels).select("actual", "predicted", "count")
-    cells = stage(named, f"confusion_{fitted.name}")
+    started = time.perf_counter()
+    counted = indexed.collect()
     seconds = time.perf_counter() - started
+    indexed = features.sparkSession.createDataFrame(counted, indexed.schema)
+    cells = named_predictions(indexed, fitted.labels).select("actual", "predicted", "count")
     record = metrics_record(
         cells,
         fitted.labels,

@@ -6,7 +6,7 @@ import time
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.evaluate import confusion_record
@@ -59,11 +59,18 @@ def with_subject_splits(features: DataFrame, settings: JobSettings, stage: Stage
     return attach_splits(features, stage.table(ranked, "ranked_subjects"))
 
 
-def prepare_features(lines: DataFrame, settings: JobSettings, stage: StageArea) -> Prepared:
+def prepare_features(
+    lines: DataFrame,
+    settings: JobSettings,
+    stage: StageArea,
+    observed: Observation | None = None,
+) -> Prepared:
     """Raw lines to split features with a single pass over the lines.
 
     The pass ends in a stored window table, far smaller than the lines.  Quality counts,
-    subject ranking and fusion read that, each only the columns it needs.
+    subject ranking and fusion read that, each only the columns it needs.  ``observed``
+    gets the number of ``lines`` from that pass, as the sum over the windows it writes;
+    it is for reports of speed, as a repeated task may count twice.
     """
     tallied = tallied_windows(
         parse_records(lines),
@@ -71,6 +78,9 @@ def prepare_features(lines: DataFrame, settings: JobSettings, stage: StageArea)
         sensors=list(settings.sensors),
         window_seconds=settings.window_seconds,
     )
+    if observed:
+        counted = F.coalesce(F.sum("sample_count"), F.lit(0).cast("bigint"))
+        tallied = tallied.observe(observed, counted.alias("lines"))
     tallied = stage.table(tallied, "windows")
     windows = accepted_windows(tallied, minimum_samples=settings.minimum_samples)
     fused = fuse_sensors(windows, list(settings.sensors))
@@ -112,9 +122,10 @@ def prepare(spark: SparkSession, raw: str, output: str, settings: JobSettings) -
     """Parse, window, fuse and split; write ``features`` and ``data_summary_json``."""
     refuse_existing(spark, output)
     started = time.perf_counter()
-    stage = StageArea(spark)
+    stage = StageArea(spark, below=output)
+    lines = Observation("lines")
     try:
-        prepared = prepare_features(read_lines(spark, raw), settings, stage)
+        prepared = prepare_features(read_lines(spark, raw), settings, stage, lines)
         write_features(prepared.features, f"{output}/features")
         seconds = time.perf_counter() - started
         quality = {str(row["_parse_ok"]).lower(): row["count"] for row in prepared.quality.collect()}
@@ -130,6 +141,8 @@ def prepare(spark: SparkSession, raw: str, output: str, settings: JobSettings) -
         "parse_counts": quality,
         "feature_columns": model_columns(features),
         "preprocessing_seconds": seconds,
+        "lines": lines.get["lines"],
+        "lines_per_second": lines.get["lines"] / seconds if seconds else None,
     }
     write_record(summary_record(features, details), f"{output}/data_summary_json")
     return features
@@ -145,7 +158,7 @@ def compare_models(
     spark = features.sparkSession
     refuse_existing(spark, *(f"{output}/{name}" for name in (*names, "comparison_json")))
     counts = checked_split_counts(features)
-    stage = StageArea(spark)
+    stage = StageArea(spark, below=output)
     paths = {}
     try:
         for fitted in fit_models(
@@ -156,9 +169,7 @@ def compare_models(
             stage=stage.table,
         ):
             folder = f"{output}/{fitted.name}"
-            cells, record = evaluate_model(
-                fitted, features, split_counts=counts, stage=stage.table
-            )
+            cells, record = evaluate_model(fitted, features, split_counts=counts)
             save_pipeline(fitted.pipeline, f"{folder}/model")
             write_record(record, f"{folder}/metrics_json")
             confusion = confusion_record(cells, fitted.labels, fitted.name)

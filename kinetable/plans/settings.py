@@ -40,6 +40,23 @@ class JobSettings:
             raise ValueError(f"a sensor is named twice: {self.sensors}")
 
 
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Shuffled are windows, which are far smaller than the lines they are made of: so many
+# bytes of text fill a shuffle partition.
+TEXT_PER_PARTITION = 256 << 20
+LEAST_PARTITIONS, MOST_PARTITIONS = 64, 100_000
+
+
+def partitions_for(input_bytes: int) -> int:
+    """Shuffle partitions to begin with for an input of that size.
+
+    Adaptive execution joins small ones, but cannot split a grouping's partitions, so
+    the number has to grow with the input.
+    """
+    wanted = -(-input_bytes // TEXT_PER_PARTITION)
+    return max(LEAST_PARTITIONS, min(MOST_PARTITIONS, wanted))
+
+
 def session_options(
     app_name: str,
     *,
@@ -49,7 +66,8 @@ def session_options(
     """Options for ``SparkSession.builder``; the launcher chooses the master.
 
     Without a number, the count of shuffle partitions is a ceiling that adaptive
-    execution lowers to fit the data.  Large input splits let the first aggregation
+    execution lowers to fit the data; a job sets it by ``partitions_for`` once it has
+    listed its input.  Large input splits let the first aggregation
     fold more readings of a window before anything is shuffled; on small input Spark
     makes the splits smaller by itself, to keep every core busy.
     """
@@ -60,7 +78,7 @@ def session_options(
         "spark.sql.files.maxPartitionBytes": "512m",
     }
     if shuffle_partitions is None:
-        options["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = "4000"
+        options[FIRST_PARTITIONS] = str(MOST_PARTITIONS // 25)
     else:
         options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:

@@ -5,6 +5,7 @@ Every writer refuses a path that already exists.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import UTC, datetime
 
 from pyspark.ml import PipelineModel
@@ -37,7 +38,8 @@ SUMMARY_SCHEMA = """
     split_windows map<string,bigint>, split_subjects map<string,bigint>,
     parse_counts map<string,bigint>, raw_path string, prepared_feature_path string,
     device string, sensors array<string>, window_seconds bigint, minimum_samples bigint,
-    feature_columns array<string>, preprocessing_seconds double
+    feature_columns array<string>, preprocessing_seconds double,
+    lines bigint, lines_per_second double
 """
 
 
@@ -105,6 +107,16 @@ def read_confusion(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return stored.select(F.inline(F.coalesce("rows", single)))
 
 
+def read_comparison(spark: SparkSession, path: str, models: Sequence[str]) -> DataFrame:
+    """A comparison object: a column for each model, holding its metrics."""
+    fields = ", ".join(f"{name} struct<{_as_fields(METRICS_SCHEMA)}>" for name in models)
+    return spark.read.schema(fields).option("multiLine", True).json(path)
+
+
+def _as_fields(schema: str) -> str:
+    return StructType.fromDDL(schema).simpleString().removeprefix("struct<").removesuffix(">")
+
+
 def comparison_record(metrics: DataFrame, models: list[str]) -> DataFrame:
     """Metrics rows as one row with a column per model."""
     whole = sorted_struct(metrics)

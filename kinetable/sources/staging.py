@@ -12,14 +12,21 @@ from .folders import remove_folder
 class StageArea:
     """A new folder for intermediate tables, on storage all executors share.
 
-    The base is ``spark.checkpoint.dir`` of the session, or its warehouse folder where
-    that is unset.  Written tables survive the loss of any executor, unlike cached
+    The base is ``spark.checkpoint.dir`` of the session.  Where that is unset it is
+    ``below``, the folder of a job's results, or else the warehouse folder; on a
+    cluster that must not be a folder of each machine's own.  Written tables survive the loss of any executor, unlike cached
     blocks, and are read back with column pruning.
     """
 
-    def __init__(self, spark: SparkSession):
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        base = base or spark.conf.get("spark.sql.warehouse.dir")
+    def __init__(self, spark: SparkSession, below: str | None = None):
+        base = spark.conf.get("spark.checkpoint.dir", None) or below
+        if not base:
+            base = spark.conf.get("spark.sql.warehouse.dir")
+            if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+                raise ValueError(
+                    "set spark.checkpoint.dir to a folder that all executors share: "
+                    f"{base} is one of each machine"
+                )
         self.spark = spark
         self.path = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
 

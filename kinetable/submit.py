@@ -8,8 +8,14 @@ from pyspark.sql import SparkSession
 
 from kinetable.operators.learn import ModelSettings
 from kinetable.plans import jobs
-from kinetable.plans.settings import JobSettings, session_options
+from kinetable.plans.settings import (
+    FIRST_PARTITIONS,
+    JobSettings,
+    partitions_for,
+    session_options,
+)
 from kinetable.sources.artifacts import new_run_id
+from kinetable.sources.text import input_bytes
 
 
 def arguments(values: list[str] | None = None) -> argparse.Namespace:
@@ -32,7 +38,7 @@ def arguments(values: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--reg-param", type=float, default=0.05)
     parser.add_argument("--elastic-net-param", type=float, default=0.0)
     parser.add_argument("--feature-subset-strategy", default="sqrt")
-    parser.add_argument("--train-partitions", type=int, default=32)
+    parser.add_argument("--rows-per-partition", type=int, default=2048, help="train rows")
     parser.add_argument("--shuffle-partitions", type=int)
     given = parser.parse_args(values)
     missing = "features" if given.job == "train" else "raw"
@@ -41,9 +47,8 @@ def arguments(values: list[str] | None = None) -> argparse.Namespace:
     return given
 
 
-def main(values: list[str] | None = None) -> None:
-    given = arguments(values)
-    settings = JobSettings(
+def settings_of(given: argparse.Namespace) -> JobSettings:
+    return JobSettings(
         device=given.device,
         sensors=tuple(given.sensors),
         window_seconds=given.window_seconds,
@@ -56,24 +61,37 @@ def main(values: list[str] | None = None) -> None:
             reg_param=given.reg_param,
             elastic_net_param=given.elastic_net_param,
             feature_subset_strategy=given.feature_subset_strategy,
-            train_partitions=given.train_partitions,
+            rows_per_partition=given.rows_per_partition,
         ),
         train_fraction=given.train_fraction,
         validation_fraction=given.validation_fraction,
         test_fraction=given.test_fraction,
     )
-    builder = SparkSession.builder
-    for name, value in session_options(
-        "kinetable", shuffle_partitions=given.shuffle_partitions
-    ).items():
-        builder = builder.config(name, value)
-    spark = builder.getOrCreate()
+
+
+def execute(spark: SparkSession, given: argparse.Namespace) -> str:
+    """Run the job in a new folder below the output, and return that folder."""
+    settings = settings_of(given)
     output = f"{given.output.rstrip('/')}/{new_run_id()}"
     if given.job == "train":
         jobs.train(spark, given.features, output, settings)
     else:
         getattr(jobs, given.job)(spark, given.raw, output, settings)
-    print(output)
+    return output
+
+
+def main(values: list[str] | None = None) -> None:
+    given = arguments(values)
+    builder = SparkSession.builder
+    options = session_options("kinetable", shuffle_partitions=given.shuffle_partitions)
+    for name, value in options.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
+    if given.shuffle_partitions is None and given.raw:
+        # Known only now that there is a session to list the files with.
+        first = partitions_for(input_bytes(spark, given.raw))
+        spark.conf.set(FIRST_PARTITIONS, str(first))
+    print(execute(spark, given))
 
 
 if __name__ == "__main__":

@@ -2,15 +2,22 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import random
+import subprocess
+import sys
+import zipfile
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
 from kinetable import submit
 from kinetable.operators.learn import ModelSettings
 from kinetable.plans import jobs
-from kinetable.plans.settings import JobSettings, session_options
+from kinetable.plans.settings import JobSettings, partitions_for, session_options
 from kinetable.sources.staging import StageArea
+from kinetable.sources.text import input_bytes
 
 SETTINGS = JobSettings(
     window_seconds=5,
@@ -42,6 +49,40 @@ def test_session_options_never_choose_a_master():
     assert session_options("x", shuffle_partitions=8)["spark.sql.shuffle.partitions"] == "8"
 
 
+def test_partitions_follow_the_input():
+    assert partitions_for(0) == partitions_for(10 << 20) == 64
+    assert partitions_for(100 << 30) == 400
+    # 100 TB, and far more than that.
+    assert partitions_for(10**14) == 100_000
+    assert partitions_for(10**13) == 37_253
+    assert partitions_for(10**18) == 100_000
+    sizes = [partitions_for(1 << power) for power in range(20, 60)]
+    assert sizes == sorted(sizes)
+
+
+def test_input_size_comes_from_the_listing(spark, raw):
+    files = list(Path(raw).glob("*/*/*.txt"))
+    assert len(files) == 40
+    assert input_bytes(spark, f"{raw}/*/*/*.txt") == sum(file.stat().st_size for file in files)
+
+
+def test_stage_folder(spark, tmp_path, monkeypatch):
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert StageArea(spark, below="/elsewhere").path.startswith(named)
+    unset = SimpleNamespace(
+        conf=SimpleNamespace(
+            get=lambda name, *default: "file:/here" if "warehouse" in name else default[0]
+        ),
+        sparkContext=SimpleNamespace(master="local[2]"),
+    )
+    assert StageArea(unset, below="s3://out/run").path.startswith("s3://out/run/stage-")
+    assert StageArea(unset).path.startswith("file:/here/stage-")
+    unset.sparkContext.master = "spark://some:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        StageArea(unset)
+    assert StageArea(unset, below="s3://out/run").path.startswith("s3://out/run/stage-")
+
+
 def test_submit_arguments(capsys):
     given = submit.arguments(["run", "--raw", "r", "--output", "o", "--sensors", "accel"])
     assert (given.job, given.sensors, given.seed) == ("run", ["accel"], 42)
@@ -137,6 +178,10 @@ def test_summary_of_a_run(finished):
     assert summary["split_windows"] == {"train": 168, "validation": 36, "test": 36}
     assert summary["sensors"] == ["accel", "gyro"]
     assert summary["preprocessing_seconds"] > 0
+    # Observed in the pass itself: all lines, good and bad.
+    assert summary["lines"] == 2 * 20 * 1200
+    seconds = summary["lines"] / summary["lines_per_second"]
+    assert seconds == pytest.approx(summary["preprocessing_seconds"])
 
 
 def test_an_existing_run_is_refused_before_any_work(spark, raw, finished, monkeypatch):
@@ -230,3 +275,53 @@ def test_submitted_job(spark, raw, tmp_path, capsys, session_as_before):
     (run,) = tmp_path.iterdir()
     assert capsys.readouterr().out.strip().endswith(run.name)
     assert spark.read.parquet(f"{run}/features").count() == 240
+
+
+def test_whole_run_from_the_zip(raw, tmp_path):
+    """``spark-submit`` with the packaged library, in a process of its own."""
+    root = Path(submit.__file__).resolve().parents[1]
+    package = tmp_path / "kinetable.zip"
+    with zipfile.ZipFile(package, "w") as packed:
+        for module in sorted((root / "kinetable").rglob("*.py")):
+            if "llm" not in module.parts:
+                packed.write(module, module.relative_to(root))
+    options = {
+        "spark.master": "local[2]",
+        "spark.ui.enabled": "false",
+        "spark.driver.host": "127.0.0.1",
+        "spark.driver.bindAddress": "127.0.0.1",
+        "spark.sql.warehouse.dir": f"file:{tmp_path}/warehouse",
+    }
+    launched = [sys.executable, "-c", "from pyspark.find_spark_home import _find_spark_home as f; print(f())"]
+    home = subprocess.run(launched, capture_output=True, text=True, check=True).stdout.strip()
+    command = [f"{home}/bin/spark-submit", "--py-files", str(package)]
+    for name, value in options.items():
+        command += ["--conf", f"{name}={value}"]
+    command += [
+        *(f"{root}/kinetable/submit.py", "run", "--raw", f"{raw}/*/*/*.txt"),
+        *("--output", f"{tmp_path}/runs", "--window-seconds", "5", "--minimum-samples", "70"),
+        *("--max-iter", "5", "--num-trees", "3", "--max-depth", "3"),
+    ]
+    # Elsewhere, and without this repository on the path: only the package is there.
+    environment = {
+        name: value for name, value in os.environ.items() if name not in ("PYTHONPATH", "SPARK_HOME")
+    }
+    environment["PYSPARK_PYTHON"] = environment["PYSPARK_DRIVER_PYTHON"] = sys.executable
+    done = subprocess.run(
+        command, cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=600
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    (run,) = (tmp_path / "runs").iterdir()
+    assert done.stdout.strip().endswith(run.name)
+    comparison = record(run / "comparison_json")
+    assert set(comparison) == {"logistic_regression", "random_forest"}
+    for metrics in comparison.values():
+        assert metrics["split_counts"] == {"train": 168, "validation": 36, "test": 36}
+        assert metrics["accuracy"] > 0.8
+    assert {path.name for path in run.iterdir()} == {
+        "features",
+        "data_summary_json",
+        "logistic_regression",
+        "random_forest",
+        "comparison_json",
+    }

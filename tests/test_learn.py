@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -49,7 +50,8 @@ def test_shared_preparation_equals_one_pipeline(features, name):
     train = learn.of_split(features, "train")
     prepared = Pipeline(stages=learn.preparation(columns).getStages()).fit(train)
     keys = ["subject_id", "activity", "window_id"]
-    examples = learn.dealt(prepared.transform(train), keys, SETTINGS.train_partitions)
+    partitions = SETTINGS.partitions_for(train.count())
+    examples = learn.dealt(prepared.transform(train), keys, partitions)
     model = learn.classifier(name, SETTINGS, 42).fit(examples)
     whole = PipelineModel(stages=[*prepared.stages, model])
     test = learn.of_split(features, "test")
@@ -60,8 +62,10 @@ def test_shared_preparation_equals_one_pipeline(features, name):
 
 
 def test_a_model_depends_on_rows_and_settings_only(features):
+    settings = replace(SETTINGS, rows_per_partition=60)
+
     def trees(frame):
-        (fitted,) = learn.fit_models(frame, ("random_forest",), settings=SETTINGS, seed=42)
+        (fitted,) = learn.fit_models(frame, ("random_forest",), settings=settings, seed=42)
         text = fitted.pipeline.stages[-1].toDebugString.split("\n", 1)[1]
         # The scaler's sums may differ in their last bit.
         return re.sub(r"[0-9]+[.][0-9]+", lambda found: f"{float(found.group()):.9f}", text)
@@ -93,20 +97,21 @@ def test_scaling_uses_train_statistics_only(features):
     assert constant == [0.0, 0.0]
 
 
-def test_evaluation_reads_predictions_once(features, tmp_path):
-    staged = []
+def test_partitions_follow_rows_and_settings():
+    assert learn.ModelSettings().partitions_for(0) == 1
+    assert learn.ModelSettings().partitions_for(2048) == 1
+    assert learn.ModelSettings().partitions_for(12_690) == 7
+    assert learn.ModelSettings().partitions_for(10**12) == 4096
+    assert learn.ModelSettings(rows_per_partition=100).partitions_for(400) == 4
 
-    def stage(frame, name):
-        staged.append(name)
-        frame.write.parquet(f"{tmp_path}/{name}")
-        return frame.sparkSession.read.parquet(f"{tmp_path}/{name}")
 
+def test_evaluation(features):
     counts = learn.checked_split_counts(features)
     (fitted,) = learn.fit_models(
         features, ("logistic_regression",), settings=SETTINGS, seed=42
     )
-    cells, record = learn.evaluate_model(fitted, features, split_counts=counts, stage=stage)
-    assert staged == ["confusion_logistic_regression"]
+    cells, record = learn.evaluate_model(fitted, features, split_counts=counts)
+    assert "Scan ExistingRDD" in cells._jdf.queryExecution().executedPlan().toString()
     row = record.first()
     assert row["test_predictions"] == 100 == sum(cell["count"] for cell in cells.collect())
     assert row["split_counts"] == counts

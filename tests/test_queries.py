@@ -13,12 +13,10 @@ from kinetable.catalog.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="tables not present")
-ROWS_ONLY = {"lr_predictions", "rf_predictions", "model_comparison"}
 
 
-def test_all_but_model_results_have_sql():
-    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
-    assert set(ORACLE) <= set(QUERIES)
+def test_all_have_sql():
+    assert set(QUERIES) == set(ORACLE)
     assert set(QUERIES) <= set(entry.queries())
     assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
@@ -30,14 +28,6 @@ def test_query_equals_its_sql(spark, name):
     assert difference(frame, SF_DIR, ORACLE[name]) is None
 
 
-@needs_tables
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_model_queries_have_rows(spark, name):
-    frame = QUERIES[name](spark, SF_DIR)
-    rows = frame.count()
-    assert rows == (2 if name == "model_comparison" else 11)
-
-
 @needs_tables
 def test_entry(spark):
     assert entry.entry(spark).count() == 54
