@@ -55,7 +55,7 @@ class Settings:
     high_rounds: int = 60
     # Texts of a block, and their characters, if they are more than one.
     block_rows: int = 8_192
-    block_size: int = 8 << 20
+    block_size: int = 4 << 20
     # Characters of the texts that are parsed together, if they are more than one.
     together: int = 1 << 21
 
@@ -459,6 +459,22 @@ def _long_counts(revealed: DataFrame, settings: Settings) -> DataFrame:
     return _map_blocks(revealed.select("block", "a", "b"), _COUNTED, each, packed=True)
 
 
+def _places(a: np.ndarray, b: np.ndarray, known_a: np.ndarray, known_b: np.ndarray) -> np.ndarray:
+    """Where each pair stands among the known ones; -1 for those that do not."""
+    found = np.full(len(a), -1)
+    if not len(known_a):
+        return found
+    order = np.lexsort((known_b, known_a))
+    known_a, known_b = known_a[order], known_b[order]
+    low, high = np.searchsorted(known_a, a, "left"), np.searchsorted(known_a, a, "right")
+    # More than one step only where first fingerprints collide.
+    for step in range(int((high - low).max(initial=0))):
+        some = np.flatnonzero(low + step < high)
+        some = some[known_b[low[some] + step] == b[some]]
+        found[some] = order[low[some] + step]
+    return found
+
+
 class Judged:
     """A block's windows: which a shared name proves, and which are left to count."""
 
@@ -467,13 +483,13 @@ class Judged:
         self.sizes = [len((text or "").encode("utf-8", "surrogatepass").split()) for text in self.texts]
         self.starts = np.cumsum([1, *(size + 1 for size in self.sizes)])
         self.total, self.length = int(self.starts[-1]), settings.length
-        a, b = _numbers(row, "a"), _numbers(row, "b")
+        found = _places(
+            _numbers(row, "a"), _numbers(row, "b"), _column(row, "long", "a"), _column(row, "long", "b")
+        )
         starts, ends = _numbers(row, "name_start"), _numbers(row, "name_end") - settings.length + 1
-        fields = [_column(row, "long", name).tolist() for name in ("a", "b", "first")]
-        known = dict(zip(zip(*fields[:2], strict=True), fields[2], strict=True))
-        found = [known.get(pair) for pair in zip(a.tolist(), b.tolist(), strict=True)]
-        proving = np.array([first is not None for first in found], bool)
-        giving = np.array([bool(first) for first in found], bool)
+        proving = giving = found >= 0
+        if proving.any():
+            giving = proving & _column(row, "long", "first")[found]
         self.proved = _filled(self.total, starts[proving], ends[proving])
         self.giving = _filled(self.total, starts[giving], ends[giving])
         self.left = _filled(self.total, _numbers(row, "open_start"), _numbers(row, "open_end"))
@@ -518,13 +534,12 @@ def _judged(blocks: DataFrame, ddl: str, settings: Settings, row_of) -> DataFram
             return
         judged = Judged(row, settings)
         places = np.flatnonzero(judged.left)
-        repeated = set(
-            zip(*(_column(row, "windows", name).tolist() for name in ("a", "b")), strict=True)
+        found = _places(
+            *judged.fingerprints(places, settings),
+            *(_column(row, "windows", name) for name in ("a", "b")),
         )
-        a, b = judged.fingerprints(places, settings)
-        hits = [pair in repeated for pair in zip(a.tolist(), b.tolist(), strict=True)]
         starts = np.flatnonzero(judged.proved)
-        starts = np.concatenate([starts, places[np.array(hits, bool)]])
+        starts = np.concatenate([starts, places[found >= 0]])
         gone = _filled(judged.total, starts, starts + settings.length)
         for doc_id, text, start, size in zip(
             ids, judged.texts, judged.starts.tolist(), judged.sizes, strict=False
