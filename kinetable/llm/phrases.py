@@ -7,11 +7,10 @@ columns gives the words' counts, then all pairs, triples and quadruples, and eac
 number of words; nothing shorter is ever taken from the texts.
 
 Most windows of natural text stand once and could never add up to a candidate.  Therefore
-pairs of neighbours are first counted in a table of hashed counters, which only ever counts
-too many.  Where a pair's counter stays below the least frequency, no candidate spans it, and
-the lead columns after it are left empty like those behind a piece's end.  The table has
-a fixed number of counters (its bits, 4 MB, go to the tasks), so beyond some thousand million
-words it prunes less; the result is the same with or without it.
+hashes of neighbouring pairs are first counted by blocks of documents, and each block gets
+back those of its pairs that stand often enough.  Where a pair does not, no candidate spans
+it, and the lead columns after it are left empty like those behind a piece's end.  That is
+pruning alone: equal hashes only keep more, and every frequency comes from the windows.
 
 Words are 64-bit hashes in the windows; a table of the words that stand in phrases names them
 and would raise an error if two of a language had one hash.  Integer arithmetic is exact:
@@ -29,11 +28,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import StageArea
-from .common import ROWS_PER_PIECE, map_batches
+from .blocks import COUNTED, column, counts, frequent, in_blocks, map_blocks, together
 from .recompression import hashed_words
 
 _CUT = b"\xff"  # never a byte of UTF-8
@@ -50,9 +50,9 @@ class Settings:
     # A phrase within one that has this share of its occurrences is dropped.
     percent: int = 80
     ranked: int = 2_000
-    # Hashed counters of pairs, as a power of two, and those that travel together.
-    counter_bits: int = 25
-    counters_per_row: int = 1 << 14
+    # Texts of a block, and their characters, if they are more than one.
+    block_rows: int = 8_192
+    block_size: int = 4 << 20
     # Parts in which a language is ranked before the whole.
     parts: int = 64
     # Characters of the texts that are taken together, if they are more than one.
@@ -83,7 +83,7 @@ class Pieces:
     # Empty places at the end, so that every word has lead columns.
     _tail = 4
 
-    def spelled(self, chosen: np.ndarray) -> list[bytes]:
+    def spelled(self, chosen: list[int]) -> list[bytes]:
         """The bytes of the words with those numbers."""
         found = []
         for at in self.at[chosen].tolist():
@@ -97,193 +97,129 @@ class Pieces:
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def pair_places(words: np.ndarray, lang: int, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Which words have a neighbour after them, and the counters of those pairs."""
+def pair_names(words: np.ndarray, lang: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which words have a neighbour after them, and five bytes of hash for those pairs."""
     first = np.flatnonzero((words[:-1] != 0) & (words[1:] != 0))
     mixed = (words[first] * _MIX + np.uint64(lang)) ^ (words[first] >> np.uint64(29))
     mixed = (mixed + words[first + 1]) * _MIX
     mixed ^= mixed >> np.uint64(32)
     mixed *= _MIX
-    return first, (mixed >> np.uint64(64 - settings.counter_bits)).astype(np.int64)
+    return first, (mixed >> np.uint64(24)).view(np.int64)
 
 
 def _lang_number(lang: str) -> int:
-    return sum((1 + byte) << (8 * place) for place, byte in enumerate(lang.encode()[-6:]))
-
-
-def _by_language(batch: pa.RecordBatch, settings: Settings) -> Iterator[tuple[str, Pieces]]:
-    """The texts of a batch by language, in parts of bounded size."""
-    for start in range(0, batch.num_rows, ROWS_PER_PIECE):
-        part = batch.slice(start, ROWS_PER_PIECE)
-        groups: dict[str, list] = {}
-        for lang, text in zip(*(column.to_pylist() for column in part.columns), strict=True):
-            groups.setdefault(lang, []).append(text)
-        for lang, texts in groups.items():
-            some, size = [], 0
-            for text in texts:
-                if some and size + len(text) > settings.together:
-                    yield lang, Pieces(some)
-                    some, size = [], 0
-                some.append(text)
-                size += len(text)
-            yield lang, Pieces(some)
-
-
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
-    )
-
-
-# --- counters of pairs -----------------------------------------------------------------------
-
-
-def _counter_parts(texts: DataFrame, settings: Settings) -> DataFrame:
-    """``part, counts``: what a task has counted, as places and counts of a part's counters."""
+    return xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"))
 
-    def make():
-        width, most = settings.counters_per_row, 255
 
-        def run(batches):
-            counts = np.zeros(1 << settings.counter_bits, np.uint8)
-            any_pair = False
-            for batch in batches:
-                for lang, pieces in _by_language(batch, settings):
-                    _, places = pair_places(pieces.words, _lang_number(lang), settings)
-                    places, times = np.unique(places, return_counts=True)
-                    any_pair |= len(places) > 0
-                    # Counts stop at 255, far above the least frequency.
-                    counts[places] = np.minimum(counts[places] + times, most)
-            if not any_pair:
-                return
-            for part, row in enumerate(counts.reshape(-1, width)):
-                places = np.flatnonzero(row)
-                if len(places):
-                    yield part, places.astype(np.uint16).tobytes(), row[places].tobytes()
+def _by_language(row: dict, settings: Settings) -> Iterator[tuple[str, Pieces]]:
+    """The texts of a block by language, in parts of bounded size."""
+    groups: dict[str, list] = {}
+    for lang, text in zip(row["lang"].as_py(), row["text"].as_py(), strict=True):
+        groups.setdefault(lang, []).append(text)
+    for lang, texts in groups.items():
+        for low, high in together(texts, settings.together):
+            yield lang, Pieces(texts[low:high])
 
-        return run
 
-    return map_batches(texts, "part int, places binary, counts binary", make)
+def _pair_counts(blocks: DataFrame, settings: Settings) -> DataFrame:
+    def each(row):
+        found = [np.empty(0, np.int64)]
+        for lang, pieces in _by_language(row, settings):
+            found.append(pair_names(pieces.words, _lang_number(lang))[1])
+        names = np.concatenate(found)
+        nothing, once = np.zeros(len(names), np.int64), np.ones(len(names), np.int64)
+        yield counts(row["block"].as_py(), names, nothing, once, settings.least)
 
+    return map_blocks(blocks, COUNTED, each, packed=True)
 
-def frequent_pairs(texts: DataFrame, settings: Settings) -> bytes:
-    """A bit for each counter, set where its pairs may reach the least frequency.
 
-    The bits have a fixed size, whatever the input.
-    """
-    width = settings.counters_per_row
-
-    def make():
-        def run(batches):
-            part, total = None, None
-            for batch in batches:
-                for number, places, counts in zip(
-                    *(column.to_pylist() for column in batch.columns), strict=True
-                ):
-                    if number != part:
-                        if part is not None:
-                            yield part, np.packbits(total >= settings.least).tobytes()
-                        part, total = number, np.zeros(width, np.int64)
-                    total[np.frombuffer(places, np.uint16)] += np.frombuffer(counts, np.uint8)
-            if part is not None:
-                yield part, np.packbits(total >= settings.least).tobytes()
-
-        return run
-
-    dealt = _counter_parts(texts, settings).repartition("part").sortWithinPartitions("part")
-    bits = np.zeros((1 << settings.counter_bits) // 8, np.uint8).reshape(-1, width // 8)
-    for row in map_batches(dealt, "part int, bits binary", make).toLocalIterator():
-        bits[row["part"]] = np.frombuffer(row["bits"], np.uint8)
-    return bits.tobytes()
+# --- windows ----------------------------------------------------------------------------------
 
 
-# --- windows ----------------------------------------------------------------------------------
+def _batch_of(lang: str, columns: list[np.ndarray], times: np.ndarray, words=None) -> pa.RecordBatch:
+    size = len(times)
+    arrays = [pa.array([lang]).take(pa.array(np.zeros(size, np.int32)))]
+    arrays += [pa.array(column.view(np.int64), mask=column == 0) for column in columns]
+    arrays.append(pa.array(times, pa.int64()))
+    arrays.append(pa.nulls(size, pa.string()) if words is None else pa.array(words, pa.string()))
+    return pa.RecordBatch.from_arrays(arrays, names=["lang", *_COLUMNS, "times", "word"])
 
 
-def _windows(texts: DataFrame, bits: bytes, settings: Settings) -> DataFrame:
-    """``lang, w1, w2, w3, w4, times`` of the padded windows, and one spelling of each word.
+def _windows(blocks: DataFrame, settings: Settings) -> DataFrame:
+    """``lang, w1, w2, w3, w4, times`` of the padded windows, and the words in them.
 
     Rows with ``word`` name the hash ``w1`` and have no count.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
-
-    def make():
-        def batch_of(lang, columns, times, words=None):
-            size = len(times)
-            arrays = [pa.array([lang]).take(pa.array(np.zeros(size, np.int32)))]
-            for column in columns:
-                arrays.append(pa.array(column.view(np.int64), mask=column == 0))
-            arrays.append(pa.array(times))
-            arrays.append(pa.nulls(size, pa.string()) if words is None else pa.array(words))
-            return pa.RecordBatch.from_arrays(arrays, names=["lang", *_COLUMNS, "times", "word"])
-
-        def windows_of(lang: str, pieces: Pieces, table: np.ndarray, named: set):
-            words = pieces.words
-            first, places = pair_places(words, _lang_number(lang), settings)
-            may = (table[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1
-            linked = np.zeros(len(words), bool)
-            linked[first[may.astype(bool)]] = True
-            # A word without a candidate after it is a window of itself; those are added up.
-            alone, times = np.unique(words[(words != 0) & ~linked], return_counts=True)
-            none = np.zeros(len(alone), np.uint64)
-            yield batch_of(lang, [alone, none, none, none], times)
-            opening = np.flatnonzero(linked)
-            columns, open_ = [words[opening]], np.ones(len(opening), bool)
-            for step in range(1, settings.longest):
-                open_ = open_ & linked[opening + step - 1]
-                columns.append(np.where(open_, words[opening + step], np.uint64(0)))
-            for low in range(0, len(opening), 1 << 16):
-                part = [column[low : low + (1 << 16)] for column in columns]
-                yield batch_of(lang, part, np.ones(len(part[0]), np.int64))
-            # Words of phrases are named once by each task, as long as it remembers.
-            in_phrases = np.unique(np.concatenate([columns[0], columns[1]]))
-            values, where = np.unique(pieces.hashes, return_index=True)
-            where = where[np.isin(values, in_phrases)]
-            new = [at for at in where.tolist() if (lang, int(pieces.hashes[at])) not in named]
-            if new:
-                if len(named) > 500_000:
-                    named.clear()
-                chosen = np.array(new)
-                named.update((lang, int(value)) for value in pieces.hashes[chosen])
-                spelled = [word.decode("utf-8", "surrogatepass") for word in pieces.spelled(chosen)]
-                none = np.zeros(len(new), np.uint64)
-                yield batch_of(
-                    lang, [pieces.hashes[chosen], none, none, none], np.zeros(len(new), np.int64), spelled
-                )
-
-        def run(batches):
-            table, named = np.frombuffer(shared.value, np.uint8), set()
-            for batch in batches:
-                for lang, pieces in _by_language(batch, settings):
-                    yield from windows_of(lang, pieces, table, named)
-
-        return run
+
+    def of_pieces(lang: str, pieces: Pieces, known: np.ndarray, named: set):
+        words = pieces.words
+        first, names = pair_names(words, _lang_number(lang))
+        linked = np.zeros(len(words), bool)
+        if len(known):
+            place = np.minimum(np.searchsorted(known, names), len(known) - 1)
+            linked[first[known[place] == names]] = True
+        # A word without a candidate after it is a window of itself; those are added up.
+        alone, times = np.unique(words[(words != 0) & ~linked], return_counts=True)
+        none = np.zeros(len(alone), np.uint64)
+        yield _batch_of(lang, [alone, none, none, none], times)
+        opening = np.flatnonzero(linked)
+        columns, still = [words[opening]], np.ones(len(opening), bool)
+        for step in range(1, settings.longest):
+            still = still & linked[opening + step - 1]
+            columns.append(np.where(still, words[opening + step], np.uint64(0)))
+        for low in range(0, len(opening), 1 << 16):
+            part = [column[low : low + (1 << 16)] for column in columns]
+            yield _batch_of(lang, part, np.ones(len(part[0]), np.int64))
+        values, where = np.unique(pieces.hashes, return_index=True)
+        where = where[np.isin(values, np.concatenate(columns[:2]))]
+        new = [at for at in where.tolist() if (lang, int(pieces.hashes[at])) not in named]
+        named.update((lang, int(value)) for value in pieces.hashes[new])
+        if new:
+            spelled = [word.decode("utf-8", "surrogatepass") for word in pieces.spelled(new)]
+            none = np.zeros(len(new), np.uint64)
+            hashes = pieces.hashes[new]
+            yield _batch_of(lang, [hashes, none, none, none], np.zeros(len(new), np.int64), spelled)
+
+    def each(row):
+        known, named = np.sort(column(row, "pairs", "a")), set()
+        for lang, pieces in _by_language(row, settings):
+            yield from of_pieces(lang, pieces, known, named)
 
     ddl = "lang string, w1 long, w2 long, w3 long, w4 long, times long, word string"
-    return map_batches(texts, ddl, make, packed=True)
+    return map_blocks(blocks, ddl, each, packed=True)
 
 
 def phrase_counts(docs: DataFrame, settings: Settings, stage: StageArea) -> tuple[DataFrame, DataFrame]:
     """``lang, size, w1..w4, f`` for each language (size 0) and frequent phrase, and the words."""
-    texts = _texts(docs)
-    bits = frequent_pairs(texts, settings)
-    rows = stage.table(_windows(texts, bits, settings), "windows", compression="zstd")
-    top = rows.where(F.col("word").isNull()).groupBy("lang", *_COLUMNS)
-    top = stage.table(top.agg(F.sum("times").alias("times")), "top-order", compression="zstd")
+    texts = docs.select(
+        F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    blocks = in_blocks(texts, stage, "texts", settings.block_rows, settings.block_size)
+    pairs = frequent(_pair_counts(blocks, settings), "pairs", settings.least)
+    rows = _windows(blocks.join(pairs, "block", "left"), settings)
+    top = rows.groupBy("lang", *_COLUMNS, "word").agg(F.sum("times").alias("times"))
+    top = stage.table(top, "top-order", compression="zstd")
+    windows = top.where(F.col("word").isNull())
     # GROUPING_ID tells a column that was summed over from one that is empty in a window.
-    summed = top.rollup("lang", *_COLUMNS).agg(
+    shorter = windows.rollup("lang", *_COLUMNS[:3]).agg(
         F.sum("times").alias("f"), F.grouping_id().alias("left_out")
     )
-    summed = summed.where(F.col("left_out") < 31).withColumn(
-        "size", F.lit(4) - F.bit_count("left_out")
+    shorter = shorter.where(F.col("left_out") < 15).select(
+        "lang",
+        *_COLUMNS[:3],
+        F.lit(None).cast("long").alias("w4"),
+        "f",
+        (F.lit(3) - F.bit_count("left_out")).alias("size"),
     )
+    longest = windows.select("lang", *_COLUMNS, F.col("times").alias("f"), F.lit(4).alias("size"))
+    summed = shorter.union(longest)
     filled = [F.col(f"w{n}").isNotNull() | (F.col("size") < n) for n in range(1, 5)]
     whole = filled[0] & filled[1] & filled[2] & filled[3]
     kept = (F.col("size") == 0) | (F.col("f") >= settings.least)
     counts = stage.table(
         summed.where(whole & kept).select("lang", "size", *_COLUMNS, "f"), "phrases"
     )
-    words = rows.where(F.col("word").isNotNull()).groupBy("lang", F.col("w1").alias("hash")).agg(
+    words = top.where(F.col("word").isNotNull()).groupBy("lang", F.col("w1").alias("hash")).agg(
         F.min("word").alias("word"), F.max("word").alias("other")
     )
     same = F.when(

@@ -18,10 +18,9 @@ corpus, namely which names stand more than once, are three Spark rounds:
 3. *Edges.*  The windows that no shared name holds are counted by two 64-bit fingerprints of
    their words; each shared name adds its windows once, from one of its places.
 
-Neighbouring rows make a block, which is one row of a stored table, bucketed by block: the
-texts are moved once and joined to what is found about them without a shuffle.  A block
-counts its names by itself first, so a name that stands in a third of all documents is one
-row for each block; the shared names of a block go back to it as one array.
+Neighbouring rows make a block.  The texts are moved once, into blocks, and joined to what is
+found about them without a shuffle; a block counts its names by itself first, so a name
+that stands in a third of all documents is one row for each block.
 
 Null texts and texts without words have no words; they and texts below ``length`` words lose
 nothing.  Rows are never joined by id: null, repeated or tied ids each keep their row.  Extra
@@ -31,18 +30,14 @@ columns are not read.  An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..sources.staging import StageArea
-from .common import map_batches
+from .blocks import COUNTED, column, counts, frequent, in_blocks, map_blocks, numbers, together
 
 
 @dataclass(frozen=True)
@@ -291,103 +286,6 @@ class Fingerprints:
         return _mixed(passage + (end - start).astype(np.uint64)).view(np.int64)
 
 
-# --- blocks and what they share --------------------------------------------------------------
-
-
-def _together(texts: list, most: int, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
-    """Ranges of the texts of bounded size; a longer text is a range of its own."""
-    low, total = 0, 0
-    for at, text in enumerate(texts):
-        more = len(text or "")
-        if at > low and (total + more > most or at - low >= rows):
-            yield low, at
-            low, total = at, 0
-        total += more
-    if low < len(texts):
-        yield low, len(texts)
-
-
-def _in_blocks(docs: DataFrame, settings: Settings, stage: StageArea) -> DataFrame:
-    """``block, doc_ids, texts``, stored once and bucketed by block."""
-
-    def make():
-        def run(batches):
-            task = TaskContext.get().partitionId() << 32
-            number, ids, texts, size = 0, [], [], 0
-            for batch in batches:
-                for doc_id, text in zip(*(one.to_pylist() for one in batch.columns), strict=True):
-                    more = len(text or "")
-                    full = len(texts) >= settings.block_rows or size + more > settings.block_size
-                    if texts and full:
-                        yield task + number, ids, texts
-                        number, ids, texts, size = number + 1, [], [], 0
-                    ids.append(doc_id)
-                    texts.append(text)
-                    size += more
-            if texts:
-                yield task + number, ids, texts
-
-        return run
-
-    ddl = "block long, doc_ids array<long>, texts array<string>"
-    blocks = map_batches(docs.select("doc_id", "text"), ddl, make)
-    return stage.bucketed(blocks, "texts", "block", compression="zstd")
-
-
-def _shared(counted: DataFrame, name: str) -> DataFrame:
-    """``block`` and, as an array, ``a, b, first`` of its names that stand more than once.
-
-    ``counted`` has ``block, a, b, times``, a row for each block and name.  The first
-    block with a name is marked.
-    """
-    over = Window.partitionBy("a", "b")
-    totals = counted.withColumns(
-        {"total": F.sum("times").over(over), "least": F.min("block").over(over)}
-    )
-    one = F.struct("a", "b", (F.col("block") == F.col("least")).alias("first"))
-    found = totals.where("total > 1").select("block", one.alias("one"))
-    return found.groupBy("block").agg(F.collect_list("one").alias(name))
-
-
-def _column(row: dict, name: str, field: str) -> np.ndarray:
-    """A field of an array of structs, as numbers; nothing where there is no array."""
-    found = row[name].values
-    if found is None:
-        return np.empty(0, np.int64)
-    return found.field(field).to_numpy(zero_copy_only=False)
-
-
-def _map_blocks(blocks: DataFrame, ddl: str, each, packed: bool = False) -> DataFrame:
-    """``each``'s results for every block, a dictionary of Arrow scalars."""
-
-    def make():
-        def run(batches):
-            for batch in batches:
-                for at in range(batch.num_rows):
-                    yield from each({name: batch.column(name)[at] for name in batch.schema.names})
-
-        return run
-
-    return map_batches(blocks, ddl, make, packed=packed)
-
-
-_COUNTED = "block long, a long, b long, times long"
-
-
-def _counts(block: int, a: np.ndarray, b: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-    """Names of a block with their counts, each once; two is all that is asked."""
-    order = np.lexsort((b, a))
-    a, b, times = a[order], b[order], times[order]
-    opens = np.ones(len(a), bool)
-    opens[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    first = np.flatnonzero(opens)
-    summed = np.add.reduceat(times, first) if len(first) else times
-    columns = [np.full(len(first), block), a[first], b[first], np.minimum(summed, 2)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(column, pa.int64()) for column in columns], names=["block", "a", "b", "times"]
-    )
-
-
 # --- the rounds over blocks ------------------------------------------------------------------
 
 
@@ -395,16 +293,16 @@ def _low_names(blocks: DataFrame, settings: Settings) -> DataFrame:
     """The names of the reveal."""
 
     def each(row):
-        texts = row["texts"].as_py()
+        texts = row["text"].as_py()
         parts = [np.empty(0, np.int64)]
-        for low, high in _together(texts, settings.together):
+        for low, high in together(texts, settings.together):
             parse = low_parse(Piece(texts[low:high]), settings)
             parts.append(_revealed(parse.names[_chosen(parse, settings)]))
         names = np.concatenate(parts)
         nothing, once = np.zeros(len(names), np.int64), np.ones(len(names), np.int64)
-        yield _counts(row["block"].as_py(), names, nothing, once)
+        yield counts(row["block"].as_py(), names, nothing, once, 2)
 
-    return _map_blocks(blocks.select("block", "texts"), _COUNTED, each, packed=True)
+    return map_blocks(blocks.select("block", "text"), COUNTED, each, packed=True)
 
 
 def _revealed_blocks(blocks: DataFrame, settings: Settings) -> DataFrame:
@@ -414,10 +312,10 @@ def _revealed_blocks(blocks: DataFrame, settings: Settings) -> DataFrame:
     """
 
     def each(row):
-        texts = row["texts"].as_py()
-        shared = np.sort(_column(row, "low", "a"))
+        texts = row["text"].as_py()
+        shared = np.sort(column(row, "low", "a"))
         spans, names, offset = [], [], 0
-        for low, high in _together(texts, settings.together):
+        for low, high in together(texts, settings.together):
             piece = Piece(texts[low:high])
             found, parse = open_windows(piece, shared, settings)
             spans.append(_ranges(found) + offset)
@@ -430,7 +328,7 @@ def _revealed_blocks(blocks: DataFrame, settings: Settings) -> DataFrame:
 
     ddl = "block long, open_start array<int>, open_end array<int>, "
     ddl += "a array<long>, b array<long>, name_start array<int>, name_end array<int>"
-    return _map_blocks(blocks.select("block", "texts", "low"), ddl, each)
+    return map_blocks(blocks.select("block", "text", "low"), ddl, each)
 
 
 def _ranges(mask: np.ndarray) -> np.ndarray:
@@ -447,16 +345,16 @@ def _filled(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(change)[:-1] > 0
 
 
-def _numbers(row: dict, name: str) -> np.ndarray:
+def numbers(row: dict, name: str) -> np.ndarray:
     return row[name].values.to_numpy()
 
 
 def _long_counts(revealed: DataFrame, settings: Settings) -> DataFrame:
     def each(row):
-        a, b = _numbers(row, "a"), _numbers(row, "b")
-        yield _counts(row["block"].as_py(), a, b, np.ones(len(a), np.int64))
+        a, b = numbers(row, "a"), numbers(row, "b")
+        yield counts(row["block"].as_py(), a, b, np.ones(len(a), np.int64), 2)
 
-    return _map_blocks(revealed.select("block", "a", "b"), _COUNTED, each, packed=True)
+    return map_blocks(revealed.select("block", "a", "b"), COUNTED, each, packed=True)
 
 
 def _places(a: np.ndarray, b: np.ndarray, known_a: np.ndarray, known_b: np.ndarray) -> np.ndarray:
@@ -479,26 +377,26 @@ class Judged:
     """A block's windows: which a shared name proves, and which are left to count."""
 
     def __init__(self, row: dict, settings: Settings):
-        self.texts = row["texts"].as_py()
+        self.texts = row["text"].as_py()
         self.sizes = [len((text or "").encode("utf-8", "surrogatepass").split()) for text in self.texts]
         self.starts = np.cumsum([1, *(size + 1 for size in self.sizes)])
         self.total, self.length = int(self.starts[-1]), settings.length
         found = _places(
-            _numbers(row, "a"), _numbers(row, "b"), _column(row, "long", "a"), _column(row, "long", "b")
+            numbers(row, "a"), numbers(row, "b"), column(row, "long", "a"), column(row, "long", "b")
         )
-        starts, ends = _numbers(row, "name_start"), _numbers(row, "name_end") - settings.length + 1
+        starts, ends = numbers(row, "name_start"), numbers(row, "name_end") - settings.length + 1
         proving = giving = found >= 0
         if proving.any():
-            giving = proving & _column(row, "long", "first")[found]
+            giving = proving & column(row, "long", "first")[found]
         self.proved = _filled(self.total, starts[proving], ends[proving])
         self.giving = _filled(self.total, starts[giving], ends[giving])
-        self.left = _filled(self.total, _numbers(row, "open_start"), _numbers(row, "open_end"))
+        self.left = _filled(self.total, numbers(row, "open_start"), numbers(row, "open_end"))
         self.left &= ~self.proved
 
     def fingerprints(self, places: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
         """Two fingerprints of the windows that start at the places, which rise."""
         a, b = np.empty(len(places), np.int64), np.empty(len(places), np.int64)
-        for low, high in _together(self.texts, settings.together):
+        for low, high in together(self.texts, settings.together):
             start = self.starts[low]
             some = slice(*np.searchsorted(places, [start, self.starts[high]]))
             if some.start == some.stop:
@@ -517,18 +415,18 @@ def _window_counts(blocks: DataFrame, settings: Settings) -> DataFrame:
         judged = Judged(row, settings)
         places = np.flatnonzero(judged.left | judged.giving)
         times = np.where(judged.giving[places], 2, 1)
-        yield _counts(row["block"].as_py(), *judged.fingerprints(places, settings), times)
+        yield counts(row["block"].as_py(), *judged.fingerprints(places, settings), times, 2)
 
-    return _map_blocks(blocks, _COUNTED, each, packed=True)
+    return map_blocks(blocks, COUNTED, each, packed=True)
 
 
 def _judged(blocks: DataFrame, ddl: str, settings: Settings, row_of) -> DataFrame:
     """``row_of``'s results for each text, from its words and which of them go."""
 
     def each(row):
-        ids = row["doc_ids"].as_py()
+        ids = row["doc_id"].as_py()
         if not row["open_start"].is_valid:
-            for doc_id, text in zip(ids, row["texts"].as_py(), strict=True):
+            for doc_id, text in zip(ids, row["text"].as_py(), strict=True):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 yield row_of(doc_id, words, np.zeros(len(words), bool))
             return
@@ -536,7 +434,7 @@ def _judged(blocks: DataFrame, ddl: str, settings: Settings, row_of) -> DataFram
         places = np.flatnonzero(judged.left)
         found = _places(
             *judged.fingerprints(places, settings),
-            *(_column(row, "windows", name) for name in ("a", "b")),
+            *(column(row, "windows", name) for name in ("a", "b")),
         )
         starts = np.flatnonzero(judged.proved)
         starts = np.concatenate([starts, places[found >= 0]])
@@ -547,7 +445,7 @@ def _judged(blocks: DataFrame, ddl: str, settings: Settings, row_of) -> DataFram
             words = (text or "").encode("utf-8", "surrogatepass").split()
             yield row_of(doc_id, words, gone[start : start + size])
 
-    return _map_blocks(blocks, ddl, each)
+    return map_blocks(blocks, ddl, each)
 
 
 def _kept(words: list[bytes], gone: np.ndarray) -> bytes:
@@ -559,13 +457,15 @@ def _kept(words: list[bytes], gone: np.ndarray) -> bytes:
 def _with_findings(docs: DataFrame, settings: Settings | None, stage: StageArea | None, ddl, row_of):
     settings = settings or Settings()
     stage = stage or StageArea(docs.sparkSession)
-    blocks = _in_blocks(docs, settings, stage)
-    low = _shared(_low_names(blocks, settings), "low")
+    blocks = in_blocks(
+        docs.select("doc_id", "text"), stage, "texts", settings.block_rows, settings.block_size
+    )
+    low = frequent(_low_names(blocks, settings), "low", 2)
     revealed = _revealed_blocks(blocks.join(low, "block", "left"), settings)
     revealed = stage.table(revealed, "revealed", compression="zstd")
-    long = stage.table(_shared(_long_counts(revealed, settings), "long"), "long-names")
+    long = stage.table(frequent(_long_counts(revealed, settings), "long", 2), "long-names")
     opened = blocks.join(revealed, "block").join(long, "block", "left")
-    windows = _shared(_window_counts(opened, settings), "windows")
+    windows = frequent(_window_counts(opened, settings), "windows", 2)
     everything = blocks.join(revealed, "block", "left").join(long, "block", "left")
     return _judged(everything.join(windows, "block", "left"), ddl, settings, row_of)
 
