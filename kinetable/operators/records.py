@@ -22,35 +22,31 @@ def _named_in_path(path: Column, names: tuple[str, ...]) -> Column:
 def _without_terminator(text: Column) -> Column:
     """Text without one closing semicolon and the blanks after it.
 
-    The terminator holds no comma, so it is stripped from the last field instead of the
-    whole line.  Nearly always it is the final character; the pattern is for the rest.
+    Nearly always it is the final character; the pattern is for the rest.
     """
     plain = F.left(text, F.length(text) - 1)
     rare = F.regexp_replace(text, r";\s*$", "")
     return F.when(F.endswith(text, F.lit(";")), plain).otherwise(rare)
 
 
-def _without_digits(text: Column) -> Column:
-    return F.translate(text, "0123456789", "")
+def _cut_at_point(text: Column, kind: str) -> Column:
+    """The integer before a point; NULL unless digits and blanks are all that is around it.
 
-
-def _whole(text: Column, kind: str) -> Column:
-    """Text as an integer; digits after a point are cut off, as a plain cast does.
-
-    Digits are told from other characters by what is left without them; patterns would
-    cost more than the rest of parsing.  Nearly all numbers have no point and need only
-    the cast.
+    Digits are told from other characters by what is left without them.
     """
-    head = F.substring_index(text, ".", 1)
-    whole = head.try_cast(kind)
     blanks = F.lit(" \t\n\x0b\f\r")
-    tail = F.rtrim(F.substr(text, F.length(head) + 1), blanks)
-    sign = _without_digits(F.ltrim(head, blanks))
-    sound = (_without_digits(tail) == ".") & sign.isin("", "+", "-")
+    head = F.ltrim(F.substring_index(text, ".", 1), blanks)
+    tail = F.rtrim(F.substr(text, F.instr(text, ".")), blanks)
+    sign = F.translate(head, "0123456789", "")
+    sound = (F.translate(tail, "0123456789", "") == ".") & sign.isin("", "+", "-")
     # A sign alone, or nothing, stands for zero before a point.
-    bare = F.ltrim(head, blanks) == sign
-    cut = F.when(sound, F.when(bare, F.lit(0).cast(kind)).otherwise(whole))
-    return F.when(F.length(head) == F.length(text), whole).otherwise(cut)
+    number = F.when(head == sign, F.lit(0).cast(kind)).otherwise(head.try_cast(kind))
+    return F.when(F.contains(text, F.lit(".")) & sound, number)
+
+
+def _whole(text: Column, kind: str) -> Column:
+    """Text as an integer; digits after a point are cut off, as a plain cast does."""
+    return F.coalesce(text.try_cast(kind), _cut_at_point(text, kind))
 
 
 def _is_valid() -> Column:
@@ -84,13 +80,17 @@ def parse_records(lines: DataFrame) -> DataFrame:
         ],
     )
     fields = located.select(
-        "raw_line", "source_file", "device", "sensor", F.split("trimmed", ",").alias("fields")
+        "raw_line",
+        "source_file",
+        "device",
+        "sensor",
+        F.split(_without_terminator(F.col("trimmed")), ",").alias("fields"),
     )
 
     def field(position: int) -> Column:
-        text = F.get("fields", F.lit(position))
-        is_last = F.size("fields") == position + 1
-        return F.when(is_last, _without_terminator(text)).otherwise(text)
+        # Short, as it is copied into every mention: a generated method that is too large
+        # for the JIT costs more than all of the parsing.
+        return F.get("fields", F.lit(position))
 
     typed = evaluate_once(
         fields,
