@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import StageArea
 from .blocks import COUNTED, column, counts, frequent, in_blocks, map_blocks, together
-from .recompression import hashed_words
+from .words import hashed_words
 
 _CUT = b"\xff"  # never a byte of UTF-8
 # Marks between pieces become a byte of their own; all other white space belongs to words.

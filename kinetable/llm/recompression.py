@@ -33,11 +33,11 @@ import hashlib
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 
 from ..sources.staging import StageArea
 from .blocks import COUNTED, column, counts, frequent, in_blocks, map_blocks, numbers, together
+from .words import MASK, RUN, hashed_words, mixed
 
 
 @dataclass(frozen=True)
@@ -55,59 +55,9 @@ class Settings:
     together: int = 1 << 21
 
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_FINAL = np.uint64(0xBF58476D1CE4E5B9)
-_RUN = 0xD6E8FEB86659FD93
-_MASK = (1 << 64) - 1
-_SHIFT = np.uint64(31)
-
-
-def _mixed(values: np.ndarray) -> np.ndarray:
-    values = values * _MIX
-    values ^= values >> _SHIFT
-    values *= _FINAL
-    return values ^ (values >> np.uint64(29))
-
-
 # --- words -------------------------------------------------------------------------------
 
 
-_WHITE = np.zeros(256, bool)
-_WHITE[[0x20, *range(0x09, 0x0E)]] = True
-# Longer words are hashed one by one.
-_LANES = 8
-
-
-def hashed_words(blob: bytes, white: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where the words of a text start, and two 64-bit hashes of each.
-
-    Eight bytes are taken of all words at once, then the next eight of the longer ones.
-    """
-    padded = np.frombuffer(blob + bytes(8), np.uint8)
-    word = np.zeros(len(blob) + 2, bool)
-    word[1:-1] = ~white[padded[: len(blob)]]
-    edges = np.flatnonzero(word[1:] != word[:-1])
-    starts, lengths = edges[::2], edges[1::2] - edges[::2]
-    eights = np.ndarray((len(blob) + 1,), "<u8", padded.data, strides=(1,))
-    first = lengths.astype(np.uint64) * np.uint64(_RUN)
-    second = ~first
-    for lane in range(_LANES):
-        some = np.flatnonzero(lengths > 8 * lane) if lane else slice(None)
-        left = lengths[some] - 8 * lane
-        if not len(left):
-            break
-        unused = np.maximum(8 - left, 0).astype(np.uint64) * np.uint64(8)
-        value = eights[starts[some] + 8 * lane] & (np.uint64(_MASK) >> unused)
-        first[some] = _mixed(first[some] ^ value)
-        second[some] = _mixed(second[some] + value * np.uint64(_RUN))
-    for at in np.flatnonzero(lengths > 8 * _LANES).tolist():
-        start = int(starts[at])
-        both = xxhash.xxh3_128_intdigest(blob[start : start + int(lengths[at])])
-        first[at], second[at] = both >> 64, both & _MASK
-    # 0 is the gap between texts.
-    return starts, np.maximum(first, np.uint64(1)), second
-
-
 class Piece:
     """Some texts as one row of words, with a gap before, between and after them."""
 
@@ -168,15 +118,15 @@ class Parse:
         times = last - first + 1
         runs = names[first]
         again = times > 1
-        runs[again] = _mixed(runs[again] ^ (times[again].astype(np.uint64) * np.uint64(_RUN))) | np.uint64(1)
+        runs[again] = mixed(runs[again] ^ (times[again].astype(np.uint64) * np.uint64(RUN))) | np.uint64(1)
         self.names = runs
         self._grouped(first, last, np.maximum(first - 1, 0), np.minimum(last + 1, len(names) - 1))
 
     def name_pairs(self, turn: int) -> None:
         """A left symbol and the right one after it become a symbol."""
         names = self.names
-        salt = np.uint64((2 * turn + 1) * _RUN & _MASK)
-        side = (_mixed(names + salt) >> np.uint64(63)).astype(bool)
+        salt = np.uint64((2 * turn + 1) * RUN & MASK)
+        side = (mixed(names + salt) >> np.uint64(63)).astype(bool)
         left, right = side & (names != 0), ~side & (names != 0)
         joined = np.zeros(len(names), bool)
         joined[:-1] = left[:-1] & right[1:]
@@ -190,7 +140,7 @@ class Parse:
         low = np.where(~pair & right[first], np.maximum(first - 1, 0), first)
         high = np.where(~pair & left[first], np.minimum(first + 1, len(names) - 1), last)
         new = names[first]
-        new[pair] = _mixed(_mixed(new[pair]) + names[last[pair]]) | np.uint64(1)
+        new[pair] = mixed(mixed(new[pair]) + names[last[pair]]) | np.uint64(1)
         self.names = new
         self._grouped(first, last, low, high)
 
@@ -283,7 +233,7 @@ class Fingerprints:
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         passage = (self.sums[end] - self.sums[start]) * self.back[start]
-        return _mixed(passage + (end - start).astype(np.uint64)).view(np.int64)
+        return mixed(passage + (end - start).astype(np.uint64)).view(np.int64)
 
 
 # --- the rounds over blocks ------------------------------------------------------------------

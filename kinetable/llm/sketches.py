@@ -33,13 +33,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import StageArea
 from .common import map_batches, map_each, map_rows
 from .components import components
+from .words import hashed_words
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FINAL = np.uint64(0xBF58476D1CE4E5B9)
@@ -58,8 +58,8 @@ class Settings:
     # Residues of the parity bits, and texts to confirm that may be looked up by broadcast.
     residues: int = 4096
     broadcast: int = 200_000
-    # Word hashes a task remembers.
-    remembered: int = 500_000
+    # Members whose counts with a whole block are held at once.
+    at_once: int = 64
 
     def most_apart(self, sizes):
         """Shingles that are in one of two linked sets only, at most; ``sizes`` is their sum."""
@@ -82,24 +82,15 @@ class Shingler:
 
     def __init__(self, settings: Settings):
         self.settings = settings
-        self._known: dict[bytes, int] = {}
-
-    def _hashes(self, words: list[bytes]) -> np.ndarray:
-        known = self._known
-        if len(known) > self.settings.remembered:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
     def __call__(self, text: str | None) -> np.ndarray:
         raw = (text or "").encode("utf-8", "surrogatepass")
-        words = raw.lower().split()  # bytes: lowers A-Z, splits at the six white characters
-        if not words:
+        # Bytes: lowers A-Z only, and words lie between the six white characters.
+        _, hashes, _ = hashed_words(raw.lower())
+        if not len(hashes):
             return np.empty(0, np.uint64)
-        hashes = self._hashes(words)
-        length = min(self.settings.words, len(words))
-        mixed = np.full(len(words) - length + 1, length, np.uint64)
+        length = min(self.settings.words, len(hashes))
+        mixed = np.full(len(hashes) - length + 1, length, np.uint64)
         for step in range(length):
             mixed = (mixed ^ hashes[step : step + len(mixed)]) * _MIX
             mixed ^= mixed >> np.uint64(29)
@@ -196,19 +187,27 @@ def _estimated(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFra
     return found.where(F.col("shared") >= least).select("a", "b")
 
 
-def _shared_counts(sketches: list[np.ndarray], others: list[np.ndarray] | None) -> np.ndarray:
-    """Number of values shared by each two sketches."""
-    rows = sketches + (others or [])
-    values, place = np.unique(np.concatenate(rows), return_inverse=True)
-    frequent = np.flatnonzero(np.bincount(place, minlength=len(values)) > 1)
-    number = np.full(len(values), -1)
-    number[frequent] = np.arange(len(frequent))
-    found = np.zeros((len(rows), len(frequent)), np.float32)
-    member = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
-    column = number[place]
-    found[member[column >= 0], column[column >= 0]] = 1
-    left = found[: len(sketches)]
-    return left @ (found[len(sketches) :] if others else left).T
+class SharedValues:
+    """Number of values that some sketches share with each of a block's.
+
+    Only values of the few sketches make columns, so memory is bounded by their number
+    times that of the block.
+    """
+
+    def __init__(self, sketches: list[np.ndarray]):
+        self.count = len(sketches)
+        self.values = np.concatenate(sketches)
+        self.member = np.repeat(np.arange(self.count), [len(sketch) for sketch in sketches])
+
+    def __call__(self, some: list[np.ndarray]) -> np.ndarray:
+        columns, place = np.unique(np.concatenate(some), return_inverse=True)
+        left = np.zeros((len(some), len(columns)), np.float32)
+        left[np.repeat(np.arange(len(some)), [len(sketch) for sketch in some]), place] = 1
+        at = np.minimum(np.searchsorted(columns, self.values), len(columns) - 1)
+        known = columns[at] == self.values
+        right = np.zeros((self.count, len(columns)), np.float32)
+        right[self.member[known], at[known]] = 1
+        return left @ right.T
 
 
 def _block_pairs(settings: Settings, likeliest: bool):
@@ -231,35 +230,49 @@ def _block_pairs(settings: Settings, likeliest: bool):
 
     def pairs(one: Side, two: Side | None):
         other = two or one
-        shared = _shared_counts(one.sketches, two.sketches if two else None)
-        limit = np.minimum(one.reach[:, None], other.reach[None, :])
-        union = -shared
-        for i, sketch in enumerate(one.sketches):
-            union[i] += np.searchsorted(sketch, limit[i], "right")
-        for j, sketch in enumerate(other.sketches):
-            union[:, j] += np.searchsorted(sketch, limit[:, j], "right")
-        union = np.maximum(union, 1)
-        sizes = one.sizes[:, None] + other.sizes[None, :]
-        passed = shared >= settings.least_shared(union, sizes, np.sqrt)
-        small = np.minimum(one.sizes[:, None], other.sizes[None, :])
-        passed &= small >= ratio * (sizes - small)
+        shared_with = SharedValues(other.sketches)
         roots = pa.concat_arrays([one.roots, other.roots]).dictionary_encode().indices.to_numpy()
-        passed &= roots[: len(one.sizes), None] != roots[None, len(one.sizes) :]
-        if likeliest:
+        own, theirs = roots[: len(one.sizes)], roots[len(one.sizes) :]
+        best = np.zeros(len(other.sizes), np.float32), np.zeros(len(other.sizes), np.int64)
+        for low in range(0, len(one.sizes), settings.at_once):
+            some = slice(low, low + settings.at_once)
+            shared = shared_with(one.sketches[some])
+            limit = np.minimum(one.reach[some, None], other.reach[None, :])
+            union = -shared
+            for i, sketch in enumerate(one.sketches[some]):
+                union[i] += np.searchsorted(sketch, limit[i], "right")
+            for j, sketch in enumerate(other.sketches):
+                union[:, j] += np.searchsorted(sketch, limit[:, j], "right")
+            union = np.maximum(union, 1)
+            sizes = one.sizes[some, None] + other.sizes[None, :]
+            passed = shared >= settings.least_shared(union, sizes, np.sqrt)
+            small = np.minimum(one.sizes[some, None], other.sizes[None, :])
+            passed &= small >= ratio * (sizes - small)
+            passed &= own[some, None] != theirs[None, :]
+            if not likeliest:
+                if not two:
+                    passed &= np.arange(len(passed))[:, None] + low < np.arange(len(theirs))
+                yield from near(one, other, *np.nonzero(passed), low)
+                continue
             score = np.where(passed, shared / union, 0)
-            best = np.zeros_like(passed)
-            best[np.arange(len(score)), score.argmax(1)] = True
-            if two:
-                best[score.argmax(0), np.arange(score.shape[1])] = True
-            passed &= best
-        elif not two:
-            passed = np.triu(passed)
-        places = np.argwhere(passed)
-        for start in range(0, len(places), 8192):
-            i, j = places[start : start + 8192].T
+            rows, columns = np.arange(len(score)), score.argmax(1)
+            found = score[rows, columns] > 0
+            yield from near(one, other, rows[found], columns[found], low)
+            # The other block's members have their best over all the parts.
+            greatest = score.max(0)
+            better = greatest > best[0]
+            best[0][better], best[1][better] = greatest[better], score.argmax(0)[better] + low
+        if likeliest and two:
+            columns = np.flatnonzero(best[0])
+            yield from near(one, other, best[1][columns], columns, 0)
+
+    def near(one: Side, other: Side, rows: np.ndarray, columns: np.ndarray, low: int):
+        """The keys of pairs whose bits allow a link."""
+        for start in range(0, len(rows), 8192):
+            i, j = rows[start : start + 8192] + low, columns[start : start + 8192]
             apart = np.bitwise_count(one.bits[i] ^ other.bits[j]).sum(1)
-            near = apart <= settings.most_apart(sizes[i, j])
-            for x, y in zip(i[near].tolist(), j[near].tolist(), strict=True):
+            kept = apart <= settings.most_apart(one.sizes[i] + other.sizes[j])
+            for x, y in zip(i[kept].tolist(), j[kept].tolist(), strict=True):
                 a, b = one.keys[x].as_py(), other.keys[y].as_py()
                 yield min(a, b), max(a, b)
 
