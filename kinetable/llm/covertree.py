@@ -172,14 +172,33 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+# Between these, squares of components neither vanish nor overflow.
+_SMALL, _LARGE = 1e-100, 1e100
+
+
+def _scaled(vector: Column) -> Column:
+    """A vector of odd magnitude divided by its largest component; others as they are."""
+    largest = F.array_max(F.transform(vector, lambda x: F.abs(x)))
+    return F.when(largest.between(_SMALL, _LARGE) | (largest == 0), vector).otherwise(
+        F.transform(vector, lambda x: x / largest)
+    )
+
+
 def _keyed(vectors: DataFrame) -> DataFrame:
-    """``vec_id, key, cell, vector``; the key is null where nothing can be linked."""
+    """``vec_id, key, cell, vector``; the key is null where nothing can be linked.
+
+    A cosine does not depend on lengths, so vectors whose squares would leave the range
+    of doubles are scaled first.
+    """
     vector = F.col("embedding").cast("array<double>")
     group = F.concat_ws(":", F.col("label").cast("string"), F.size("embedding").cast("string"))
     usable = _usable(vector) & F.col("label").isNotNull()
     key = F.unhex(F.md5(F.concat_ws("|", group, vector.cast("string"))))
     return vectors.select(
-        "vec_id", F.when(usable, key).alias("key"), group.alias("cell"), vector.alias("vector")
+        "vec_id",
+        F.when(usable, key).alias("key"),
+        group.alias("cell"),
+        F.when(usable, _scaled(vector)).alias("vector"),
     )
 
 
