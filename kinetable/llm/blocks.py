@@ -103,16 +103,33 @@ def counts(block: int, a: np.ndarray, b: np.ndarray, times: np.ndarray, most: in
     )
 
 
-def frequent(counted: DataFrame, name: str, least: int) -> DataFrame:
+def places_among(a: np.ndarray, b: np.ndarray, known_a: np.ndarray, known_b: np.ndarray) -> np.ndarray:
+    """Where each pair stands among the known ones; -1 for those that do not."""
+    found = np.full(len(a), -1)
+    if not len(known_a):
+        return found
+    order = np.lexsort((known_b, known_a))
+    known_a, known_b = known_a[order], known_b[order]
+    low, high = np.searchsorted(known_a, a, "left"), np.searchsorted(known_a, a, "right")
+    # More than one step only where first fingerprints collide.
+    for step in range(int((high - low).max(initial=0))):
+        some = np.flatnonzero(low + step < high)
+        some = some[known_b[low[some] + step] == b[some]]
+        found[some] = order[low[some] + step]
+    return found
+
+
+def frequent(counted: DataFrame, name: str, least: int, totals_too: bool = False) -> DataFrame:
     """``block`` and, as an array, ``a, b, first`` of its names that stand so often.
 
     ``counted`` has ``block, a, b, times``, a row for each block and name.  The first
-    block with a name is marked.
+    block with a name is marked; ``total`` is added if asked for.
     """
     over = Window.partitionBy("a", "b")
     totals = counted.withColumns(
         {"total": F.sum("times").over(over), "least": F.min("block").over(over)}
     )
-    one = F.struct("a", "b", (F.col("block") == F.col("least")).alias("first"))
+    first = (F.col("block") == F.col("least")).alias("first")
+    one = F.struct("a", "b", first, *(["total"] if totals_too else []))
     found = totals.where(F.col("total") >= least).select("block", one.alias("one"))
     return found.groupBy("block").agg(F.collect_list("one").alias(name))

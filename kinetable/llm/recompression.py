@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from ..sources.staging import StageArea
-from .blocks import COUNTED, column, counts, frequent, in_blocks, map_blocks, numbers, together
+from .blocks import COUNTED, column, counts, frequent, in_blocks, map_blocks, numbers, places_among, together
 from .words import MASK, RUN, hashed_words, mixed
 
 
@@ -307,22 +307,6 @@ def _long_counts(revealed: DataFrame, settings: Settings) -> DataFrame:
     return map_blocks(revealed.select("block", "a", "b"), COUNTED, each, packed=True)
 
 
-def _places(a: np.ndarray, b: np.ndarray, known_a: np.ndarray, known_b: np.ndarray) -> np.ndarray:
-    """Where each pair stands among the known ones; -1 for those that do not."""
-    found = np.full(len(a), -1)
-    if not len(known_a):
-        return found
-    order = np.lexsort((known_b, known_a))
-    known_a, known_b = known_a[order], known_b[order]
-    low, high = np.searchsorted(known_a, a, "left"), np.searchsorted(known_a, a, "right")
-    # More than one step only where first fingerprints collide.
-    for step in range(int((high - low).max(initial=0))):
-        some = np.flatnonzero(low + step < high)
-        some = some[known_b[low[some] + step] == b[some]]
-        found[some] = order[low[some] + step]
-    return found
-
-
 class Judged:
     """A block's windows: which a shared name proves, and which are left to count."""
 
@@ -331,7 +315,7 @@ class Judged:
         self.sizes = [len((text or "").encode("utf-8", "surrogatepass").split()) for text in self.texts]
         self.starts = np.cumsum([1, *(size + 1 for size in self.sizes)])
         self.total, self.length = int(self.starts[-1]), settings.length
-        found = _places(
+        found = places_among(
             numbers(row, "a"), numbers(row, "b"), column(row, "long", "a"), column(row, "long", "b")
         )
         starts, ends = numbers(row, "name_start"), numbers(row, "name_end") - settings.length + 1
@@ -382,7 +366,7 @@ def _judged(blocks: DataFrame, ddl: str, settings: Settings, row_of) -> DataFram
             return
         judged = Judged(row, settings)
         places = np.flatnonzero(judged.left)
-        found = _places(
+        found = places_among(
             *judged.fingerprints(places, settings),
             *(column(row, "windows", name) for name in ("a", "b")),
         )

@@ -16,9 +16,11 @@ backwards, to the left of it.
 4. A group above ``Settings.group`` members is not gathered: its strings are counted by
    digest, one row each, which combines before the shuffle.
 
-Texts are keyed by their digest, so nothing depends on document ids: null, repeated or
-tied ids get the result of their text.  Null texts count as empty, texts below ``length``
-bytes lose nothing.  Extra columns are not read.
+Neighbouring texts make a block.  Texts are moved once, into blocks, and joined to what is
+found about them without a shuffle; a block counts its contexts and parts by itself first.
+Rows keep their places, so nothing depends on document ids: null, repeated or tied ids each
+get the result of their text.  Null texts count as empty, texts below ``length`` bytes lose
+nothing.  Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import StageArea
+from .blocks import COUNTED, column, counts, frequent, in_blocks, map_blocks, numbers, places_among
 from .common import map_each, map_rows
-from .sketches import text_key
 
 
 @dataclass(frozen=True)
@@ -47,6 +49,9 @@ class Settings:
     group: int = 2000
     # Groups up to this size compare sorted members with each other directly.
     small: int = 16
+    # Texts of a block, and their characters, if they are more than one.
+    block_rows: int = 8_192
+    block_size: int = 4 << 20
 
     @property
     def most_left(self) -> int:
@@ -138,33 +143,115 @@ def _raw(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def _occurrences(docs: DataFrame, settings: Settings) -> DataFrame:
-    """``text_key, at, context, parts`` for every anchor of every document."""
+def _occurrences(blocks: DataFrame, settings: Settings) -> DataFrame:
+    """A block's anchors as arrays: text, place, context digest ``a, b``, and the bands' parts.
 
-    def make():
-        bands = [settings.band(number) for number in range(settings.bands)]
+    A part is 0 where the text ends inside of it.
+    """
+    bands = [settings.band(number) for number in range(settings.bands)]
 
-        def each(rows):
-            for (text,) in rows:
-                data = _raw(text)
-                key = hashlib.md5(data).digest()
-                for anchor in anchors(data, settings).tolist():
-                    left, context = _context(data, anchor, settings)
-                    digest = xxhash.xxh3_128_digest(left.to_bytes(2, "big") + context)
-                    parts = []
-                    for low, high in bands:
-                        end = anchor + settings.length - high + 1
-                        if left >= low and end <= len(data):
-                            part = xxhash.xxh3_64_intdigest(data[anchor - low : end], low)
-                            parts.append(part - (1 << 63))
-                        else:
-                            parts.append(None)
-                    yield key, anchor, digest, parts
+    def each(row):
+        numbers_, places, digests, parts = [], [], [], []
+        for number, text in enumerate(row["text"].as_py()):
+            data = _raw(text)
+            for anchor in anchors(data, settings).tolist():
+                left, context = _context(data, anchor, settings)
+                numbers_.append(number)
+                places.append(anchor)
+                digests.append(xxhash.xxh3_128_digest(left.to_bytes(2, "big") + context))
+                for low, high in bands:
+                    end = anchor + settings.length - high + 1
+                    if left >= low and end <= len(data):
+                        part = xxhash.xxh3_64_intdigest(data[anchor - low : end], low)
+                        parts.append((part or 1) - (1 << 63))
+                    else:
+                        parts.append(0)
+        if places:
+            a, b = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T.tolist()
+            yield row["block"].as_py(), numbers_, places, a, b, parts
+
+    ddl = "block long, number array<int>, at array<int>, a array<long>, b array<long>, "
+    return map_blocks(blocks.select("block", "text"), ddl + "parts array<long>", each)
+
+
+class Anchors:
+    """A block's anchors, and what is known of their contexts."""
+
+    def __init__(self, row: dict):
+        self.number, self.at = numbers(row, "number"), numbers(row, "at")
+        self.a, self.b = numbers(row, "a"), numbers(row, "b")
+        known = [column(row, "contexts", name) for name in ("a", "b", "first")]
+        found = places_among(self.a, self.b, *known[:2])
+        self.repeated = found >= 0
+        self.first = np.ones(len(found), bool)
+        if self.repeated.any():
+            self.first[self.repeated] = known[2][found[self.repeated]]
+
+    def representatives(self) -> np.ndarray:
+        """One anchor for each context, in the first block that has it."""
+        order = np.lexsort((np.arange(len(self.a)), self.b, self.a))
+        a, b = self.a[order], self.b[order]
+        opens = np.ones(len(a), bool)
+        opens[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        return np.sort(order[opens & self.first[order]])
+
+
+def _context_counts(places: DataFrame) -> DataFrame:
+    def each(row):
+        a, b = numbers(row, "a"), numbers(row, "b")
+        yield counts(row["block"].as_py(), a, b, np.ones(len(a), np.int64), 2)
+
+    return map_blocks(places.select("block", "a", "b"), COUNTED, each, packed=True)
+
+
+def _part_counts(places: DataFrame, settings: Settings) -> DataFrame:
+    """Distinct contexts with each part of a band."""
+
+    def each(row):
+        found = Anchors(row).representatives()
+        parts = numbers(row, "parts").reshape(-1, settings.bands)[found].ravel()
+        bands = np.tile(np.arange(settings.bands), len(found))
+        some = parts != 0
+        once = np.ones(int(some.sum()), np.int64)
+        most = settings.group + 1  # whether a group is larger is all that is asked
+        yield counts(row["block"].as_py(), parts[some], bands[some], once, most)
+
+    return map_blocks(places, COUNTED, each, packed=True)
+
+
+def _members(blocks: DataFrame, settings: Settings) -> DataFrame:
+    """``part, band, size, context, before, bytes`` of contexts that share a part.
+
+    The bytes are those that a string of the band can reach.  ``context`` is the digest and
+    the block, or empty where the context stands more than once and is settled by that.
+    """
 
-        return each
+    def each(row):
+        anchors_, texts = Anchors(row), row["text"].as_py()
+        block = row["block"].as_py()
+        found = anchors_.representatives()
+        parts = numbers(row, "parts").reshape(-1, settings.bands)[found]
+        shared = [column(row, "shared", name) for name in ("a", "b", "total")]
+        flat = parts.ravel()
+        bands = np.tile(np.arange(settings.bands), len(found))
+        places = places_among(flat, bands, *shared[:2])
+        number, data = -1, b""
+        for place in np.flatnonzero((places >= 0) & (flat != 0)).tolist():
+            anchor, band = int(found[place // settings.bands]), place % settings.bands
+            if anchors_.number[anchor] != number:
+                number = int(anchors_.number[anchor])
+                data = _raw(texts[number])
+            low, high = settings.band(band)
+            at = int(anchors_.at[anchor])
+            before = min(at, high - 1)
+            context = b""
+            if not anchors_.repeated[anchor]:
+                context = np.array([anchors_.a[anchor], anchors_.b[anchor], block], "<i8").tobytes()
+            reached = data[at - before : at + settings.length - low]
+            yield int(flat[place]), band, int(shared[2][places[place]]), context, before, reached
 
-    ddl = "text_key binary, at int, context binary, parts array<long>"
-    return map_rows(docs.select("text"), ddl, make)
+    ddl = "part long, band int, size long, context binary, before int, bytes binary"
+    return map_blocks(blocks, ddl, each)
 
 
 # --- sorted suffixes -------------------------------------------------------------------
@@ -289,34 +376,6 @@ def _extremes(lefts: list[bytes], rights: list[bytes], low: int, high: int, sett
 # --- the operator ----------------------------------------------------------------------
 
 
-def _fetched(docs: DataFrame, members: DataFrame, settings: Settings) -> DataFrame:
-    """``part, band, size, context, before, bytes`` of the members of groups.
-
-    The bytes are those that a string of the band can reach.
-    """
-    places = members.groupBy("text_key").agg(
-        F.collect_list(F.struct("part", "band", "size", "context", "at")).alias("all")
-    )
-    texts = docs.select(text_key().alias("text_key"), "text").join(places, "text_key")
-    texts = texts.groupBy("text_key").agg(F.first("text").alias("text"), F.first("all").alias("all"))
-
-    def make():
-        def each(rows):
-            for text, places in rows:
-                data = _raw(text)
-                for place in places:
-                    low, high = settings.band(place["band"])
-                    at = place["at"]
-                    before = min(at, high - 1)
-                    found = data[at - before : at + settings.length - low]
-                    yield place["part"], place["band"], place["size"], place["context"], before, found
-
-        return each
-
-    ddl = "part long, band int, size long, context binary, before int, bytes binary"
-    return map_rows(texts.select("text", "all"), ddl, make)
-
-
 def _sorted_reaches(members: DataFrame, settings: Settings) -> DataFrame:
     """``context, left, right`` from groups that fit into a task."""
     # One shuffle and sort bring a group's rows behind each other; nothing is collected.
@@ -364,41 +423,25 @@ def _counted_reaches(members: DataFrame, settings: Settings, stage: StageArea) -
     )
 
 
-def repeated_spans(docs: DataFrame, settings: Settings, stage: StageArea) -> DataFrame:
-    """``text_key, spans``: what to remove of each text, as starts and ends that may touch."""
-    places = stage.table(_occurrences(docs, settings), "places")
-    contexts = places.groupBy("context").agg(
-        F.count("*").alias("times"),
-        F.min(F.struct("text_key", "at")).alias("place"),
-        F.first("parts").alias("parts"),
-    )
-    contexts = stage.table(contexts, "contexts")
-    parts = contexts.select(
-        "context", "place.text_key", "place.at", F.posexplode("parts").alias("band", "part")
-    )
-    parts = parts.where(F.col("part").isNotNull())
-    shared = parts.groupBy("part", "band").agg(F.count("*").alias("size")).where("size > 1")
-    members = _fetched(docs, parts.join(shared, ["part", "band"]), settings)
-    members = stage.table(members, "members")
+def _reaches(members: DataFrame, settings: Settings, stage: StageArea) -> DataFrame:
+    """``block`` and, as an array, its contexts that stand once with how far they reach."""
     small, large = F.col("size") <= settings.group, F.col("size") > settings.group
     found = _sorted_reaches(members.where(small), settings).union(
         _counted_reaches(members.where(large), settings, stage)
     )
-    found = found.groupBy("context").agg(F.max("left").alias("left"), F.max("right").alias("right"))
-    # A context that stands twice is removed as a whole; reaches end at the text's ends.
-    whole = contexts.where("times > 1").select(
-        "context", F.lit(settings.most_left).alias("left"), F.lit(settings.length).alias("right")
-    )
-    found = found.union(whole).groupBy("context").agg(
-        F.max("left").alias("left"), F.max("right").alias("right")
-    )
-    found = stage.table(found, "reaches")
-    span = F.struct(
-        F.greatest(F.col("at") - F.col("left"), F.lit(0)).alias("start"),
-        (F.col("at") + F.col("right")).alias("end"),
-    )
-    spans = places.join(found, "context").select("text_key", span.alias("span"))
-    return spans.groupBy("text_key").agg(F.collect_set("span").alias("spans"))
+    found = found.where(F.length("context") > 0).groupBy("context")
+    found = found.agg(F.max("left").alias("left"), F.max("right").alias("right"))
+
+    def make():
+        def each(context, left, right):
+            a, b, block = np.frombuffer(context, "<i8").tolist()
+            return block, a, b, left, right
+
+        return each
+
+    reached = map_each(found, "block long, a long, b long, left int, right int", make)
+    one = F.struct("a", "b", "left", "right")
+    return reached.groupBy("block").agg(F.collect_list(one).alias("reaches"))
 
 
 def remove_spans(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
@@ -433,19 +476,50 @@ def removal_digests(docs: DataFrame, settings: Settings | None = None, stage=Non
     )
 
 
-def _with_spans(docs, settings, stage, ddl: str, row) -> DataFrame:
+def _spans(row: dict, settings: Settings) -> dict[int, list[tuple[int, int]]]:
+    """What to remove of each text of a block, as starts and ends."""
+    if not row["at"].is_valid:
+        return {}
+    found = Anchors(row)
+    known = [column(row, "reaches", name) for name in ("a", "b", "left", "right")]
+    places = places_among(found.a, found.b, *known[:2])
+    # A context that stands twice goes as a whole; reaches end at the text's ends.
+    left = np.where(found.repeated, settings.most_left, -1)
+    right = np.where(found.repeated, settings.length, -1)
+    some = (places >= 0) & ~found.repeated
+    if some.any():
+        left[some], right[some] = (side[places[some]] for side in known[2:])
+    spans: dict[int, list[tuple[int, int]]] = {}
+    some = left >= 0
+    starts, ends = np.maximum(found.at - left, 0), found.at + right
+    for number, start, end in zip(
+        found.number[some].tolist(), starts[some].tolist(), ends[some].tolist(), strict=True
+    ):
+        spans.setdefault(number, []).append((start, end))
+    return spans
+
+
+def _with_spans(docs, settings, stage, ddl: str, row_of) -> DataFrame:
     settings = settings or Settings()
     stage = stage or StageArea(docs.sparkSession)
-    spans = stage.table(repeated_spans(docs, settings, stage), "spans")
-    keyed = docs.select("doc_id", "text", text_key().alias("text_key"))
-    joined = keyed.join(spans, "text_key", "left").select("doc_id", "text", "spans")
-
-    def make():
-        def each(doc_id, text, spans):
+    blocks = in_blocks(
+        docs.select("doc_id", "text"), stage, "texts", settings.block_rows, settings.block_size
+    )
+    places = stage.bucketed(_occurrences(blocks, settings), "places", "block", compression="zstd")
+    contexts = stage.table(frequent(_context_counts(places), "contexts", 2), "contexts")
+    placed = places.join(contexts, "block", "left")
+    shared = frequent(_part_counts(placed, settings), "shared", 2, totals_too=True)
+    members = _members(blocks.join(placed, "block").join(shared, "block"), settings)
+    members = stage.table(members, "members", compression="zstd")
+    reaches = stage.table(_reaches(members, settings, stage), "reaches")
+    stage.drop("members")
+    everything = blocks.join(placed.drop("parts"), "block", "left").join(reaches, "block", "left")
+
+    def each(row):
+        spans = _spans(row, settings)
+        texts = zip(row["doc_id"].as_py(), row["text"].as_py(), strict=True)
+        for number, (doc_id, text) in enumerate(texts):
             data = _raw(text)
-            found = [(span["start"], span["end"]) for span in spans or ()]
-            return row(doc_id, data, *remove_spans(data, found))
-
-        return each
+            yield row_of(doc_id, data, *remove_spans(data, spans.get(number, [])))
 
-    return map_each(joined, ddl, make)
+    return map_blocks(everything, ddl, each)
