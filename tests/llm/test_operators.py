@@ -235,7 +235,9 @@ def plain_removal(texts, length=400):
         yield len(b), int(mask.sum()), runs, hashlib.sha256(kept).hexdigest()
 
 
-@pytest.mark.parametrize("settings", [{}, {"group": 1}, {"small": 1}])
+@pytest.mark.parametrize(
+    "settings", [{}, {"group": 1}, {"small": 1}, {"block_rows": 2, "block_size": 3000}]
+)
 def test_repeated_strings_of_odd_rows(spark, none, settings):
     rng = np.random.default_rng(3)
     letters = ["".join(rng.choice(list("abcd efé"), 900)) for _ in range(4)]
@@ -243,8 +245,12 @@ def test_repeated_strings_of_odd_rows(spark, none, settings):
         letters[0] + letters[1], letters[1][100:700] + letters[2], letters[0][:399],
         letters[3] + letters[1][50:460] + "!", letters[2][300:] + letters[0][200:650], "ab" * 700,
     ]
-    rows = list(enumerate(texts))
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    # Long texts, and one that stands a thousand times.
+    texts += [letters[1][:200] + "x" * 30_000, "lengthy " * 5_000, letters[2][100:]]
+    texts += [letters[3] + "tail"] * 1000
+    rows = [(i, text, "c", i) for i, text in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, context string, block long")
+    frame = frame.repartition(2)
     found = suffixes.removal_digests(frame, suffixes.Settings(**settings)).orderBy("doc_id")
     assert [tuple(row)[1:] for row in found.collect()] == list(plain_removal(texts))
     assert suffixes.removal_digests(none).count() == 0
