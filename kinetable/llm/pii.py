@@ -19,8 +19,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -168,11 +169,15 @@ def _candidates(text: str):
     """``(kind, start, end, loose)``; loose ones do not touch base spans."""
     base = base_spans(text)
     taken = sorted(chain(*base.values()))
+    starts = [start for start, _ in taken]
+    furthest = list(accumulate((end for _, end in taken), max))
     for kind, spans in base.items():
         yield from ((kind, start, end, False) for start, end in spans)
     for kind, spans in loose_spans(text).items():
         for start, end in spans:
-            if not any(a < end and start < b for a, b in taken):
+            # Of the base spans that begin before its end, one may reach behind its start.
+            before = bisect_left(starts, end)
+            if not before or furthest[before - 1] <= start:
                 yield kind, start, end, True
 
 

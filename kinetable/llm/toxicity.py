@@ -5,8 +5,10 @@ learned: words and word beginnings that toxic texts have far more often than oth
 transducers are composed over the symbols of a clause.  The first marks insults and threats
 inside the scope of a negation, the second those in reported speech, the third those with a
 target near them, and the last collects the marked matches.  Each kind of match has a
-weight, learned by logistic regression; a text's score is the logistic function of its
-weighted matches.  Words without a match count nothing, however many there are.
+weight; a text's score is the logistic function of its weighted matches.  Weights are learned
+by logistic regression around those the grammar states: a target raises a match, negation
+and reported speech lower it, and a threat counts without any example of one.  Words
+without a match count nothing, however many there are.
 
 The grammar is learned from at most ``Settings.sample`` labelled rows that are not held
 out, by an id digest; its word table is bounded by them.  Scores use texts only.
@@ -62,6 +64,13 @@ class Settings:
     least_log_odds: float = 3.0
     scope: int = 3
     ridge: float = 1.0
+    # The log odds of a text with one threat, and how marks move those of a match.
+    threat: float = -1.0
+    targeted: float = 2.0
+    negated: float = -3.0
+    reported: float = -2.5
+    # How much more than other weights those of marked matches are held to these.
+    trust: float = 10.0
 
 
 @dataclass(frozen=True)
@@ -156,13 +165,25 @@ def reported_speech(symbols):
         yield symbol, strength, marks | REPORTED * (state and symbol in (INSULT, THREAT))
 
 
+def _after_target(symbols, scope: int) -> list[bool]:
+    """States count down from the scope; a symbol read above zero is near a target."""
+    state, found = 0, []
+    for symbol, *_ in symbols:
+        found.append(state > 0)
+        state = scope if symbol == TARGET else max(0, state - 1)
+    return found
+
+
 def targeted(symbols, scope: int):
-    """Matches within the scope after or before a target are marked."""
+    """Matches within the scope after or before a target are marked.
+
+    The same states run through the clause forwards and backwards.
+    """
     read = list(symbols)
-    targets = [place for place, found in enumerate(read) if found[0] == TARGET]
-    for place, (symbol, strength, marks) in enumerate(read):
-        near = symbol in (INSULT, THREAT) and any(abs(place - t) <= scope for t in targets)
-        yield symbol, strength, marks | TARGETED * near
+    after = _after_target(read, scope)
+    before = reversed(_after_target(reversed(read), scope))
+    for (symbol, strength, marks), *near in zip(read, after, before, strict=True):
+        yield symbol, strength, marks | TARGETED * (symbol in (INSULT, THREAT) and any(near))
 
 
 def matches(clause, scope: int):
@@ -267,18 +288,54 @@ def _independent(toxic: DataFrame, odds_of: dict, settings: Settings) -> tuple[d
     return lexicon
 
 
-def _fit(rows: np.ndarray, labels: np.ndarray, ridge: float) -> tuple[tuple[float, ...], float]:
-    """Logistic regression by Newton's iterations; the bias is not shrunk."""
+def _fit(
+    rows: np.ndarray, labels: np.ndarray, ridge: np.ndarray, prior: np.ndarray
+) -> tuple[np.ndarray, float]:
+    """Logistic regression by Newton's iterations, shrunk towards the prior but for the bias."""
     data = np.hstack([rows, np.ones((len(rows), 1))])
-    shrink = np.diag([ridge] * rows.shape[1] + [1e-6])
-    weight = np.zeros(data.shape[1])
+    shrink = np.diag([*ridge, 1e-6])
+    prior = np.append(prior, 0.0)
+    weight = prior.copy()
     for _ in range(40):
         guess = 1 / (1 + np.exp(-np.clip(data @ weight, -30, 30)))
-        slope = data.T @ (guess - labels) + shrink @ weight
+        slope = data.T @ (guess - labels) + shrink @ (weight - prior)
         bend = (data * (guess * (1 - guess) + 1e-9)[:, None]).T @ data + shrink
         step = np.linalg.solve(bend, slope)
         weight -= step / max(1.0, np.abs(step).max() / 4)
-    return tuple(weight[:-1].tolist()), float(weight[-1])
+    return weight[:-1], float(weight[-1])
+
+
+def _prior(plain_insult: float, bias: float, settings: Settings) -> np.ndarray:
+    """The grammar's own weights by kind: what a kind is worth without an example.
+
+    A threat's word has strength one, and its score is stated; an insult's worth is learned
+    and its marks move it as they move a threat.
+    """
+    moves = np.array(
+        [
+            settings.negated * bool(marks & NEGATED)
+            + settings.reported * bool(marks & REPORTED)
+            + settings.targeted * bool(marks & TARGETED)
+            for marks in range(8)
+        ]
+    )
+    threats = (settings.threat + moves - bias) / np.log1p(1.0)
+    insults = plain_insult + moves / np.log1p(settings.least_log_odds)
+    return np.concatenate([insults, threats])
+
+
+def _weigh(
+    rows: np.ndarray, labels: np.ndarray, settings: Settings
+) -> tuple[tuple[float, ...], float]:
+    """Weights of the kinds: those of plain insults first, then all around the prior."""
+    ridge = np.full(KINDS, settings.ridge)
+    weights, bias = _fit(rows, labels, ridge, np.zeros(KINDS))
+    # What marks do is better known than learned from a few examples.
+    ridge[1:] *= settings.trust
+    for _ in range(5):  # the prior follows the bias, which settles
+        prior = _prior(max(float(weights[0]), 0.0), bias, settings)
+        weights, bias = _fit(rows, labels, ridge, prior)
+    return tuple(weights.tolist()), bias
 
 
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Grammar:
@@ -301,10 +358,10 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
         return each
 
     rows = map_each(sample, "label int, found array<double>", make).collect()
-    weights, bias = _fit(
+    weights, bias = _weigh(
         np.array([row["found"] for row in rows]),
         np.array([row["label"] for row in rows], float),
-        settings.ridge,
+        settings,
     )
     return Grammar(words, prefixes, weights, bias)
 
