@@ -102,7 +102,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-_MIX = r"""
+# The documents that still fit, in the order of their digests, as long as they do.
+_FILLING = """
+open_{before} as (
+    select *, not taken_more and size > 0 and size <= remaining as fits from filled_{before}
+), summed_{before} as (
+    select *, sum(case when fits then size else 0 end)
+        over (partition by source order by digest) as upto from open_{before}
+), filled_{after} as (
+    select * exclude (fits, upto, taken_more, remaining),
+        taken_more or fits and upto <= remaining as taken_more,
+        remaining - max(case when upto <= remaining then upto else 0 end)
+            over (partition by source) as remaining
+    from summed_{before}
+)"""
+
+_MIX = (
+    r"""
 with sized as (
     select doc_id, source,
         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
@@ -132,32 +148,27 @@ with sized as (
     select source, source_size, target,
         case when source_size > 0 then floor(target / source_size + 1e-9) else 0 end as whole
     from targets
-), first as (
-    select d.*, w.source_size, w.target, w.whole, target - whole * source_size as left0,
-        sum(size) over (partition by d.source order by digest) as upto
+), filled_0 as (
+    select d.*, w.source_size, w.target, w.whole, target - whole * source_size as remaining,
+        false as taken_more
     from sized d join wanted w on d.source is not distinct from w.source
-), second as (
-    select *, left0 - max(case when upto <= left0 then upto else 0 end)
-        over (partition by source) as left1 from first
-), third as (
-    select *, upto > left0 and size <= left1 / 4 as open1,
-        sum(case when upto > left0 and size <= left1 / 4 then size else 0 end)
-            over (partition by source order by digest) as upto1 from second
-), fourth as (
-    select *, left1 - max(case when open1 and upto1 <= left1 then upto1 else 0 end)
-        over (partition by source) as left2 from third
-), fifth as (
-    select *, upto > left0 and not (open1 and upto1 <= left1) and size <= left2 / 4 as open2,
-        sum(case when upto > left0 and not (open1 and upto1 <= left1) and size <= left2 / 4
-            then size else 0 end) over (partition by source order by digest) as upto2
-    from fourth
+), """
+    + ", ".join(_FILLING.format(before=turn, after=turn + 1) for turn in range(16))
+    + r""",
+nearest as (
+    -- One more, by digest, where that misses the target by less than what is left does.
+    select source, min({'missed': abs(words - remaining), 'digest': digest}).digest as extra
+    from (select source, digest, remaining, sum(size) as words from filled_16
+          where not taken_more and size > 0 and size < 2 * remaining
+          group by source, digest, remaining)
+    where abs(words - remaining) < remaining group by source
 ), dealt as (
-    select *, (whole + case when upto <= left0 or open1 and upto1 <= left1
-        or open2 and upto2 <= left2 then 1 else 0 end)::integer as copies
-    from fifth
+    select f.*, (whole + (taken_more or coalesce(digest = extra, false))::integer)::integer as copies
+    from filled_16 f left join nearest n on f.source is not distinct from n.source
 )
 select doc_id, size, source_size, target, (copies * size)::bigint as taken, copies from dealt
 """
+)
 
 _PASSAGES = r"""
 with listed as materialized (

@@ -6,8 +6,9 @@ exponential of its source's dual variable.  The dual is convex, and as each word
 source its Hessian is diagonal, so Newton's iterations run for all sources in parallel, on
 one row each.  Rates are then rounded: all documents of a source get the whole part as
 copies, and documents in the order of an id digest get one more as long as they fit.  Where
-a long document ends that, shorter ones after it fill what is left: twice, those of up to a
-quarter of it.
+a long document ends that, the others that still fit are tried in the same way, again and
+again until none fits.  One more document is taken where that comes nearer to the target
+than what is left, so a source misses its target by half of its smallest document at most.
 
 Each order is cut with two levels of 4096 digest ranges per source, so no source is sorted
 or gathered anywhere, and a cut is as fine as a 16-millionth of a source.  The table of
@@ -28,7 +29,9 @@ from .common import WORD
 
 MOST_COPIES = 3
 NEWTON_STEPS = 64
-ROUNDS = 3
+# Each round takes a document at least from every source where one fits, mostly many, so
+# that a handful are enough; this many would be an error.
+MOST_ROUNDS = 40
 DIGITS = 3
 # Characters of a source table that may be broadcast.
 BROADCAST_CHARS = 4_000_000
@@ -118,6 +121,10 @@ def _fitting(sized: DataFrame, plan: DataFrame) -> DataFrame:
 
 def _taken(rounds: int) -> Column:
     """Whether a document has one more copy after so many rounds."""
+    return F.coalesce(F.col("digest") == F.col("extra"), F.lit(False)) | _fitted(rounds)
+
+
+def _fitted(rounds: int) -> Column:
     taken = F.lit(False)
     for turn in range(rounds):
         taken = taken | (
@@ -126,8 +133,11 @@ def _taken(rounds: int) -> Column:
     return taken
 
 
-def _plan(sized: DataFrame, stage: StageArea) -> DataFrame:
-    """One row for each source: its target, whole copies, and the limits of one more."""
+def _plan(sized: DataFrame, stage: StageArea) -> tuple[DataFrame, int]:
+    """One row for each source, and the number of rounds.
+
+    A row has the source's target, its whole copies, and the limits of one more.
+    """
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = tilted_rates(source_targets(sizes)).withColumn(
         "whole", F.floor(F.col("rate") + 1e-9).cast("int")
@@ -136,19 +146,40 @@ def _plan(sized: DataFrame, stage: StageArea) -> DataFrame:
     plan = plan.withColumn("left", left).withColumnRenamed("source", "named")
     plan = stage.table(plan, "plan")
     same = F.col("source").eqNullSafe(F.col("named"))
-    for turn in range(ROUNDS):
-        most = F.col("left") / 4 if turn else F.col("source_size").cast("double")
+    for turn in range(MOST_ROUNDS):
+        most = F.col("left") if turn else F.col("source_size").cast("double")
         plan = plan.withColumn(f"most_{turn}", most)
         open_rows = sized.join(_checked(plan), same).where(
-            ~_taken(turn) & (F.col("size") <= F.col(f"most_{turn}"))
+            ~_fitted(turn) & (F.col("size") > 0) & (F.col("size") <= F.col(f"most_{turn}"))
         )
         found = _fitting(open_rows.select("source", "size", "digest", "left"), plan)
         plan = plan.join(found, F.col("named").eqNullSafe(F.col("of")), "left").drop("of")
         plan = plan.withColumn(f"until_{turn}", F.coalesce("until", F.lit(""))).withColumn(
             "left", F.col("left") - F.coalesce("used", F.lit(0))
         )
-        plan = stage.table(plan.drop("until", "used"), f"plan-{turn}")
-    return plan
+        plan = stage.table(plan.drop("until"), f"plan-{turn}")
+        if not plan.agg(F.max("used")).first()[0]:
+            return _with_extra(sized, plan.drop("used"), turn + 1, stage), turn + 1
+        plan = plan.drop("used")
+    raise RuntimeError(f"documents still fit after {MOST_ROUNDS} rounds")
+
+
+def _with_extra(sized: DataFrame, plan: DataFrame, rounds: int, stage: StageArea) -> DataFrame:
+    """With ``extra``: the digest of a document that brings the source nearer to its target."""
+    rest = sized.join(_checked(plan), F.col("source").eqNullSafe(F.col("named"))).where(
+        ~_fitted(rounds) & (F.col("size") > 0) & (F.col("size") < 2 * F.col("left"))
+    )
+    # Rows with one digest go together.
+    groups = rest.groupBy(F.col("source").alias("of"), "digest", "left").agg(
+        F.sum("size").alias("words")
+    )
+    missed = F.abs(F.col("words") - F.col("left"))
+    nearest = groups.where(missed < F.col("left")).groupBy("of").agg(
+        F.min(F.struct(missed, "digest")).alias("best")
+    )
+    nearest = nearest.select("of", F.col("best.digest").alias("extra"))
+    plan = plan.join(nearest, F.col("named").eqNullSafe(F.col("of")), "left").drop("of")
+    return stage.table(plan, "plan-extra")
 
 
 def _checked(plan: DataFrame) -> DataFrame:
@@ -168,16 +199,16 @@ def _sized(docs: DataFrame, *more: Column) -> DataFrame:
     )
 
 
-def _with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def _with_copies(rows: DataFrame, plan: DataFrame, rounds: int) -> DataFrame:
     joined = rows.join(_checked(plan), F.col("source").eqNullSafe(F.col("named")))
-    return joined.withColumn("copies", F.col("whole") + _taken(ROUNDS).cast("int"))
+    return joined.withColumn("copies", F.col("whole") + _taken(rounds).cast("int"))
 
 
 def mix_sources(docs: DataFrame, stage: StageArea | None = None) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` for each document."""
     stage = stage or StageArea(docs.sparkSession)
     sized = stage.table(_sized(docs), "sized")
-    return _with_copies(sized, _plan(sized, stage)).select(
+    return _with_copies(sized, *_plan(sized, stage)).select(
         "doc_id",
         "source",
         "size",
@@ -191,8 +222,8 @@ def mix_sources(docs: DataFrame, stage: StageArea | None = None) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents, each as often as the mix takes it, with all their columns."""
     stage = StageArea(docs.sparkSession)
-    plan = _plan(stage.table(_sized(docs), "sized"), stage)
+    plan, rounds = _plan(stage.table(_sized(docs), "sized"), stage)
     row = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
     sized = _sized(docs.withColumn("_row", row), F.col("_row"))
-    repeated = _with_copies(sized, plan).where("copies > 0")
+    repeated = _with_copies(sized, plan, rounds).where("copies > 0")
     return repeated.select("_row", F.explode(F.expr("sequence(1, copies)"))).select("_row.*")
