@@ -78,11 +78,6 @@ def write_record(record: DataFrame, path: str) -> None:
     record.select(line).coalesce(1).write.mode("errorifexists").text(path)
 
 
-def write_rows(rows: DataFrame, path: str) -> None:
-    """A small frame as JSON lines in one file."""
-    rows.coalesce(1).write.mode("errorifexists").json(path)
-
-
 def write_csv(rows: DataFrame, path: str) -> None:
     """A small frame as one CSV file with a header."""
     rows.coalesce(1).write.mode("errorifexists").option("header", True).csv(path)

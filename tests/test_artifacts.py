@@ -24,7 +24,6 @@ def text_of(folder):
     [
         artifacts.write_features,
         artifacts.write_record,
-        artifacts.write_rows,
         artifacts.write_csv,
     ],
 )
