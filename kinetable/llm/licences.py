@@ -135,9 +135,10 @@ FUNCTION_WORDS = tuple(
 )
 _PAIR = " "
 _MARKS = r"(?md)^[ \t]*(?:(?://+|/\*+|\*+/|<!--|(?:\*+|#+|;+|%+|--+|>+|REM|dnl)(?=[ \t\r]|$))[ \t]*)?"
-# Lines that name a licence by themselves.
+# Lines that name a licence by themselves.  What stands after the first "under" includes what
+# stands after others, so they are not tried: that keeps long lines linear.
 _NAMING = (
-    r"[^\n]*?(?i:under [^\n]*?(?:\bMIT\b|Apache Lic|Public Lic|\bBSD\b|\bCC[ -]BY|Attribution))[^\n]*"
+    r"(?>[^\n]*?(?i:under ))[^\n]*?(?i:\bMIT\b|Apache Lic|Public Lic|\bBSD\b|\bCC[ -]BY|Attribution)[^\n]*"
 )
 _APART = r"[ \t\r]*(?:\n|\z|(?i:SPDX-|copyright\b)|[-*\u2022][ \t]|\w{1,2}[.)][ \t])"
 _WRAP = (
