@@ -7,8 +7,9 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from kinetable.llm import pii, toxicity
+from kinetable.llm import licences, pii, toxicity
 from kinetable.llm.toxicity import INSULT, KINDS, NEGATED, REPORTED, TARGETED
 
 SETTINGS = toxicity.Settings()
@@ -129,3 +130,15 @@ def test_time_is_linear_in_the_spans():
 def test_reported_states():
     symbols = [(INSULT, 1.0, 0), (toxicity.REPORT, 1.0, 0), (INSULT, 1.0, 0)]
     assert [marks for *_, marks in toxicity.reported_speech(symbols)] == [0, 0, REPORTED]
+
+
+def test_time_is_linear_in_a_line_of_licence_words(spark):
+    def lines_of(count):
+        frame = spark.createDataFrame([("under the " * count,)], "text string")
+        frame.select(licences.unwrapped(F.col("text"))).collect()
+
+    lines_of(10)
+    started = time.perf_counter()
+    lines_of(100_000)
+    # One line of a megabyte took about an hour when every "under" was tried.
+    assert time.perf_counter() - started < 60
