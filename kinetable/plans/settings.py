@@ -45,6 +45,8 @@ FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # bytes of text fill a shuffle partition.
 TEXT_PER_PARTITION = 256 << 20
 LEAST_PARTITIONS, MOST_PARTITIONS = 64, 100_000
+# Until the input is known.
+UNKNOWN_PARTITIONS = 4_000
 
 
 def partitions_for(input_bytes: int) -> int:
@@ -78,7 +80,7 @@ def session_options(
         "spark.sql.files.maxPartitionBytes": "512m",
     }
     if shuffle_partitions is None:
-        options[FIRST_PARTITIONS] = str(MOST_PARTITIONS // 25)
+        options[FIRST_PARTITIONS] = str(UNKNOWN_PARTITIONS)
     else:
         options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:
