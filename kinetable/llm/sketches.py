@@ -390,8 +390,12 @@ def _classes(docs: DataFrame, settings: Settings, stage: StageArea) -> tuple[Dat
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage.table(pairs, f"{name}-pairs")
+        if found is not None and pairs.isEmpty():
+            return
         more = _confirmed(pairs, sets, docs, settings, stage, name)
         tested = pairs if tested is None else tested.union(pairs)
+        if found is not None and more.isEmpty():
+            return
         links = more if links is None else links.union(more)
         found = components(links, stage, name)
 
