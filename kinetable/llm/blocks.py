@@ -9,6 +9,8 @@ row for each block; the frequent names of a block go back to it as one array.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -133,3 +135,87 @@ def frequent(counted: DataFrame, name: str, least: int, totals_too: bool = False
     one = F.struct("a", "b", first, *(["total"] if totals_too else []))
     found = totals.where(F.col("total") >= least).select("block", one.alias("one"))
     return found.groupBy("block").agg(F.collect_list("one").alias(name))
+
+
+# --- names that only have to be frequent --------------------------------------------------
+
+NAME_BITS = 40
+_NAME_BYTES = NAME_BITS // 8
+
+
+class Names:
+    """A block's distinct names of 40 bits in rising order, cut into parts of their range.
+
+    A part of a block travels as one row: the steps between its names, byte by byte, so that
+    the upper bytes (mostly zero) compress.  What comes back is one bit for each of them.
+    """
+
+    def __init__(self, names: np.ndarray, parts: int):
+        self.names, self.times = np.unique(names, return_counts=True)
+        part = (self.names >> np.uint64(NAME_BITS - 24)) * np.uint64(parts) >> np.uint64(24)
+        self.parts, starts = np.unique(part, return_index=True)
+        self.bounds = [*starts.tolist(), len(self.names)]
+
+    def sent(self, block: int, most: int) -> Iterator[tuple]:
+        """``block, part, names, times`` with counts up to ``most``, which is all that is asked."""
+        for at, part in enumerate(self.parts.tolist()):
+            some = slice(self.bounds[at], self.bounds[at + 1])
+            steps = np.diff(self.names[some], prepend=np.uint64(0)).astype("<u8")
+            planes = steps.view(np.uint8).reshape(-1, 8)[:, :_NAME_BYTES].T
+            times = np.minimum(self.times[some], most).astype("<u4")
+            yield block, part, planes.tobytes(), times.tobytes()
+
+    def chosen(self, row: dict, name: str) -> np.ndarray:
+        """The names whose bits are set in what came back."""
+        found = {one["part"]: one["bits"] for one in row[name].as_py() or []}
+        kept = [np.empty(0, np.uint64)]
+        for at, part in enumerate(self.parts.tolist()):
+            some = self.names[self.bounds[at] : self.bounds[at + 1]]
+            bits = np.unpackbits(np.frombuffer(found[part], np.uint8), count=len(some))
+            kept.append(some[bits.view(bool)])
+        return np.concatenate(kept)
+
+
+SENT = "block long, part long, names binary, times binary"
+
+
+def _received(names: bytes) -> np.ndarray:
+    planes = np.frombuffer(names, np.uint8).reshape(_NAME_BYTES, -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, :_NAME_BYTES] = planes.T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
+def enough(sent: DataFrame, name: str, least: int) -> DataFrame:
+    """``block`` and, as an array, the bits of its names that stand so often in all blocks.
+
+    ``sent`` has a row for each block and part.  A part holds all names of its range, so
+    the number of parts, not that of blocks, bounds what a task sorts at a time.
+    """
+    dealt = sent.repartition("part").sortWithinPartitions("part")
+
+    def make():
+        def run(batches):
+            rows = (
+                row
+                for batch in batches
+                for row in zip(*(one.to_pylist() for one in batch.columns), strict=True)
+            )
+            for part, group in groupby(rows, key=itemgetter(1)):
+                blocks, _, names, times = zip(*group, strict=True)
+                names = [_received(one) for one in names]
+                ends = np.cumsum([len(one) for one in names])
+                together_ = np.concatenate(names)
+                order = np.argsort(together_)
+                opens = np.flatnonzero(np.diff(together_[order], prepend=np.uint64(1 << NAME_BITS)))
+                counts_ = np.frombuffer(b"".join(times), "<u4").astype(np.int64)[order]
+                often = np.add.reduceat(counts_, opens) >= least
+                bits = np.empty(len(order), bool)
+                bits[order] = np.repeat(often, np.diff(np.append(opens, len(order))))
+                for block, low, high in zip(blocks, [0, *ends[:-1]], ends, strict=True):
+                    yield block, part, np.packbits(bits[low:high]).tobytes()
+
+        return run
+
+    found = map_batches(dealt, "block long, part long, bits binary", make)
+    return found.groupBy("block").agg(F.collect_list(F.struct("part", "bits")).alias(name))

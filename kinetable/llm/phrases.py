@@ -7,10 +7,15 @@ columns gives the words' counts, then all pairs, triples and quadruples, and eac
 number of words; nothing shorter is ever taken from the texts.
 
 Most windows of natural text stand once and could never add up to a candidate.  Therefore
-hashes of neighbouring pairs are first counted by blocks of documents, and each block gets
-back those of its pairs that stand often enough.  Where a pair does not, no candidate spans
-it, and the lead columns after it are left empty like those behind a piece's end.  That is
-pruning alone: equal hashes only keep more, and every frequency comes from the windows.
+hashes of neighbouring pairs are first counted by blocks of documents, and each block learns
+which of its pairs stand often enough; then the same for phrases of three and four words made
+of such pairs.  Where a pair does not, no candidate spans it, and the lead columns after it are
+left empty like those behind a piece's end; where a longer phrase does not, those after its
+beginning are.  A block adds up its equal windows before they travel.  That is pruning alone:
+equal hashes only keep more, and every frequency comes from the windows.
+
+Hashes travel as sorted steps and come back as one bit each (see ``blocks.Names``).  Texts are
+parsed three times, which costs less than moving every window.
 
 Words are 64-bit hashes in the windows; a table of the words that stand in phrases names them
 and would raise an error if two of a language had one hash.  Integer arithmetic is exact:
@@ -33,8 +38,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import StageArea
-from .blocks import COUNTED, column, counts, frequent, in_blocks, map_blocks, together
-from .words import hashed_words
+from .blocks import NAME_BITS, SENT, Names, enough, in_blocks, map_blocks, together
+from .words import MASK, hashed_words
 
 _CUT = b"\xff"  # never a byte of UTF-8
 # Marks between pieces become a byte of their own; all other white space belongs to words.
@@ -97,14 +102,40 @@ class Pieces:
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def pair_names(words: np.ndarray, lang: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which words have a neighbour after them, and five bytes of hash for those pairs."""
-    first = np.flatnonzero((words[:-1] != 0) & (words[1:] != 0))
-    mixed = (words[first] * _MIX + np.uint64(lang)) ^ (words[first] >> np.uint64(29))
-    mixed = (mixed + words[first + 1]) * _MIX
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= _MIX
-    return first, (mixed >> np.uint64(24)).view(np.int64)
+def gram_names(words: np.ndarray, first: np.ndarray, size: int, lang: int) -> np.ndarray:
+    """Hashes of the phrases of that many words at those places, as names of blocks."""
+    found = np.full(len(first), (lang + size) & MASK, np.uint64)
+    for step in range(size):
+        found = (found ^ words[first + step]) * _MIX
+        found ^= found >> np.uint64(32)
+    return found * _MIX >> np.uint64(64 - NAME_BITS)
+
+
+def _pairs(words: np.ndarray) -> np.ndarray:
+    """Places of the words with a neighbour after them."""
+    return np.flatnonzero((words[:-1] != 0) & (words[1:] != 0))
+
+
+def _among(known: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Which of the names are known; those are in rising order."""
+    if not len(known):
+        return np.zeros(len(names), bool)
+    return known[np.minimum(np.searchsorted(known, names), len(known) - 1)] == names
+
+
+def _marked(words: np.ndarray, first: np.ndarray, size: int, lang: int, known: np.ndarray):
+    """For each word, whether the phrase of that size at it is one of the places' and known."""
+    found = np.zeros(len(words), bool)
+    found[first[_among(known, gram_names(words, first, size, lang))]] = True
+    return found
+
+
+def _longer(linked: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Sizes above two, and where all pairs of such a phrase are linked."""
+    whole = linked
+    for size in range(3, longest + 1):
+        whole = whole & np.append(linked[size - 2 :], np.zeros(size - 2, bool))
+        yield size, np.flatnonzero(whole)
 
 
 def _lang_number(lang: str) -> int:
@@ -121,16 +152,42 @@ def _by_language(row: dict, settings: Settings) -> Iterator[tuple[str, Pieces]]:
             yield lang, Pieces(texts[low:high])
 
 
-def _pair_counts(blocks: DataFrame, settings: Settings) -> DataFrame:
+def _pair_names(row: dict, settings: Settings, parts: int) -> Names:
+    found = [np.empty(0, np.uint64)]
+    for lang, pieces in _by_language(row, settings):
+        found.append(gram_names(pieces.words, _pairs(pieces.words), 2, _lang_number(lang)))
+    return Names(np.concatenate(found), parts)
+
+
+def _linked(pieces: Pieces, lang: int, known: np.ndarray) -> np.ndarray:
+    """For each word, whether the pair that it opens is known."""
+    return _marked(pieces.words, _pairs(pieces.words), 2, lang, known)
+
+
+def _longer_names(row: dict, settings: Settings, parts: int, known: np.ndarray) -> Names:
+    """Names of the phrases above two words whose pairs are all known."""
+    found = [np.empty(0, np.uint64)]
+    for lang, pieces in _by_language(row, settings):
+        number = _lang_number(lang)
+        for size, first in _longer(_linked(pieces, number, known), settings.longest):
+            found.append(gram_names(pieces.words, first, size, number))
+    return Names(np.concatenate(found), parts)
+
+
+def _sent_pairs(blocks: DataFrame, settings: Settings, parts: int) -> DataFrame:
     def each(row):
-        found = [np.empty(0, np.int64)]
-        for lang, pieces in _by_language(row, settings):
-            found.append(pair_names(pieces.words, _lang_number(lang))[1])
-        names = np.concatenate(found)
-        nothing, once = np.zeros(len(names), np.int64), np.ones(len(names), np.int64)
-        yield counts(row["block"].as_py(), names, nothing, once, settings.least)
+        yield from _pair_names(row, settings, parts).sent(row["block"].as_py(), settings.least)
 
-    return map_blocks(blocks, COUNTED, each, packed=True)
+    return map_blocks(blocks, SENT, each)
+
+
+def _sent_longer(blocks: DataFrame, settings: Settings, parts: int) -> DataFrame:
+    def each(row):
+        known = _pair_names(row, settings, parts).chosen(row, "pairs")
+        names = _longer_names(row, settings, parts, known)
+        yield from names.sent(row["block"].as_py(), settings.least)
+
+    return map_blocks(blocks, SENT, each)
 
 
 # --- windows ----------------------------------------------------------------------------------
@@ -145,31 +202,44 @@ def _batch_of(lang: str, columns: list[np.ndarray], times: np.ndarray, words=Non
     return pa.RecordBatch.from_arrays(arrays, names=["lang", *_COLUMNS, "times", "word"])
 
 
-def _windows(blocks: DataFrame, settings: Settings) -> DataFrame:
+def _added_up(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Equal windows once, with their numbers; should hashes collide, some stand apart."""
+    mixed = np.zeros(len(columns[0]), np.uint64)
+    for one in columns:
+        mixed = (mixed ^ one) * _MIX
+        mixed ^= mixed >> np.uint64(32)
+    order = np.argsort(mixed)
+    columns = [one[order] for one in columns]
+    opens = np.zeros(len(order), bool)
+    opens[:1] = True
+    for one in columns:
+        opens[1:] |= one[1:] != one[:-1]
+    first = np.flatnonzero(opens)
+    return [one[first] for one in columns], np.diff(np.append(first, len(order)))
+
+
+def _windows(blocks: DataFrame, settings: Settings, parts: int) -> DataFrame:
     """``lang, w1, w2, w3, w4, times`` of the padded windows, and the words in them.
 
     Rows with ``word`` name the hash ``w1`` and have no count.
     """
 
-    def of_pieces(lang: str, pieces: Pieces, known: np.ndarray, named: set):
-        words = pieces.words
-        first, names = pair_names(words, _lang_number(lang))
-        linked = np.zeros(len(words), bool)
-        if len(known):
-            place = np.minimum(np.searchsorted(known, names), len(known) - 1)
-            linked[first[known[place] == names]] = True
+    def of_pieces(lang: str, pieces: Pieces, pairs: np.ndarray, longer: np.ndarray, named: set):
+        words, number = pieces.words, _lang_number(lang)
+        linked = _linked(pieces, number, pairs)
         # A word without a candidate after it is a window of itself; those are added up.
         alone, times = np.unique(words[(words != 0) & ~linked], return_counts=True)
         none = np.zeros(len(alone), np.uint64)
         yield _batch_of(lang, [alone, none, none, none], times)
         opening = np.flatnonzero(linked)
-        columns, still = [words[opening]], np.ones(len(opening), bool)
-        for step in range(1, settings.longest):
-            still = still & linked[opening + step - 1]
-            columns.append(np.where(still, words[opening + step], np.uint64(0)))
-        for low in range(0, len(opening), 1 << 16):
+        columns, still = [words[opening], words[opening + 1]], np.ones(len(opening), bool)
+        for size, first in _longer(linked, settings.longest):
+            still = still & _marked(words, first, size, number, longer)[opening]
+            columns.append(np.where(still, words[opening + size - 1], np.uint64(0)))
+        columns, times = _added_up(columns)
+        for low in range(0, len(times), 1 << 16):
             part = [column[low : low + (1 << 16)] for column in columns]
-            yield _batch_of(lang, part, np.ones(len(part[0]), np.int64))
+            yield _batch_of(lang, part, times[low : low + (1 << 16)])
         values, where = np.unique(pieces.hashes, return_index=True)
         where = where[np.isin(values, np.concatenate(columns[:2]))]
         new = [at for at in where.tolist() if (lang, int(pieces.hashes[at])) not in named]
@@ -181,9 +251,11 @@ def _windows(blocks: DataFrame, settings: Settings) -> DataFrame:
             yield _batch_of(lang, [hashes, none, none, none], np.zeros(len(new), np.int64), spelled)
 
     def each(row):
-        known, named = np.sort(column(row, "pairs", "a")), set()
+        pairs = _pair_names(row, settings, parts).chosen(row, "pairs")
+        longer = _longer_names(row, settings, parts, pairs).chosen(row, "longer")
+        named = set()
         for lang, pieces in _by_language(row, settings):
-            yield from of_pieces(lang, pieces, known, named)
+            yield from of_pieces(lang, pieces, pairs, longer, named)
 
     ddl = "lang string, w1 long, w2 long, w3 long, w4 long, times long, word string"
     return map_blocks(blocks, ddl, each, packed=True)
@@ -195,8 +267,11 @@ def phrase_counts(docs: DataFrame, settings: Settings, stage: StageArea) -> tupl
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
     )
     blocks = in_blocks(texts, stage, "texts", settings.block_rows, settings.block_size)
-    pairs = frequent(_pair_counts(blocks, settings), "pairs", settings.least)
-    rows = _windows(blocks.join(pairs, "block", "left"), settings)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = enough(_sent_pairs(blocks, settings, parts), "pairs", settings.least)
+    blocks = blocks.join(stage.table(pairs, "pairs"), "block", "left")
+    longer = enough(_sent_longer(blocks, settings, parts), "longer", settings.least)
+    rows = _windows(blocks.join(stage.table(longer, "longer"), "block", "left"), settings, parts)
     top = rows.groupBy("lang", *_COLUMNS, "word").agg(F.sum("times").alias("times"))
     top = stage.table(top, "top-order", compression="zstd")
     windows = top.where(F.col("word").isNull())

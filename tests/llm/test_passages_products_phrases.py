@@ -366,6 +366,52 @@ def test_phrases_of_nothing(spark):
     assert phrases.collocations(few).collect() == []
 
 
+def test_windows_are_cut_where_no_longer_phrase_is_frequent(spark):
+    """Frequent pairs in ever new triples: pairs are stored, not every window of four words."""
+    from kinetable.sources.staging import StageArea
+
+    rng = random.Random(4)
+    after = {word: rng.sample(range(300), 3) for word in range(300)}
+    texts = []
+    for _ in range(60):
+        words = [rng.randrange(300)]
+        while len(words) < 400:
+            words.append(rng.choice(after[words[-1]]))
+        texts.append(" ".join(f"w{word}" for word in words))
+    settings = phrases.Settings(least=20, block_rows=10)
+    stage = StageArea(spark)
+    docs = spark.createDataFrame([(text, "en") for text in texts], "text string, lang string")
+    found = phrases.collocations(docs, settings, stage)
+    assert sorted(map(tuple, found.collect())) == sorted(
+        plain_collocations([(text, "en") for text in texts], settings)
+    )
+    stored = spark.read.parquet(f"{stage.path}/top-order")
+    assert stored.where("word is null and w2 is not null").count() < 2_500
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_names_come_back_as_bits(spark, parts):
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 1 << blocks.NAME_BITS, 50, np.uint64)
+    inside = [
+        np.concatenate([rng.choice(common, 40), rng.integers(0, 1 << blocks.NAME_BITS, 9_000, np.uint64)])
+        for _ in range(4)
+    ]
+    inside.append(np.array([0, (1 << blocks.NAME_BITS) - 1] * 3, np.uint64))
+    sent = [row for at, one in enumerate(inside) for row in blocks.Names(one, parts).sent(at, 3)]
+    found = blocks.enough(spark.createDataFrame(sent, blocks.SENT), "bits", 3)
+    table = found.toArrow().to_batches()
+    rows = {}
+    for batch in table:
+        for at in range(batch.num_rows):
+            rows[batch["block"][at].as_py()] = {"bits": batch["bits"][at]}
+    times = Counter(np.concatenate(inside).tolist())
+    for at, one in enumerate(inside):
+        expected = sorted(name for name in set(one.tolist()) if times[name] >= 3)
+        assert blocks.Names(one, parts).chosen(rows[at], "bits").tolist() == expected
+    assert blocks.Names(np.empty(0, np.uint64), parts).chosen({"bits": pa.scalar(None)}, "bits").size == 0
+
+
 def test_counts_beyond_64_bits_stay_exact(spark):
     """2,000,000 times a frequency of ten million million passes 64 bits."""
     large = 10**13
