@@ -176,6 +176,13 @@ class Names:
         return np.concatenate(kept)
 
 
+def among(known: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Which of the names are known; those are in rising order."""
+    if not len(known):
+        return np.zeros(names.shape, bool)
+    return known[np.minimum(np.searchsorted(known, names), len(known) - 1)] == names
+
+
 SENT = "block long, part long, names binary, times binary"
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import StageArea
-from .blocks import NAME_BITS, SENT, Names, enough, in_blocks, map_blocks, together
+from .blocks import NAME_BITS, SENT, Names, among, enough, in_blocks, map_blocks, together
 from .words import MASK, hashed_words
 
 _CUT = b"\xff"  # never a byte of UTF-8
@@ -116,17 +116,10 @@ def _pairs(words: np.ndarray) -> np.ndarray:
     return np.flatnonzero((words[:-1] != 0) & (words[1:] != 0))
 
 
-def _among(known: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """Which of the names are known; those are in rising order."""
-    if not len(known):
-        return np.zeros(len(names), bool)
-    return known[np.minimum(np.searchsorted(known, names), len(known) - 1)] == names
-
-
 def _marked(words: np.ndarray, first: np.ndarray, size: int, lang: int, known: np.ndarray):
     """For each word, whether the phrase of that size at it is one of the places' and known."""
     found = np.zeros(len(words), bool)
-    found[first[_among(known, gram_names(words, first, size, lang))]] = True
+    found[first[among(known, gram_names(words, first, size, lang))]] = True
     return found
 
 

@@ -13,8 +13,8 @@ backwards, to the left of it.
    search for the longest equal prefix hash (polynomial, modulo 2^64); the order is checked
    on the bytes, and sorted by them should hashes have collided.  The common extensions of
    sorted neighbours give those of all.
-4. A group above ``Settings.group`` members is not gathered: its strings are counted by
-   digest, one row each, which combines before the shuffle.
+4. A group above ``Settings.group`` members is not gathered: the names of its strings are
+   counted by blocks, and those that stand twice once more by digest.
 
 Neighbouring texts make a block.  Texts are moved once, into blocks, and joined to what is
 found about them without a shuffle; a block counts its contexts and parts by itself first.
@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import StageArea
-from .blocks import COUNTED, column, counts, frequent, in_blocks, map_blocks, numbers, places_among
+from .blocks import COUNTED, NAME_BITS, SENT, Names, among, column, counts, enough, frequent
+from .blocks import in_blocks, map_blocks, numbers, places_among
 from .common import map_each, map_rows
 
 
@@ -204,43 +205,56 @@ def _context_counts(places: DataFrame) -> DataFrame:
     return map_blocks(places.select("block", "a", "b"), COUNTED, each, packed=True)
 
 
-def _part_counts(places: DataFrame, settings: Settings) -> DataFrame:
+class Parts:
+    """The parts of a block's representatives: a row for each, a column for each band."""
+
+    def __init__(self, row: dict, settings: Settings, ranges: int):
+        self.anchors = Anchors(row)
+        self.found = self.anchors.representatives()
+        self.parts = numbers(row, "parts").reshape(-1, settings.bands)[self.found]
+        bands = np.arange(1, settings.bands + 1, dtype=np.uint64) * np.uint64(_BASE)
+        self.named = _names(self.parts.view(np.uint64) + bands)
+        self.some = self.parts != 0
+        self.names = Names(self.named[self.some], ranges)
+
+    def among(self, row: dict, column: str) -> np.ndarray:
+        """Which parts' names came back in that column."""
+        return among(self.names.chosen(row, column), self.named) & self.some
+
+
+def _names(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of 64 bits as names of blocks."""
+    mixed = (hashes ^ (hashes >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return mixed >> np.uint64(64 - NAME_BITS)
+
+
+def _sent_parts(placed: DataFrame, settings: Settings, ranges: int) -> DataFrame:
     """Distinct contexts with each part of a band."""
+    most = settings.group + 1  # whether a group is larger is all that is asked
 
     def each(row):
-        found = Anchors(row).representatives()
-        parts = numbers(row, "parts").reshape(-1, settings.bands)[found].ravel()
-        bands = np.tile(np.arange(settings.bands), len(found))
-        some = parts != 0
-        once = np.ones(int(some.sum()), np.int64)
-        most = settings.group + 1  # whether a group is larger is all that is asked
-        yield counts(row["block"].as_py(), parts[some], bands[some], once, most)
+        yield from Parts(row, settings, ranges).names.sent(row["block"].as_py(), most)
 
-    return map_blocks(places, COUNTED, each, packed=True)
+    return map_blocks(placed, SENT, each)
 
 
-def _members(blocks: DataFrame, settings: Settings) -> DataFrame:
-    """``part, band, size, context, before, bytes`` of contexts that share a part.
+def _members(blocks: DataFrame, settings: Settings, ranges: int) -> DataFrame:
+    """``part, band, context, before, bytes`` of contexts that share a part with a few.
 
     The bytes are those that a string of the band can reach.  ``context`` is the digest and
     the block, or empty where the context stands more than once and is settled by that.
     """
 
     def each(row):
-        anchors_, texts = Anchors(row), row["text"].as_py()
-        block = row["block"].as_py()
-        found = anchors_.representatives()
-        parts = numbers(row, "parts").reshape(-1, settings.bands)[found]
-        shared = [column(row, "shared", name) for name in ("a", "b", "total")]
-        flat = parts.ravel()
-        bands = np.tile(np.arange(settings.bands), len(found))
-        places = places_among(flat, bands, *shared[:2])
-        number, data = -1, b""
-        for place in np.flatnonzero((places >= 0) & (flat != 0)).tolist():
-            anchor, band = int(found[place // settings.bands]), place % settings.bands
+        parts, texts, block = Parts(row, settings, ranges), row["text"], row["block"].as_py()
+        anchors_, number, data = parts.anchors, -1, b""
+        few = parts.among(row, "shared") & ~parts.among(row, "large")
+        for place in np.flatnonzero(few.ravel()).tolist():
+            anchor, band = int(parts.found[place // settings.bands]), place % settings.bands
             if anchors_.number[anchor] != number:
                 number = int(anchors_.number[anchor])
-                data = _raw(texts[number])
+                data = _raw(texts[number].as_py())
             low, high = settings.band(band)
             at = int(anchors_.at[anchor])
             before = min(at, high - 1)
@@ -248,12 +262,75 @@ def _members(blocks: DataFrame, settings: Settings) -> DataFrame:
             if not anchors_.repeated[anchor]:
                 context = np.array([anchors_.a[anchor], anchors_.b[anchor], block], "<i8").tobytes()
             reached = data[at - before : at + settings.length - low]
-            yield int(flat[place]), band, int(shared[2][places[place]]), context, before, reached
+            yield int(parts.parts[place // settings.bands, band]), band, context, before, reached
 
-    ddl = "part long, band int, size long, context binary, before int, bytes binary"
+    ddl = "part long, band int, context binary, before int, bytes binary"
     return map_blocks(blocks, ddl, each)
 
 
+# --- groups that are too large to sort ---------------------------------------------------
+
+
+class Strings:
+    """A block's strings through anchors whose part stands in too many contexts to be sorted.
+
+    Their names are counted in all blocks; where a name stands twice, the digest decides.
+    """
+
+    def __init__(self, row: dict, settings: Settings, ranges: int):
+        parts, self.settings = Parts(row, settings, ranges), settings
+        place = np.flatnonzero(parts.among(row, "large").ravel())
+        anchor, band = parts.found[place // settings.bands], place % settings.bands
+        number, at = parts.anchors.number[anchor], parts.anchors.at[anchor]
+        self.texts, names = [], [np.empty(0, np.uint64)]
+        ends = [*np.flatnonzero(np.diff(number, prepend=-1)).tolist(), len(number)]
+        for low, high in zip(ends, ends[1:], strict=False):
+            data = _raw(row["text"][int(number[low])].as_py())
+            starts = self._starts(len(data), at[low:high].tolist(), band[low:high].tolist())
+            sums = prefix_hashes(data)
+            _, inverse = _POWERS.upto(len(sums))
+            hashes = (sums[starts + settings.length] - sums[starts]) * inverse[starts]
+            self.texts.append((int(number[low]), data, starts))
+            names.append(_names(hashes))
+        self.named = names[1:]
+        self.names = Names(np.concatenate(names), ranges)
+
+    def _starts(self, size: int, places: list[int], bands: list[int]) -> np.ndarray:
+        """Each start once, whichever anchors the string goes through."""
+        found = np.zeros(size, bool)
+        for at, band in zip(places, bands, strict=True):
+            low, high = self.settings.band(band)
+            found[max(0, at - high + 1) : min(at - low, size - self.settings.length) + 1] = True
+        return np.flatnonzero(found)
+
+    def digests(self, row: dict) -> tuple[np.ndarray, ...]:
+        """Text, start and digest ``a, b`` of the strings whose names came back."""
+        known = self.names.chosen(row, "strings")
+        numbers_, starts, digests = [], [], []
+        for (number, data, all_starts), names in zip(self.texts, self.named, strict=True):
+            for start in all_starts[among(known, names)].tolist():
+                numbers_.append(number)
+                starts.append(start)
+                digests.append(xxhash.xxh3_128_digest(data[start : start + self.settings.length]))
+        a, b = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T
+        return np.array(numbers_, np.int64), np.array(starts, np.int64), a, b
+
+
+def _sent_strings(blocks: DataFrame, settings: Settings, ranges: int) -> DataFrame:
+    def each(row):
+        yield from Strings(row, settings, ranges).names.sent(row["block"].as_py(), 2)
+
+    return map_blocks(blocks, SENT, each)
+
+
+def _string_counts(blocks: DataFrame, settings: Settings, ranges: int) -> DataFrame:
+    def each(row):
+        _, _, a, b = Strings(row, settings, ranges).digests(row)
+        yield counts(row["block"].as_py(), a, b, np.ones(len(a), np.int64), 2)
+
+    return map_blocks(blocks, COUNTED, each, packed=True)
+
+
 # --- sorted suffixes -------------------------------------------------------------------
 
 
@@ -396,39 +473,9 @@ def _sorted_reaches(members: DataFrame, settings: Settings) -> DataFrame:
     return map_rows(dealt.sortWithinPartitions("part", "band"), ddl, make)
 
 
-def _counted_reaches(members: DataFrame, settings: Settings, stage: StageArea) -> DataFrame:
-    """The same from larger groups, by counting digests of their strings."""
-
-    def make():
-        def each(rows):
-            for context, before, data, band in rows:
-                low, high = settings.band(band)
-                for distance in range(low, min(high, before + 1)):
-                    start = before - distance
-                    string = data[start : start + settings.length]
-                    if len(string) == settings.length:
-                        digest = distance.to_bytes(2, "big") + xxhash.xxh3_128_digest(string)
-                        yield context, digest, distance
-
-        return each
-
-    ddl = "context binary, string binary, distance int"
-    strings = map_rows(members.select("context", "before", "bytes", "band"), ddl, make)
-    strings = stage.table(strings, "strings")
-    repeated = strings.groupBy("string").agg(F.count("*").alias("times")).where("times > 1")
-    found = strings.join(repeated, "string").groupBy("context")
-    return found.agg(
-        F.max("distance").alias("left"),
-        (F.lit(settings.length) - F.min("distance")).alias("right"),
-    )
-
-
-def _reaches(members: DataFrame, settings: Settings, stage: StageArea) -> DataFrame:
+def _reaches(members: DataFrame, settings: Settings) -> DataFrame:
     """``block`` and, as an array, its contexts that stand once with how far they reach."""
-    small, large = F.col("size") <= settings.group, F.col("size") > settings.group
-    found = _sorted_reaches(members.where(small), settings).union(
-        _counted_reaches(members.where(large), settings, stage)
-    )
+    found = _sorted_reaches(members, settings)
     found = found.where(F.length("context") > 0).groupBy("context")
     found = found.agg(F.max("left").alias("left"), F.max("right").alias("right"))
 
@@ -476,7 +523,7 @@ def removal_digests(docs: DataFrame, settings: Settings | None = None, stage=Non
     )
 
 
-def _spans(row: dict, settings: Settings) -> dict[int, list[tuple[int, int]]]:
+def _spans(row: dict, settings: Settings, ranges: int) -> dict[int, list[tuple[int, int]]]:
     """What to remove of each text of a block, as starts and ends."""
     if not row["at"].is_valid:
         return {}
@@ -496,6 +543,10 @@ def _spans(row: dict, settings: Settings) -> dict[int, list[tuple[int, int]]]:
         found.number[some].tolist(), starts[some].tolist(), ends[some].tolist(), strict=True
     ):
         spans.setdefault(number, []).append((start, end))
+    number, start, a, b = Strings(row, settings, ranges).digests(row)
+    repeated = places_among(a, b, *(column(row, "repeated", name) for name in "ab")) >= 0
+    for number, start in zip(number[repeated].tolist(), start[repeated].tolist(), strict=True):
+        spans.setdefault(number, []).append((start, start + settings.length))
     return spans
 
 
@@ -508,15 +559,24 @@ def _with_spans(docs, settings, stage, ddl: str, row_of) -> DataFrame:
     places = stage.bucketed(_occurrences(blocks, settings), "places", "block", compression="zstd")
     contexts = stage.table(frequent(_context_counts(places), "contexts", 2), "contexts")
     placed = places.join(contexts, "block", "left")
-    shared = frequent(_part_counts(placed, settings), "shared", 2, totals_too=True)
-    members = _members(blocks.join(placed, "block").join(shared, "block"), settings)
-    members = stage.table(members, "members", compression="zstd")
-    reaches = stage.table(_reaches(members, settings, stage), "reaches")
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = stage.table(_sent_parts(placed, settings, ranges), "parts", compression="zstd")
+    for name, least in (("shared", 2), ("large", settings.group + 1)):
+        placed = placed.join(stage.table(enough(sent, name, least), name), "block", "left")
+    stage.drop("parts")
+    texts = blocks.select("block", "text").join(placed, "block")
+    members = stage.table(_members(texts, settings, ranges), "members", compression="zstd")
+    reaches = stage.table(_reaches(members, settings), "reaches")
     stage.drop("members")
-    everything = blocks.join(placed.drop("parts"), "block", "left").join(reaches, "block", "left")
+    strings = stage.table(enough(_sent_strings(texts, settings, ranges), "strings", 2), "strings")
+    counted = _string_counts(texts.join(strings, "block"), settings, ranges)
+    repeated = stage.table(frequent(counted, "repeated", 2), "repeated")
+    everything = blocks.join(placed, "block", "left")
+    for found in (reaches, strings, repeated):
+        everything = everything.join(found, "block", "left")
 
     def each(row):
-        spans = _spans(row, settings)
+        spans = _spans(row, settings, ranges)
         texts = zip(row["doc_id"].as_py(), row["text"].as_py(), strict=True)
         for number, (doc_id, text) in enumerate(texts):
             data = _raw(text)

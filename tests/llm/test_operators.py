@@ -256,6 +256,22 @@ def test_repeated_strings_of_odd_rows(spark, none, settings):
     assert suffixes.removal_digests(none).count() == 0
 
 
+def test_strings_of_large_groups_are_not_stored(spark):
+    """Contexts that share most of a passage come back as bits of a block, not as strings."""
+    from kinetable.sources.staging import StageArea
+
+    rng = np.random.default_rng(8)
+    prose = ["".join(rng.choice(list("abcdefgh "), 700)) for _ in range(42)]
+    texts = [one[:300] + prose[40][:390] + one[300:] for one in prose[:40]]
+    texts += [one[:200] + prose[41][:460] + one[200:] for one in prose[:20]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stage = StageArea(spark)
+    settings = suffixes.Settings(group=4, block_rows=20)
+    found = suffixes.removal_digests(frame, settings, stage).orderBy("doc_id")
+    assert [tuple(row)[1:] for row in found.collect()] == list(plain_removal(texts))
+    assert 0 < spark.read.parquet(f"{stage.path}/strings").count() <= 60
+
+
 def test_colliding_hashes_are_sorted_by_bytes(monkeypatch):
     wanted = suffixes.sort_suffixes([b"banana", b"band", b"bandana", b"an"])
     monkeypatch.setattr(suffixes, "prefix_hashes", lambda data: np.zeros(len(data) + 1))
