@@ -7,6 +7,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import tiktoken
 from test_operators import linked_components, shingles
@@ -78,3 +79,25 @@ def test_pipeline_equals_plain_steps(spark, tmp_path):
         key = (row["doc_id"], len(ids), *(hashlib.sha256(one).hexdigest() for one in digests))
         expected[key] += row["copies"]
     assert found == +expected
+
+
+def test_stages_bound_the_batches_of_a_session(spark, tmp_path):
+    docs = spark.range(0, 5_000, 1, 1).selectExpr("id doc_id", "'some words' text", "'web' source")
+    chosen = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["doc_id"])
+
+    for name in corpus_pipeline.BATCH:
+        spark.conf.unset(name)
+    try:
+        spark.conf.set(chosen, "5m")
+        for _, stage in corpus_pipeline.STAGES[:1]:
+            stage(spark, docs, str(tmp_path))
+        rows = docs.select("doc_id").mapInArrow(sizes, "doc_id long").collect()
+        assert max(row["doc_id"] for row in rows) <= 1_000 and len(rows) >= 5
+        assert spark.conf.get(chosen) == "5m"
+    finally:
+        for name in corpus_pipeline.BATCH:
+            spark.conf.unset(name)
